@@ -1,17 +1,16 @@
 """Exponentially weighted means as window expressions.
 
 For ``y = (1 - a) * y_prev + a * x`` the value at a row is a weighted sum of the
-inputs so far, so it is a running sum of ``x / decay`` times the current decay.
-Running that sum over a whole series would overflow, so the series is cut into
-blocks wherever the accumulated decay reaches ``e**-BLOCK_DECAY``.  Inside a block
-the sum is a plain running window; from one block to the next only the end state
-of the previous block is carried, because anything older weighs less than
-``e**-100``.
+inputs so far: the running sum of ``weight * x / decay`` times the current decay.
+Over a long series that sum would overflow, so a series is cut into blocks of at
+most ``BLOCK_ROWS`` rows (about eight years of trading days).  Inside a block the
+sum is a plain running window.  Across blocks the end states are folded in order,
+``state = state * decay + local``, one small struct per finished block.
 
 Missing inputs follow the usual convention for recursive means: a gap keeps the
 last mean, and the next value is weighed against the old mean decayed once per
-missed row.  Everything stays on one frame (no self-joins) and one shuffle by
-series key.
+missed row.  Everything stays on one frame (no self-joins), one shuffle by series
+key, and one extra sort that all later windows share.
 """
 
 from __future__ import annotations
@@ -20,9 +19,9 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
-BLOCK_DECAY = 600.0
+BLOCK_ROWS = 2048
 
 
 @dataclass(frozen=True)
@@ -46,108 +45,98 @@ class Ewm:
     def keep(self) -> float:
         return 1.0 - self.alpha
 
+    def gap_log(self, gap: str) -> str:
+        """log(decay of this step / decay of a step without a gap); 0 where no row was missed."""
+        old = f"pow({self.keep!r}D, {gap} + 1)"
+        return f"if({gap} > 0, ln({old} / ({old} + {self.alpha!r}D)) - {math.log(self.keep)!r}D, 0D)"
+
+    def weight(self, gap: str) -> str:
+        """Weight of a new value: 1 for the seed, else alpha, renormalised after a gap."""
+        old = f"pow({self.keep!r}D, {gap} + 1)"
+        return (
+            f"CASE WHEN {gap} IS NULL THEN 1D WHEN {gap} = 0 THEN {self.alpha!r}D "
+            f"ELSE {self.alpha!r}D / ({old} + {self.alpha!r}D) END"
+        )
 
-def _gap_log(spec: Ewm, gap: Column) -> Column:
-    """log(decay of this step / decay of a step without a gap); 0 where no row was missed."""
-    old = F.pow(F.lit(spec.keep), gap + 1)
-    return F.when(gap > 0, F.log(old / (old + spec.alpha)) - math.log(spec.keep)).otherwise(F.lit(0.0))
 
+def block_rows(groups: Sequence[Sequence[Ewm]], limit: int = BLOCK_ROWS) -> int:
+    """Rows per block so that no decay inside a block falls below ``e**-600``."""
+    steepest = max(-math.log(spec.keep) for specs in groups for spec in specs)
+    return max(1, min(limit, math.floor(600.0 / steepest)))
 
-def _weight(spec: Ewm, gap: Column) -> Column:
-    """The weight of a new value: 1 for the seed, else alpha, renormalised after a gap."""
-    old = F.pow(F.lit(spec.keep), gap + 1)
-    return (
-        F.when(gap.isNull(), F.lit(1.0))
-        .when(gap == 0, F.lit(spec.alpha))
-        .otherwise(F.lit(spec.alpha) / (old + spec.alpha))
-    )
 
+def row_numbers(key: str = "ticker", order: str = "trading_date") -> str:
+    """The expression that :func:`smooth` expects as column ``_pos``."""
+    return f"row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS _pos"
 
-def ewm(
+
+def smooth(
     df: DataFrame,
     groups: Sequence[Sequence[Ewm]],
+    rows: int,
     *,
     key: str = "ticker",
     order: str = "trading_date",
-    block_decay: float = BLOCK_DECAY,
 ) -> DataFrame:
-    """Add every mean in ``groups`` to ``df``.
+    """Add the means to a frame that has ``_pos`` and ``_blk`` (see :func:`ewm`).
 
     The specs inside one group must have inputs that are NULL on the same rows
     (for instance several spans over one column); groups are independent.
     """
+    run = f"PARTITION BY {key} ORDER BY _blk, {order}"
+    so_far = f"({run} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    before = f"({run} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    block = f"(PARTITION BY {key}, _blk ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     base = list(df.columns)
-    run = Window.partitionBy(key).orderBy(order)
-    so_far = run.rowsBetween(Window.unboundedPreceding, 0)
-    before = run.rowsBetween(Window.unboundedPreceding, -1)
-
-    # 1. per group: values so far, and rows missed since the last value
-    position = F.row_number().over(run)
-    df = df.withColumn("_pos", position)
-    cols = {}
-    for g, specs in enumerate(groups):
-        x = F.col(specs[0].source)
-        cols[f"_n{g}"] = F.count(x).over(so_far)
-        cols[f"_prev{g}"] = F.max(F.when(x.isNotNull(), F.col("_pos"))).over(before)
-    df = df.withColumns(cols)
-    df = df.withColumns({
-        f"_gap{g}": F.when(F.col(specs[0].source).isNotNull(), F.col("_pos") - F.col(f"_prev{g}") - 1)
-        for g, specs in enumerate(groups)
-    })
-
-    # 2. per spec: extra log-decay caused by gaps, accumulated over the series
-    df = df.withColumns({
-        f"_e{g}_{i}": F.sum(_gap_log(spec, F.col(f"_gap{g}"))).over(so_far)
-        for g, specs in enumerate(groups)
-        for i, spec in enumerate(specs)
-    })
-
-    # 3. block number: accumulated decay of the group's fastest mean
-    blocks = {}
-    for g, specs in enumerate(groups):
-        fastest = min(range(len(specs)), key=lambda i: specs[i].keep)
-        decay = F.col(f"_n{g}") * -math.log(specs[fastest].keep) - F.col(f"_e{g}_{fastest}")
-        blocks[f"_blk{g}"] = F.floor(decay / block_decay)
-    df = df.withColumns(blocks)
-
-    # 4. running sums inside a block, then the previous block's end state
-    for g, specs in enumerate(groups):
-        block = Window.partitionBy(key, f"_blk{g}").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        earlier = Window.partitionBy(key).orderBy(f"_blk{g}").rangeBetween(Window.unboundedPreceding, -1)
-        n = F.col(f"_n{g}")
-        df = df.withColumns(
-            {f"_n0{g}": F.first(n).over(block)}
-            | {f"_e0{g}_{i}": F.first(f"_e{g}_{i}").over(block) for i in range(len(specs))}
-        )
-        steps = n - F.col(f"_n0{g}")
-
-        def grown(i: int, spec: Ewm) -> Column:
-            extra = F.col(f"_e{g}_{i}") - F.col(f"_e0{g}_{i}")
-            return F.pow(F.lit(spec.keep), -steps) * F.exp(-extra)
-
-        def decayed(i: int, spec: Ewm) -> Column:
-            extra = F.col(f"_e{g}_{i}") - F.col(f"_e0{g}_{i}")
-            return F.pow(F.lit(spec.keep), steps) * F.exp(extra)
-
-        df = df.withColumns({
-            f"_loc{g}_{i}": F.sum(
-                F.col(spec.source) * _weight(spec, F.col(f"_gap{g}")) * grown(i, spec)
-            ).over(block) * decayed(i, spec)
-            for i, spec in enumerate(specs)
-        })
-        state = [f"_loc{g}_{i}" for i in range(len(specs))] + [f"_e{g}_{i}" for i in range(len(specs))]
-        df = df.withColumn(
-            f"_end{g}", F.max_by(F.struct(f"_n{g}", *state), F.col("_pos")).over(earlier)
-        )
-        end = F.col(f"_end{g}")
-        outputs = {}
-        for i, spec in enumerate(specs):
-            since = n - end[f"_n{g}"]
-            extra = F.col(f"_e{g}_{i}") - end[f"_e{g}_{i}"]
-            carried = end[f"_loc{g}_{i}"] * F.pow(F.lit(spec.keep), since) * F.exp(extra)
-            mean = F.coalesce(F.col(f"_loc{g}_{i}"), F.lit(0.0)) + F.coalesce(carried, F.lit(0.0))
-            outputs[spec.output] = F.when(n >= spec.min_periods, mean)
-        df = df.withColumns(outputs)
-
     made = [spec.output for specs in groups for spec in specs]
+    numbered = [(g, i, spec) for g, specs in enumerate(groups) for i, spec in enumerate(specs)]
+    sources = [(g, specs[0].source) for g, specs in enumerate(groups)]
+
+    # values so far, and rows missed since the last value
+    df = df.selectExpr(
+        "*",
+        *[f"count({x}) OVER {so_far} AS _n{g}" for g, x in sources],
+        *[f"max(if({x} IS NOT NULL, _pos, NULL)) OVER {before} AS _prev{g}" for g, x in sources],
+    )
+    df = df.selectExpr("*", *[f"if({x} IS NOT NULL, _pos - _prev{g} - 1, NULL) AS _gap{g}" for g, x in sources])
+
+    # decay since the start of the block: one factor per value, more after a gap
+    df = df.selectExpr(
+        "*",
+        *[f"count({x}) OVER {block} AS _m{g}" for g, x in sources],
+        *[f"sum({spec.gap_log(f'_gap{g}')}) OVER {block} AS _e{g}_{i}" for g, i, spec in numbered],
+    )
+    df = df.selectExpr("*", *[f"pow({spec.keep!r}D, _m{g}) * exp(_e{g}_{i}) AS _d{g}_{i}" for g, i, spec in numbered])
+
+    # weighted sum inside the block
+    df = df.selectExpr("*", *[
+        f"coalesce(sum({spec.source} * ({spec.weight(f'_gap{g}')}) / _d{g}_{i}) OVER {block} * _d{g}_{i}, 0D)"
+        f" AS _loc{g}_{i}"
+        for g, i, spec in numbered
+    ])
+
+    # end states of the finished blocks, oldest first
+    state = ", ".join(f"_loc{g}_{i}, _d{g}_{i}" for g, i, _ in numbered)
+    df = df.selectExpr(
+        "*", f"collect_list(if(_pos % {rows} = 0, struct(_pos, {state}), NULL)) OVER {before} AS _ends"
+    )
+    df = df.selectExpr(*base, *[
+        f"if(_n{g} >= {spec.min_periods}, _loc{g}_{i} + _d{g}_{i} * "
+        f"aggregate(array_sort(_ends), 0D, (s, b) -> s * b._d{g}_{i} + b._loc{g}_{i}), NULL) AS {spec.output}"
+        for g, i, spec in numbered
+    ])
     return df.select(*[c for c in base if c not in made], *made)
+
+
+def ewm(
+    df: DataFrame,
+    groups: Sequence[Sequence[Ewm]],
+    *,
+    key: str = "ticker",
+    order: str = "trading_date",
+    limit: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Number the rows of every series, then add every mean in ``groups``."""
+    rows = block_rows(groups, limit)
+    numbered = df.selectExpr("*", row_numbers(key, order)).selectExpr("*", f"(_pos - 1) DIV {rows} AS _blk")
+    return smooth(numbered, groups, rows, key=key, order=order).drop("_pos", "_blk")

@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # windows cost far more than their bytes suggest: let small stages keep their parallelism
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     # a frame already hashed by ticker may be joined on (ticker, date) as it is
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
