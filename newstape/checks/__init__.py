@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("daily_queries",)
+FAMILIES = ("daily_queries", "table_queries")
 
 
 def registry() -> dict:

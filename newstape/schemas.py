@@ -45,7 +45,7 @@ PRICE = T.StructType([
 ])
 
 FEED_ITEM = T.StructType([
-    T.StructField("id", T.LongType()),
+    T.StructField("id", T.StringType()),
     T.StructField("datetime", T.LongType()),
     T.StructField("headline", T.StringType()),
     T.StructField("summary", T.StringType()),
