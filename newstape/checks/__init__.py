@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("daily_queries", "table_queries")
+FAMILIES = ("daily_queries", "table_queries", "model_queries")
 
 
 def registry() -> dict:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newstape.functions.text import words_of
 from newstape.schemas import ARCHIVE_CHUNK_DAYS, ARCHIVE_REQUEST_CAP, COMPANY_PHRASES
@@ -35,22 +35,28 @@ def tag_with(articles: DataFrame, phrases: Mapping[str, str], text: str = "title
     return tagged.select(*base, F.explode("_hits").alias("ticker"))
 
 
+def _grams(words: Column, length: int) -> Column:
+    """All runs of ``length`` words."""
+    starts = F.when(F.size(words) >= length, F.sequence(F.lit(1), F.size(words) - (length - 1)))
+    runs = F.transform(starts, lambda i: F.array_join(F.slice(words, i, length), " "))
+    return F.coalesce(runs, F.array().cast("array<string>"))
+
+
 def tag_by_table(articles: DataFrame, phrases: DataFrame, key: str, text: str = "title") -> DataFrame:
     """(key, ticker) pairs for a phrase table (ticker, phrase) of any size.
 
-    Articles meet phrases on the phrase's longest word (an equi-join over distinct
-    words, keys only), and only those candidates are compared in full.
+    A text is cut into runs of as many words as some phrase has, and the runs meet
+    the phrases in an equi-join, so only keys and short runs travel.  The distinct
+    phrase lengths (a handful of numbers) are looked up first.
     """
-    split = F.split(F.trim(words_of(F.col("phrase"))), " ")
-    by_length = F.transform(split, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))
-    longest = F.element_at(F.array_sort(by_length), 1)["w"]
-    known = phrases.select("ticker", words_of(F.col("phrase")).alias("_phrase"), longest.alias("_word"))
-    texts = articles.select(key, words_of(F.col(text)).alias("_words"))
-    words = texts.select(key, F.explode(F.array_distinct(F.split(F.trim("_words"), " "))).alias("_word"))
-    candidates = words.join(known, "_word").select(key, "ticker", "_phrase")
-    return (
-        candidates.join(texts, key).where(F.col("_words").contains(F.col("_phrase"))).select(key, "ticker").distinct()
-    )
+    known = phrases.select("ticker", F.trim(words_of(F.col("phrase"))).alias("_run")).where(F.col("_run") != "")
+    lengths = [r[0] for r in known.select(F.size(F.split("_run", " "))).distinct().collect()]
+    words = F.split(F.trim(words_of(F.col(text))), " ")
+    texts = articles.select(key, words.alias("_words"))
+    runs = texts.select(
+        key, F.explode(F.array_distinct(F.concat(*[_grams(F.col("_words"), n) for n in sorted(lengths)]))).alias("_run")
+    ) if lengths else texts.select(key, F.lit(None).cast("string").alias("_run"))
+    return runs.join(known, "_run").select(key, "ticker").distinct()
 
 
 def coverage(
