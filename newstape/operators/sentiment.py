@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from newstape.functions.numeric import half_even
 from newstape.functions.text import model_text, stripped
 from newstape.schemas import SENTIMENT_SCORES
+from newstape.session import spread
 
 #: The stand-in scorer's words.
 POSITIVE_WORDS = ["beat", "gain", "growth", "profit", "record", "rise", "strong", "surge", "up", "win"]
@@ -82,7 +83,7 @@ def with_sentiment(
         F.col(title) if title in articles.columns else F.lit(None).cast("string"),
         F.col(description) if description in articles.columns else F.lit(None).cast("string"),
     )
-    scored = articles.withColumn("_text", stripped(text)).withColumn("_result", scorer(F.col("_text")))
+    scored = spread(articles).withColumn("_text", stripped(text)).withColumn("_result", scorer(F.col("_text")))
     blank = F.col("_text").isNull()
     lowered = F.lower("_result.label")
     label = F.when(~blank & lowered.isin(list(SENTIMENT_SCORES)), lowered).otherwise(F.lit("neutral"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from newstape.functions.text import words_of
 from newstape.schemas import ARCHIVE_CHUNK_DAYS, ARCHIVE_REQUEST_CAP, COMPANY_PHRASES
+from newstape.session import spread
 
 #: A phrase list up to this length is written into the query; a longer one is joined.
 INLINE_PHRASES = 200
@@ -31,8 +32,9 @@ def tag_with(articles: DataFrame, phrases: Mapping[str, str], text: str = "title
         F.when(words.contains(words_of(F.lit(phrase))), F.lit(ticker)) for ticker, phrase in phrases.items()
     ]))
     base = [c for c in articles.columns if c != "ticker"]
-    tagged = articles.withColumn("_words", words_of(F.col(text))).withColumn("_hits", hits)
-    return tagged.select(*base, F.explode("_hits").alias("ticker"))
+    tagged = spread(articles).withColumn("_words", words_of(F.col(text))).withColumn("_hits", hits)
+    # explode_outer: plain explode makes the optimizer test the hits once more, before any other step
+    return tagged.select(*base, F.explode_outer("_hits").alias("ticker")).where(F.col("ticker").isNotNull())
 
 
 def _grams(words: Column, length: int) -> Column:
@@ -54,7 +56,7 @@ def tag_by_table(articles: DataFrame, phrases: DataFrame, key: str, text: str =
     words = F.split(F.trim(words_of(F.col(text))), " ")
     texts = articles.select(key, words.alias("_words"))
     runs = texts.select(
-        key, F.explode(F.array_distinct(F.concat(*[_grams(F.col("_words"), n) for n in sorted(lengths)]))).alias("_run")
+        key, F.explode_outer(F.array_distinct(F.concat(*[_grams(F.col("_words"), n) for n in sorted(lengths)]))).alias("_run")
     ) if lengths else texts.select(key, F.lit(None).cast("string").alias("_run"))
     return runs.join(known, "_run").select(key, "ticker").distinct()
 

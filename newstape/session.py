@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Runtime settings every job needs.  All of them may be set on a live session.
 RUNTIME_CONF = {
@@ -46,6 +46,18 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan of fewer splits than cores one round-robin shuffle, so that all cores share it.
+
+    A file with a single row group is one task however large it is.  A scan that
+    already has a split per core, as any large table has, is returned as it is.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def work_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables and stream checkpoints.
 
