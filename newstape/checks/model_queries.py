@@ -263,6 +263,25 @@ M8_SQL = S.with_ctes(GUESS_CTES, GUESS_SQL + f"""
     UNION ALL SELECT 'overall', 'all', 'macro_f1', {S.r('avg(f)', 10)} FROM pc""")
 
 
+def b4(spark, sf_dir):
+    """Predictions of the rule of thumb, written and read back."""
+    rows = _guesses(spark, sf_dir).select("ticker", "trading_date", "label_direction", "predicted_direction")
+    path = sinks.write_predictions(rows, fresh_path(spark, "predictions"))
+    return with_day(spark.read.parquet(path), "trading_date")
+
+
+B4_SQL = S.with_ctes(GUESS_CTES, GUESS_SQL.replace("SELECT l.ticker,", "SELECT l.ticker, l.trading_date,") + """
+    SELECT ticker, CAST(trading_date AS VARCHAR) AS trading_date, a AS label_direction, p AS predicted_direction FROM g""")
+
+
+def b5(spark, sf_dir):
+    """The per-class table as a CSV report."""
+    table_ = metrics.class_metrics(metrics.confusion_matrix(_guesses(spark, sf_dir)))
+    path = sinks.write_report(table_, fresh_path(spark, "report"), "csv")
+    schema = "class string, precision double, recall double, f1 double, support long"
+    return _round(tune(spark).read.schema(schema).option("header", True).csv(path), "precision", "recall", "f1")
+
+
 def g12(spark, sf_dir):
     return reports.prediction_summary(_guesses(spark, sf_dir))
 
@@ -316,6 +335,23 @@ def m3_boosted(spark, sf_dir):
     return fitted.predict(rows).select("ticker", "date", "predicted_direction", *[f"prob_{c}" for c in DIRECTIONS])
 
 
+def m4(spark, sf_dir):
+    """What SQL can check of predictions: every row once, a known class, probabilities that sum to one."""
+    fitted, rows = _model_of(spark, sf_dir)
+    out = fitted.predict(rows)
+    total = sum((F.col(f"prob_{c}") for c in DIRECTIONS), F.lit(0.0))
+    return with_day(out.select(
+        "ticker", "date", "article_count", half_even(total, 6).alias("prob_sum"),
+        F.col("predicted_direction").isin(DIRECTIONS).cast("long").alias("known"),
+    ))
+
+
+M4_SQL = S.with_ctes(
+    DATASET_CTES,
+    f"""SELECT d.ticker, CAST(date AS VARCHAR) AS date, article_count, 1e0 AS prob_sum, CAST(1 AS BIGINT) AS known {DATASET_FROM}""",
+)
+
+
 def m9(spark, sf_dir):
     fitted, _ = _model_of(spark, sf_dir)
     return fitted.importances(spark)
@@ -476,6 +512,9 @@ QUERIES = {
     "m8_metric_bundle": (m8, M8_SQL),
     "g12_prediction_summary": (g12, G12_SQL),
     "g13_missing_values": (g13, G13_SQL),
+    "b4_prediction_sink": (b4, B4_SQL),
+    "b5_report_sink": (b5, M6_SQL),
+    "m4_batch_predict": (m4, M4_SQL),
     "m3_forest": (m3, None),
     "m3_boosted": (m3_boosted, None),
     "m9_importances": (m9, None),

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from newstape.functions.text import article_key
+
 #: What a repeated article, result or price refreshes.
 ARTICLE_REFRESH = ["source_name", "title", "description", "fetched_at"]
 SENTIMENT_KEY = ["article_id", "model_name"]
@@ -42,6 +44,7 @@ def upsert(
     refresh: Sequence[str],
     seq: str | None = None,
     small_batch: bool = False,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """The merged table plus ``_action`` (insert, update, keep) and ``_copies`` (incoming rows of the key).
 
@@ -52,15 +55,19 @@ def upsert(
     The default is one full outer join.  ``small_batch`` instead probes the stored
     table with the batch (left join, then the unmatched batch rows), which lets
     Spark broadcast a batch below its threshold and leaves the big table unshuffled.
+    ``known`` (some of the key columns, unique) leaves out batch keys that are not in
+    it, after the copies of a key have been reduced to one row.
     """
     columns = existing.columns
     fixed = [c for c in columns if c not in keys and c not in refresh]
     batch = _folded(incoming, keys, fixed, refresh, seq)
+    if known is not None:
+        batch = batch.join(known, known.columns, "left_semi")
     stored = existing.withColumn("_stored", F.lit(True))
     if small_batch:
         touched = stored.join(batch, list(keys), "left")
-        known = existing.select(*keys).join(batch.select(*keys), list(keys), "left_semi")
-        fresh = batch.join(known, list(keys), "left_anti")
+        present = existing.select(*keys).join(batch.select(*keys), list(keys), "left_semi")
+        fresh = batch.join(present, list(keys), "left_anti")
         nothing = {c: F.lit(None).cast(existing.schema[c].dataType) for c in columns if c not in keys}
         joined = touched.unionByName(fresh.withColumns(nothing | {"_stored": F.lit(None).cast("boolean")}))
     else:
@@ -94,10 +101,16 @@ def attach_articles(records: DataFrame, articles: DataFrame) -> DataFrame:
 def upsert_sentiments(
     existing: DataFrame, records: DataFrame, articles: DataFrame, model_name: str, seq: str | None = None, **options
 ) -> DataFrame:
-    """Merge one model's results; other models' rows are not touched, unknown urls are skipped."""
-    linked = attach_articles(records, articles).where(F.col("article_id").isNotNull())
+    """Merge one model's results; other models' rows are not touched, unknown urls are skipped.
+
+    An article's id is a function of its url, so records find theirs without a join
+    and only one row per article is checked against the stored articles.
+    """
+    keyed = records.where(F.col("url") != "").withColumns(
+        {"article_id": article_key(F.col("url")), "model_name": F.lit(model_name)}
+    )
     return upsert(
-        existing, linked.withColumn("model_name", F.lit(model_name)), SENTIMENT_KEY, SENTIMENT_REFRESH, seq, **options
+        existing, keyed, SENTIMENT_KEY, SENTIMENT_REFRESH, seq, known=articles.select("article_id"), **options
     )
 
 

@@ -37,6 +37,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in RUNTIME_CONF.items():
