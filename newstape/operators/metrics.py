@@ -40,16 +40,25 @@ def confusion_matrix(
     return one.select(F.explode("cells").alias("c")).select("c.actual", "c.predicted", "c.n")
 
 
-def class_metrics(confusion: DataFrame) -> DataFrame:
-    """Per class: precision, recall, F1 (0 where undefined) and support."""
+def _class_rows(confusion: DataFrame) -> DataFrame:
+    """Per class: support, times predicted, hits, and the ratios built from them."""
     hit = F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)
-    truth = confusion.groupBy(F.col("actual").alias("class")).agg(F.sum("n").alias("support"), F.sum(hit).alias("_hit"))
-    said = confusion.groupBy(F.col("predicted").alias("class")).agg(F.sum("n").alias("_said"))
-    both = truth.join(said, "class").withColumns({
-        "precision": _share(F.col("_hit"), F.col("_said")), "recall": _share(F.col("_hit"), F.col("support")),
+    sides = F.explode(F.array(
+        F.struct(F.col("actual").alias("class"), F.col("n").alias("support"), F.lit(0).cast("long").alias("said"), hit.cast("long").alias("hit")),
+        F.struct(F.col("predicted").alias("class"), F.lit(0).cast("long").alias("support"), F.col("n").alias("said"), F.lit(0).cast("long").alias("hit")),
+    ))
+    rows = confusion.select(sides.alias("s")).groupBy("s.class").agg(
+        *[F.sum(f"s.{c}").alias(c) for c in ("support", "said", "hit")]
+    ).withColumns({
+        "precision": _share(F.col("hit"), F.col("said")), "recall": _share(F.col("hit"), F.col("support")),
     })
     p, r = F.col("precision"), F.col("recall")
-    return both.select("class", "precision", "recall", _share(2 * p * r, p + r).alias("f1"), "support")
+    return rows.withColumn("f1", _share(2 * p * r, p + r))
+
+
+def class_metrics(confusion: DataFrame) -> DataFrame:
+    """Per class: precision, recall, F1 (0 where undefined) and support."""
+    return _class_rows(confusion).select("class", "precision", "recall", "f1", "support")
 
 
 def overall_metrics(confusion: DataFrame) -> DataFrame:
@@ -57,16 +66,12 @@ def overall_metrics(confusion: DataFrame) -> DataFrame:
 
     The macro means run over the classes that occur as truth or prediction.
     """
-    accuracy = confusion.agg(
-        _share(F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)), F.sum("n")).alias("accuracy"),
-        F.sum("n").alias("rows"),
-    )
-    seen = confusion.where(F.col("n") > 0).select(F.explode(F.array("actual", "predicted")).alias("class")).distinct()
-    macro = class_metrics(confusion).join(seen, "class").agg(
-        *[F.coalesce(F.avg(c), F.lit(0.0)).alias(f"macro_{c}") for c in ("precision", "recall", "f1")]
+    seen = F.col("support") + F.col("said") > 0
+    return _class_rows(confusion).agg(
+        _share(F.sum("hit"), F.sum("support")).alias("accuracy"),
+        F.sum("support").alias("rows"),
+        *[F.coalesce(F.avg(F.when(seen, F.col(c))), F.lit(0.0)).alias(f"macro_{c}") for c in ("precision", "recall", "f1")],
     )
-    one = F.lit(1).alias("_one")
-    return accuracy.select("*", one).join(macro.select("*", one), "_one").drop("_one")
 
 
 def classification_report(confusion: DataFrame) -> DataFrame:

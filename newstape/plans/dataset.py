@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from newstape.errors import LabelError, LoadError
 from newstape.operators.labels import label_features
 from newstape.schemas import LABEL_COLUMNS, LABEL_LOOKAHEAD_DAYS
 from newstape.sources.scans import price_range
+from newstape.sources.sinks import write_dataset
 
 
 def ordered_columns(labelled: DataFrame) -> DataFrame:
@@ -63,3 +64,21 @@ def require_labels(dataset: DataFrame) -> DataFrame:
     if dataset.isEmpty():
         raise LabelError("No labeled rows: no feature row has a close on its date")
     return dataset
+
+
+def dataset_job(
+    features: DataFrame,
+    prices: DataFrame,
+    folder: str,
+    start: dt.date | None = None,
+    end: dt.date | None = None,
+    lookahead_days: int = LABEL_LOOKAHEAD_DAYS,
+    by_month: bool = False,
+) -> DataFrame:
+    """Label, write, and return what was written; fails when no feature row had a close."""
+    if start is None or end is None:
+        start, end = feature_dates(features)
+    built = labelled_dataset(features, prices, start, end, lookahead_days)
+    path = write_dataset(built, folder, start, end, by_month=by_month)
+    stored = T.StructType(built.schema.fields + ([T.StructField("month", T.StringType())] if by_month else []))
+    return require_labels(features.sparkSession.read.schema(stored).parquet(path).select(*built.columns))

@@ -5,12 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
+from newstape.errors import FeatureError
 from newstape.operators.daily import daily_features
 from newstape.operators.indicators import at_dates, technical_indicators
-from newstape.schemas import ARTICLE_LOOKBACK_DAYS, FEATURE_COLUMNS, PRICE_WARMUP_DAYS, TECHNICAL_FEATURES
+from newstape.schemas import (
+    ARTICLE_LOOKBACK_DAYS, FEATURE_COLUMNS, FEATURES, PRICE_WARMUP_DAYS, TECHNICAL_FEATURES,
+)
 from newstape.sources.scans import article_window, in_days, price_range, scored_window
+from newstape.sources.sinks import write_features
 
 
 def assemble(
@@ -64,3 +68,30 @@ def feature_vectors_for_day(
 ) -> DataFrame:
     """One date; the range job with equal ends."""
     return feature_vectors(articles, sentiments, prices, day, day, **options)
+
+
+def feature_job(
+    articles: DataFrame,
+    sentiments: DataFrame | None,
+    prices: DataFrame | None,
+    start: dt.date,
+    end: dt.date,
+    folder: str,
+    by_month: bool = False,
+    **options,
+) -> DataFrame:
+    """Build a range, write it, and return what was written.
+
+    A range without articles gives an empty table; a single day without any is an error.
+    """
+    built = feature_vectors(articles, sentiments, prices, start, end, **options)
+    spark = built.sparkSession
+    path = write_features(built, folder, start, end, by_month=by_month)
+    written = spark.read.schema(_stored_schema(by_month)).parquet(path).select(*FEATURE_COLUMNS)
+    if start == end and written.isEmpty():
+        raise FeatureError(f"no ticker has an article on {start}")
+    return written
+
+
+def _stored_schema(by_month: bool) -> T.StructType:
+    return T.StructType(FEATURES.fields + ([T.StructField("month", T.StringType())] if by_month else []))

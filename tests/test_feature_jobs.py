@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 
 from helpers import bars
+from newstape.errors import FeatureError, LabelError
 from newstape.plans import dataset, features
 from newstape.schemas import FEATURE_COLUMNS, FEATURES, LABEL_COLUMNS, TECHNICAL_FEATURES
 
@@ -80,3 +81,17 @@ def test_joins_reuse_the_ticker_partitioning(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # two levels of the distinct count, one by ticker for the windows, one by ticker for the prices: none for the join
     assert plan.count("Exchange hashpartitioning") == 4 and out.columns == FEATURE_COLUMNS
+
+
+def test_jobs_write_and_check(spark, tmp_path):
+    written = features.feature_job(seeded(spark), None, prices(spark), START, END, str(tmp_path))
+    assert written.count() == 10 and written.schema == FEATURES
+    labelled = dataset.dataset_job(written, prices(spark), str(tmp_path), by_month=True)
+    assert labelled.count() == 10 and labelled.columns == FEATURE_COLUMNS + LABEL_COLUMNS
+    quiet = dt.date(2020, 1, 1)
+    with pytest.raises(FeatureError):
+        features.feature_job(seeded(spark), None, prices(spark), quiet, quiet, str(tmp_path))
+    nothing = features.feature_job(seeded(spark), None, None, quiet, dt.date(2020, 1, 2), str(tmp_path))
+    assert nothing.isEmpty() and nothing.columns == FEATURE_COLUMNS
+    with pytest.raises(LabelError):
+        dataset.dataset_job(written, bars(spark, [1, 2], start=quiet), str(tmp_path / "x"))
