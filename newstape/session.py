@@ -52,9 +52,8 @@ def spread(df: DataFrame) -> DataFrame:
 
     A file with a single row group is one task however large it is.  A scan that
     already has a split per core, as any large table has, is returned as it is.
+    Only for plain scans: counting the splits of anything else would run it.
     """
-    if df.isStreaming:
-        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
