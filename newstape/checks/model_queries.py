@@ -3,20 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, functions as F
 
 from newstape.checks import sql as S
 from newstape.checks.daily_queries import dated, with_day
 from newstape.checks.table_queries import (
-    DATASET_CTES, DATASET_FROM, STAMP, WS, _batch_prices, _dataset, _incoming_lines, _stored_lines, as_text,
+    DATASET_CTES, DATASET_FROM, STAMP, VERSIONS_SQL, WS, _batch_prices, _dataset, _incoming_lines, as_text,
 )
 from newstape.checks.views import MODEL, event_articles, line_articles, line_prices, table
 from newstape.functions.numeric import half_even
 from newstape.operators import daily, indicators, labels, metrics, model as M, reports, sentiment, split
-from newstape.plans import features as feature_jobs, loading, training
-from newstape.schemas import DAILY_FEATURES, DIRECTIONS, PRICE, TECHNICAL_FEATURES
+from newstape.plans import loading, training
+from newstape.schemas import DAILY_FEATURES, DIRECTIONS
 from newstape.session import fresh_path, tune
 from newstape.sources import sinks
 from newstape.streaming import intake
@@ -495,8 +494,6 @@ T3_SQL = S.with_ctes("event_articles", """, a AS (SELECT ticker, 'http://news.ex
            arg_max(sentiment_label, (published_at, sentiment_label)) AS sentiment_label,
            CAST(arg_max(sentiment_score, (published_at, sentiment_label)) AS BIGINT) AS sentiment_score FROM a GROUP BY url""")
 
-from newstape.checks.table_queries import VERSIONS_SQL  # noqa: E402
-
 QUERIES = {
     "m1_sentiment": (m1, M1_SQL),
     "m1_sentiment_batched": (m1_batched, M1_SQL),

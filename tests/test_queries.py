@@ -30,7 +30,7 @@ def test_equals_sql(spark, sample, con, name):
     assert compare(QUERIES[name](spark, sample), con, ORACLE[name]) == ""
 
 
-@pytest.mark.parametrize("name", sorted(CHOSEN - set(ORACLE)))
+@pytest.mark.parametrize("name", sorted(CHOSEN - set(ORACLE)) or ["s4_top_features"])
 def test_has_rows(spark, sample, name):
     assert QUERIES[name](spark, sample).count() > 0
 
