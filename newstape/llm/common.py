@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -66,7 +67,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared folder and go on from there: cuts the lineage, survives lost executors."""
     path = fresh(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
 
 
 def text_of(column: str = "text") -> Column:
@@ -145,3 +148,15 @@ def rows(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()], list(columns)
     )
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps now, not when the driver next collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete a staged table that nothing will read again."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._staged_at)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
