@@ -144,8 +144,9 @@ def _randoms(shape: LengthClass, walk: int) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def walk_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, shape: LengthClass, walk: int) -> np.ndarray:
-    """The key of one walk from every start (ends: where each start's text ends)."""
+    """The key of one walk over the class's window from every start (ends: where each start's text ends)."""
     strides, sampled, key = _randoms(shape, walk)
+    ends = np.minimum(ends, starts + shape.window)  # an item is followed by nothing, its copy by other words
     place = starts.copy()
     out = np.full(len(starts), key)
     last = len(words) - 1

@@ -223,8 +223,8 @@ def train(
     if n > max_rows:
         usable = usable.where(draw < int((1 << 30) * max_rows / n))
     sample = F.broadcast(usable)  # at most about max_rows rows of an id and a label
-    chosen = docs.withColumn("_id", F.col(id_col).cast("long")).join(sample, "_id")
-    found = featurised(chosen, ["_id", "_label"], text_col, metadata).toArrow()
+    plain = docs.select(F.col(id_col).cast("long").alias("_id"), text_of(text_col).alias("text"), *metadata)
+    found = featurised(plain.join(sample, "_id"), ["_id", "_label"], "text", metadata).toArrow()
     found = found.sort_by([("_id", "ascending")])
     idx = [np.asarray(x.values) for x in found.column("idx")]
     val = [np.asarray(x.values) for x in found.column("val")]
