@@ -310,14 +310,15 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     spark = docs.sparkSession
     known = identified(docs, id_col, text_col)
     found = stage(segments(known), "segments")
-    again = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # counts are written apart from the joins that use them, so Spark may split a busy anchor in the join
+    again = stage(found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "anchors")
     twice = stage(found.join(again, "key", "left_semi"), "anchored")
     unstage(found)
     tidy(spark)
     one = F.min(F.struct("_id", "_h", "start", "size")).alias("one")
     contents = stage(twice.groupBy("key", "seg").agg(F.count(F.lit(1)).alias("n"), one), "contents")
     crowd = contents.groupBy("key").agg(F.count(F.lit(1)).alias("segs"), F.count_if(F.col("n") == 1).alias("singles"))
-    crowd = crowd.where("segs > 1 AND singles > 0").select("key", (F.col("segs") > MANY).alias("many"))
+    crowd = stage(crowd.where("segs > 1 AND singles > 0").select("key", (F.col("segs") > MANY).alias("many")), "crowds")
     row = F.struct("key", "seg", "one.start", "one.size", "n", "many")
     asked = contents.join(crowd, "key").groupBy(F.col("one._id").alias("_id"), F.col("one._h").alias("_h"))
     asked = asked.agg(F.collect_list(row).alias("asked"))
