@@ -12,13 +12,14 @@ distance.
 Which windows can start a match is decided without loss: an item of n words within e
 edits keeps most words and most neighbouring word pairs, so a window with too few
 words or pairs of the benchmark holds no match.  Words, pairs and keys of the benchmark
-are looked up in bitmaps of a fixed size; a wrong yes costs time, never a result.
+are looked up in tables of a fixed size; a wrong yes costs time, never a result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ from newstape.llm.common import id_back, identified, longs, mapped, rows, stage,
 
 #: bits of each bitmap, as a power of two: 2 MB, whatever the benchmark's size
 BITMAP = 24
+#: slots of the table of keys, 16 MB: 0 for no key, 1 for keys of several items, else a mark of the item
+SLOTS, SEVERAL = 1 << 22, 1
 #: places sampled from each walk
 PLACES = 2
 MOST_WALKS = 96
@@ -120,6 +123,11 @@ class LengthClass:
     def window(self) -> int:
         return max(1, self.low - self.edits)
 
+    @property
+    def salt(self) -> np.uint64:
+        """Marks words and pairs of the class's items among those of all items."""
+        return np.uint64((self.low * 0x9E3779B97F4A7C15 + 0x1234567) % 2**64)
+
     @property
     def steps(self) -> int:
         return 2 * self.window
@@ -135,29 +143,47 @@ def class_of(n: int, similarity: float) -> LengthClass:
         low = high + 1
 
 
+@lru_cache(maxsize=4096)
 def _randoms(shape: LengthClass, walk: int) -> tuple[np.ndarray, np.ndarray, np.uint64]:
-    """Stride seeds per step, the sampled steps, and the tag of a walk of a class."""
+    """An odd factor per step, whose product's top bit is the stride; the sampled steps; the tag of a walk of a class."""
     seed = np.random.default_rng([shape.low, walk, 20])
     sampled = np.sort(seed.choice(shape.steps, min(PLACES, shape.steps), replace=False))
-    strides = seed.integers(0, 2**63, shape.steps).astype(np.uint64)
+    strides = seed.integers(0, 2**63, shape.steps).astype(np.uint64) * np.uint64(2) + np.uint64(1)
     return strides, sampled, np.uint64(seed.integers(0, 2**63))
 
 
-def walk_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, shape: LengthClass, walk: int) -> np.ndarray:
-    """The key of one walk over the class's window from every start (ends: where each start's text ends)."""
-    strides, sampled, key = _randoms(shape, walk)
+def walk_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, shape: LengthClass, walks: list[int]) -> np.ndarray:
+    """The keys of walks over the class's window from every start, a row per walk (ends: where each start's text ends)."""
+    strides, sampled, tags = (np.stack(x) for x in zip(*[_randoms(shape, w) for w in walks]))
     ends = np.minimum(ends, starts + shape.window)  # an item is followed by nothing, its copy by other words
-    place = starts.copy()
-    out = np.full(len(starts), key)
+    place = np.tile(starts, (len(walks), 1))
+    out = np.tile(tags[:, None], (1, len(starts)))
     last = len(words) - 1
-    for step in range(int(sampled[-1]) + 1):
+    for step in range(int(sampled.max()) + 1):
         word = np.where(place < ends, words[np.minimum(place, last)], np.uint64(0))
-        if step in sampled:
-            out = mix(out * _M + word)
-        place += (mix(word ^ strides[step]) >> np.uint64(63)).astype(np.int64)
+        here = np.flatnonzero((sampled == step).any(axis=1))
+        if len(here):
+            out[here] = mix(out[here] * _M + word[here])
+        place += ((word * strides[:, step, None]) >> np.uint64(63)).astype(np.int64)
     return out
 
 
+def window_hashes(words: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of the ``size`` words from every start."""
+    lo = int(starts.min())
+    some = words[lo : int((starts + size).max())]
+    at = starts - lo
+    if len(some) > SPAN:  # beyond the tables of powers: word by word
+        out = size.astype(np.uint64)
+        for k in range(int(size.max())):
+            inside = k < size
+            out = np.where(inside, out * _M + some[np.minimum(at + k, len(some) - 1)], out)
+        return mix(out)
+    up, down = _power_tables(len(some) + 1)
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(some * up[: len(some)])])
+    return mix((sums[at + size] - sums[at]) * down[at] + size.astype(np.uint64))
+
+
 def calibrated(shape: LengthClass, items: list[np.ndarray], recall: float, seed: int = 5) -> LengthClass:
     """Walks needed so that items with all the edits allowed, at random places, still meet in ``recall`` of cases."""
     if not shape.edits:
@@ -186,7 +212,7 @@ def calibrated(shape: LengthClass, items: list[np.ndarray], recall: float, seed:
 
     def keys(some, walk):
         ends = np.cumsum([len(x) for x in some])
-        return walk_keys(np.concatenate(some), np.concatenate([[0], ends[:-1]]), ends, shape, walk)
+        return walk_keys(np.concatenate(some), np.concatenate([[0], ends[:-1]]), ends, shape, [walk])[0]
 
     met = np.zeros(len(left), bool)
     for walk in range(MOST_WALKS):
@@ -225,6 +251,41 @@ def _bitmap(hashed: DataFrame, column: str) -> np.ndarray:
     """The bitmap of a column of hashes; parts are made in tasks, at most 512 of 4 KB come back."""
     place = F.col(column).bitwiseAND(F.lit((1 << BITMAP) - 1))
     parts = hashed.select(place.alias("place")).distinct().withColumn("part", F.shiftright("place", 15))
+    return _assembled(parts, 1 << (BITMAP - 3), 4096)
+
+
+def _key_table(keyed: DataFrame) -> np.ndarray:
+    """Slots of keys and the marks of their items."""
+    slot = F.col("key").bitwiseAND(F.lit(SLOTS - 1))
+    mark = F.pmod(F.xxhash64("item_id", "words"), F.lit(2**32 - 2)) + 2
+    marks = keyed.select(slot.alias("slot"), mark.alias("mark")).groupBy("slot").agg(
+        F.min("mark").alias("low"), F.max("mark").alias("high")
+    )
+    one = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.lit(SEVERAL))
+    parts = marks.select(F.shiftright("slot", 13).alias("part"), F.struct(F.col("slot").bitwiseAND(F.lit(8191)).alias("at"), one.alias("mark")).alias("x"))
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        packed = []
+        for some in batch.column("marks"):
+            table = np.zeros(8192, np.uint32)
+            table[some.values.field("at").to_numpy()] = some.values.field("mark").to_numpy()
+            packed.append(table.tobytes())
+        return rows(part=batch.column("part"), bits=pa.array(packed, pa.binary()))
+
+    spread = parts.groupBy("part").agg(F.collect_list("x").alias("marks"))
+    return _gathered(mapped(spread, each, "part long, bits binary"), 4 * SLOTS, 32768).view(np.uint32)
+
+
+def _gathered(parts: DataFrame, size: int, step: int) -> np.ndarray:
+    """Byte strings of a part each, put in their places; at most 512 of them come to the driver."""
+    out = np.zeros(size, np.uint8)
+    for part in parts.toLocalIterator():
+        at = part["part"] * step
+        out[at : at + step] = np.frombuffer(part["bits"], np.uint8)
+    return out
+
+
+def _assembled(parts: DataFrame, size: int, step: int) -> np.ndarray:
     spread = parts.groupBy("part").agg(F.collect_set(F.col("place").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits"))
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -235,11 +296,7 @@ def _bitmap(hashed: DataFrame, column: str) -> np.ndarray:
             packed.append(np.packbits(flags, bitorder="little").tobytes())
         return rows(part=batch.column("part"), bits=pa.array(packed, pa.binary()))
 
-    out = np.zeros(1 << (BITMAP - 3), np.uint8)
-    for part in mapped(spread, each, "part long, bits binary").toLocalIterator():
-        at = part["part"] << 12
-        out[at : at + 4096] = np.frombuffer(part["bits"], np.uint8)
-    return out
+    return _gathered(mapped(spread, each, "part long, bits binary"), size, step)
 
 
 def _in(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -247,6 +304,23 @@ def _in(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bitmap[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 != 0
 
 
+def _starts(spots: np.ndarray, width: int, least: int, n: int) -> np.ndarray:
+    """The places from which ``width`` places on hold at least ``least`` of the sorted ``spots``."""
+    if least <= 0:
+        return np.arange(n)
+    if len(spots) < least:
+        return np.empty(0, np.int64)
+    first, last = spots[: len(spots) - least + 1], spots[least - 1 :]
+    close = last - first < width
+    # counted from any start after the first of them would leave out, and up to it holds them all
+    begin = np.maximum(last[close] - width + 1, 0)
+    stop = first[close] + 1
+    begin = np.maximum(begin, np.concatenate([[0], stop[:-1]]))  # each start once
+    size = np.maximum(stop - begin, 0)
+    step = np.cumsum(size)
+    return np.repeat(stop - step, size) + np.arange(step[-1] if len(step) else 0)
+
+
 def _item_rows(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
     """Items as word hashes; items without a word are left out."""
 
@@ -283,26 +357,39 @@ def _hits(shapes: list[LengthClass], words_in, pairs_in, keys_in):
         end = offsets[1:][owner]
         has = _in(vocabulary, words)
         seen = np.concatenate([[0], np.cumsum(has)])
-        paired = np.zeros(n, bool)
-        paired[:-1] = has[:-1] & has[1:] & (owner[1:] == owner[:-1])
-        spots = np.flatnonzero(paired)
-        paired[spots] = _in(couples, pairs_of(words)[spots])
-        linked = np.concatenate([[0], np.cumsum(paired)])
-        first = np.flatnonzero(has)
-        for number, shape in enumerate(shapes):
+        spots = np.flatnonzero(has[:-1] & has[1:] & (owner[1:] == owner[:-1]))
+        pairs = pairs_of(words)[spots]
+        known_pair = _in(couples, pairs)
+        spots, pairs = spots[known_pair], pairs[known_pair]
+        for shape in shapes:
             w = shape.window
-            at = first[first + w <= end[first]]
+            at = _starts(spots[_in(couples, pairs ^ shape.salt)], w - 1, w - 1 - 2 * shape.edits, n)
+            at = at[_in(vocabulary, words[at] ^ shape.salt)]
+            at = at[at + w <= end[at]]
             at = at[seen[at + w] - seen[at] >= w - shape.edits]
-            if w > 1:
-                at = at[linked[at + w - 1] - linked[at] >= w - 1 - 2 * shape.edits]
             if not len(at):
                 continue
+            # of equal stretches of a text the first will do: a text may say the same a thousand times
+            reach = np.minimum(at + shape.high + shape.edits, end[at])
+            stretch = mix(window_hashes(words, at, reach - at) ^ (owner[at].astype(np.uint64) * _M))
+            at = at[np.sort(np.unique(stretch, return_index=True)[1])]
+            # equal windows walk alike: one of them goes
+            _, one, alike = np.unique(window_hashes(words, at, np.full(len(at), w)), return_index=True, return_inverse=True)
+            starts = at[one]
+            marks = np.zeros((len(starts), shape.walks), np.uint32)
             found, keys = [], []
-            for walk in range(shape.walks):
-                key = walk_keys(words, at, end[at], shape, walk)
-                hit = np.flatnonzero(_in(known, key))
+            every = np.concatenate([
+                walk_keys(words, starts[k : k + 10_000], end[starts[k : k + 10_000]], shape, list(range(shape.walks)))
+                for k in range(0, len(starts), 10_000)
+            ], axis=1)
+            for walk, key in enumerate(every):
+                mark = known[(key & np.uint64(SLOTS - 1)).astype(np.int64)]
+                # a window that has met an item need not meet it again
+                new = (mark > 0) & ((mark == SEVERAL) | ~(marks[:, :walk] == mark[:, None]).any(axis=1))
+                marks[:, walk] = mark
+                hit = np.flatnonzero(new[alike])
                 found.append(hit)
-                keys.append(key[hit])
+                keys.append(key[alike[hit]])
             found, keys = np.concatenate(found), np.concatenate(keys)
             reach = shape.high + shape.edits
             for lo in range(0, len(found), 5000):
@@ -377,32 +464,37 @@ def contaminated(
         sample = [np.array(r["words"], np.int64).view(np.uint64) for r in within.collect()]  # to calibrate, at most 32
         shapes.append(calibrated(shape, sample, recall))
 
+    def shape_of(words: np.ndarray) -> LengthClass:
+        return next(s for s in shapes if s.low <= len(words) <= s.high)
+
     def hashed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         out_key, out_item = [], []
         lists = [np.asarray(x.values).view(np.uint64) for x in batch.column("words")]
         for i, words in enumerate(lists):
-            shape = next(s for s in shapes if s.low <= len(words) <= s.high)
-            for walk in range(shape.walks):
-                out_key.append(walk_keys(words, np.array([0]), np.array([len(words)]), shape, walk)[0])
-                out_item.append(i)
+            shape = shape_of(words)
+            keys = walk_keys(words, np.array([0]), np.array([len(words)]), shape, list(range(shape.walks)))[:, 0]
+            out_key += keys.tolist()
+            out_item += [i] * len(keys)
         pick = pa.array(out_item, pa.int32())
         return rows(key=np.array(out_key, np.uint64).view(np.int64), item_id=batch.column("item_id").take(pick),
                     words=batch.column("words").take(pick))
 
+    def worded(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """All words, and those a match may start with, salted: with more words lost before it, it would be too far."""
+        lists = [np.asarray(x.values).view(np.uint64) for x in batch.column("words")]
+        first = [x[: shape_of(x).edits + 1] ^ shape_of(x).salt for x in lists]
+        return rows(word=np.concatenate([*lists, *first]).view(np.int64))
+
     def coupled(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        """All pairs of neighbours, plain and salted."""
         lists = [np.asarray(x.values).view(np.uint64) for x in batch.column("words")]
-        both = [pairs_of(x) for x in lists if len(x) > 1]
+        both = [y for x in lists if len(x) > 1 for y in (pairs_of(x), pairs_of(x) ^ shape_of(x).salt)]
         return rows(pair=np.concatenate(both).view(np.int64)) if both else None
 
     keyed = stage(mapped(items, hashed, "key long, item_id long, words array<long>"), "keys")
-    shared = [
-        spark.sparkContext.broadcast(_bitmap(frame, column))  # 2 MB each
-        for frame, column in (
-            (items.select(F.explode("words").alias("word")), "word"),
-            (mapped(items, coupled, "pair long"), "pair"),
-            (keyed, "key"),
-        )
-    ]
+    # 2, 2 and 16 MB, whatever the size of the benchmark
+    tables = [_bitmap(mapped(items, worded, "word long"), "word"), _bitmap(mapped(items, coupled, "pair long"), "pair"), _key_table(keyed)]
+    shared = [spark.sparkContext.broadcast(t) for t in tables]
     hits = identified(docs, id_col, text_col).mapInArrow(
         _hits(shapes, *shared), "_id long, _h long, key long, at long, window array<long>"
     )
