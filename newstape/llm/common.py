@@ -22,7 +22,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # whole texts travel in Arrow batches: keep a batch to some megabytes
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 

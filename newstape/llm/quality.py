@@ -24,7 +24,7 @@ RANK = 6
 #: structure statistics take the first feature slots, hashed words and metadata the rest
 STATS = 16
 #: entries of a worker's word table; it starts anew when full, results do not depend on it
-WORD_TABLE = 200_000
+WORD_TABLE = 100_000
 
 FEATURES = "idx array<int>, val array<float>"
 

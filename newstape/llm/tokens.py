@@ -15,7 +15,7 @@ import re
 import numpy as np
 
 #: entries of a worker's word table; it starts anew when full, ids do not depend on it
-WORD_TABLE = 500_000
+WORD_TABLE = 120_000
 #: ASCII, Latin-1 and Latin Extended without number forms: no combining marks, nothing to
 #: normalise, plain lower case
 PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f\u2010-\u201f\u2026\u20ac]*+")
