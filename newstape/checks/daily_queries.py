@@ -15,8 +15,10 @@ from newstape.operators import daily, indicators, labels
 from newstape.plans import dataset, features
 from newstape.schemas import (
     DAILY_FEATURES, LABEL_COLUMNS, ROLLING_FEATURES, SENTIMENT_FEATURES, SOURCE_FEATURES, TECHNICAL_FEATURES,
-    VOLUME_WINDOW_FEATURES,
+    PRICE, VOLUME_WINDOW_FEATURES,
 )
+from newstape.session import fresh_path
+from newstape.sources import files
 
 #: wide enough to cover every row of the sample tables
 FIRST, LAST = dt.date(1990, 1, 1), dt.date(2030, 12, 31)
@@ -33,7 +35,7 @@ def with_day(df: DataFrame, column: str = "date") -> DataFrame:
 def at_places(df: DataFrame, names: list[str]) -> DataFrame:
     """Indicators rounded for the comparison of two floating-point evaluation orders."""
     rounded: dict[str, Column] = {
-        c: half_even(F.col(c) + float(S.OFF_TIE), 4 if c in S.SMOOTHED else 6) for c in names if c in df.columns
+        c: half_even(F.col(c) + float(S.OFF_TIE), 6) for c in names if c in df.columns
     }
     return df.withColumns(rounded)
 
@@ -219,15 +221,16 @@ P5_SQL = S.with_ctes(
 
 
 def j4(spark, sf_dir):
+    """All nineteen indicators on every article day."""
     rows = daily.daily_sentiment(dated(spark, sf_dir)).select("ticker", "date", "article_count")
-    bars = indicators.with_returns(line_prices(spark, sf_dir)).select("ticker", "trading_date", "price_chg_1d")
-    return with_day(at_places(indicators.at_dates(rows, bars), ["price_chg_1d"]))
+    bars = indicators.technical_indicators(line_prices(spark, sf_dir))
+    return with_day(at_places(indicators.at_dates(rows, bars), TECHNICAL_FEATURES))
 
 
 J4_SQL = S.with_ctes(
-    "line_articles line_daily line_prices series",
-    "SELECT d.ticker, CAST(date AS VARCHAR) AS date, article_count, " + S.coarse("c / pc - 1", 6) + """ AS price_chg_1d
-    FROM line_daily d LEFT JOIN series s ON s.ticker = d.ticker AND s.trading_date = d.date""",
+    "line_articles line_daily line_prices series smoothed technical",
+    "SELECT d.ticker, CAST(date AS VARCHAR) AS date, article_count, " + ", ".join(S.technical_sql(c, "t") for c in TECHNICAL_FEATURES)
+    + " FROM line_daily d LEFT JOIN technical t ON t.ticker = d.ticker AND t.trading_date = d.date",
 )
 
 
@@ -249,14 +252,55 @@ W12_SQL = S.with_ctes(
 )
 
 
+def _twice(spark, sf_dir) -> DataFrame:
+    """Prices where every third day of the month has an earlier, wrong row, and days of volume 2 a NaN close."""
+    bars = line_prices(spark, sf_dir)
+    wrong = bars.where(F.dayofmonth("trading_date") % 3 == 0).withColumns({
+        "close_price": F.lit(1.0), "high_price": F.lit(2.0), "low_price": F.lit(0.5), "volume": F.lit(7).cast("long")})
+    return bars.withColumn("seq", F.lit(2)).unionByName(wrong.withColumn("seq", F.lit(1)))
+
+
+def w12_repeated(spark, sf_dir):
+    """Repeated price days: the last row by ``seq`` counts, for the indicators and for the labels."""
+    prices = _twice(spark, sf_dir)
+    bars = indicators.technical_indicators(prices, seq="seq").select("ticker", "trading_date", "sma_10", "volume_avg_5d")
+    closes = labels.future_closes(prices, (1, 5), seq="seq")
+    out = at_places(bars, ["sma_10", "volume_avg_5d"]).join(closes, ["ticker", "trading_date"])
+    return with_day(out, "trading_date")
+
+
+W12_REPEATED_SQL = S.with_ctes(
+    "line_prices series smoothed technical future",
+    f"""SELECT t.ticker, CAST(t.trading_date AS VARCHAR) AS trading_date, {S.technical_sql('sma_10', 't')},
+               {S.technical_sql('volume_avg_5d', 't')}, f.close_price, f.future_close_1d, f.future_close_5d
+        FROM technical t JOIN future f ON f.ticker = t.ticker AND f.trading_date = t.trading_date""",
+)
+
+
+def w14_nan(spark, sf_dir):
+    """Prices written as Parquet with NaN closes on days of an even volume, loaded and labelled: NaN is no close."""
+    bars = line_prices(spark, sf_dir)
+    close = F.when(F.col("volume") % 2 == 0, F.lit(float("nan"))).otherwise(F.col("close_price"))
+    path = fresh_path(spark, "prices")
+    bars.withColumn("close_price", close).write.parquet(path)
+    landed = files.load_table(spark, path, PRICE, ("ticker", "trading_date"), "parquet")
+    return with_day(labels.price_labels(landed).select(
+        "ticker", "trading_date", "close_price", *[_label_value(c) for c in LABEL_COLUMNS]), "trading_date")
+
+
+W14_NAN_SQL = S.with_ctes(
+    "line_prices future returns labels_of",
+    "SELECT ticker, CAST(trading_date AS VARCHAR) AS trading_date, close_price, "
+    + ", ".join(_label_sql(c) for c in LABEL_COLUMNS) + " FROM labels_of",
+).replace("FROM line_prices WINDOW w", "FROM line_prices WHERE volume % 2 <> 0 WINDOW w")
+
+
 def j5(spark, sf_dir):
-    """Matched and unmatched feature rows of the label join."""
+    """Matched and unmatched feature rows of the label join, told apart by one left join."""
     rows = daily.daily_sentiment(dated(spark, sf_dir)).select("ticker", "date")
-    prices = line_prices(spark, sf_dir)
-    kept = labels.label_features(rows, prices).groupBy("ticker").agg(F.count(F.lit(1)).alias("labelled"))
-    lost = labels.without_close(rows, prices).groupBy("ticker").agg(F.count(F.lit(1)).alias("skipped"))
-    return kept.join(lost, "ticker", "full_outer").select(
-        "ticker", F.coalesce("labelled", F.lit(0)).alias("labelled"), F.coalesce("skipped", F.lit(0)).alias("skipped")
+    traded = labels.trading_days(line_prices(spark, sf_dir)).withColumnRenamed("trading_date", "date")
+    return rows.join(traded, ["ticker", "date"], "left").groupBy("ticker").agg(
+        F.count("close_price").alias("labelled"), F.count_if(F.col("close_price").isNull()).alias("skipped")
     )
 
 
@@ -310,8 +354,10 @@ QUERIES = {
     "w10_returns": _indicator(indicators.with_returns, ["price_chg_1d", "price_chg_5d", "price_chg_10d"]),
     "w11_volume": _indicator(indicators.with_volume, ["volume_change_pct", "volume_avg_5d", "volume_ratio"]),
     "w12_value_at_date": (w12, W12_SQL),
+    "w12_repeated_day": (w12_repeated, W12_REPEATED_SQL),
     "w13_technical_bundle": _indicator(indicators.technical_indicators, TECHNICAL_FEATURES),
     "w14_future_closes": _labels([c for c in LABEL_COLUMNS if c.startswith("future")], "future"),
+    "w14_nan_close": (w14_nan, W14_NAN_SQL),
     "l1_forward_returns": _labels([c for c in LABEL_COLUMNS if c.startswith("return")], "returns"),
     "l2_up_labels": _labels([c for c in LABEL_COLUMNS if c.startswith("label_up")], "labels_of"),
     "l3_direction": _labels(["label_direction"], "labels_of"),

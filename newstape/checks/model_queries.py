@@ -15,9 +15,10 @@ from newstape.checks.views import MODEL, event_articles, line_articles, line_pri
 from newstape.functions.numeric import half_even
 from newstape.operators import daily, indicators, labels, metrics, model as M, reports, sentiment, split
 from newstape.plans import loading, training
-from newstape.schemas import DAILY_FEATURES, DIRECTIONS
+from newstape.schemas import DAILY_FEATURES, DIRECTIONS, TECHNICAL_FEATURES
 from newstape.session import fresh_path, tune
 from newstape.sources import sinks
+from newstape.sources.keyed import KeyedTable, by_hash, by_month
 from newstape.streaming import intake
 
 #: words that occur in the sample texts
@@ -27,13 +28,12 @@ GOOD, BAD = ["the", "on", "is", "le", "la"], ["of", "and", "in", "un", "elle"]
 
 
 def _texts(spark, sf_dir) -> DataFrame:
-    """Documents as articles: some titles blank, French descriptions missing."""
+    """Documents as articles, some titles blank, and for every tenth document one more article without a text."""
     docs = table(spark, sf_dir, "documents")
-    return docs.select(
-        "doc_id",
-        F.when(F.col("lang") == "en", "The news").otherwise("  ").alias("title"),
-        F.when(F.col("lang") != "fr", F.col("text")).alias("description"),
-    )
+    title = F.when(F.col("lang") == "en", "The news").otherwise("  ").alias("title")
+    whole = docs.select("doc_id", title, F.col("text").alias("description"))
+    blank = docs.where(F.col("doc_id") % 10 == 0).select((-F.col("doc_id") - 1).alias("doc_id"), title, F.lit(None).cast("string").alias("description"))
+    return whole.unionByName(blank)
 
 
 def _scored(df: DataFrame) -> DataFrame:
@@ -74,8 +74,9 @@ def _in(words):
 
 
 M1_SQL = f"""
-    WITH t AS (SELECT doc_id, nullif(concat_ws('. ', CASE WHEN lang = 'en' THEN 'The news' END,
-                 CASE WHEN lang <> 'fr' THEN nullif(trim(text, {WS}), '') END), '') AS txt FROM documents),
+    WITH t AS (SELECT doc_id, nullif(concat_ws('. ', CASE WHEN lang = 'en' THEN 'The news' END, nullif(trim(text, {WS}), '')), '') AS txt
+                 FROM documents
+               UNION ALL SELECT -doc_id - 1, CASE WHEN lang = 'en' THEN 'The news' END FROM documents WHERE doc_id % 10 = 0),
          w AS (SELECT doc_id, txt, regexp_split_to_array(lower(txt), '[^a-z]+') AS ws FROM t),
          c AS (SELECT doc_id, txt, len(list_filter(ws, lambda x: x IN ({_in(GOOD)}))) AS g,
                       len(list_filter(ws, lambda x: x IN ({_in(BAD)}))) AS b FROM w),
@@ -256,6 +257,11 @@ M8_SQL = S.with_ctes(GUESS_CTES, GUESS_SQL + f"""
     UNION ALL SELECT 'per_class', class, 'recall', {S.r('rec', 10)} FROM pc
     UNION ALL SELECT 'per_class', class, 'f1', {S.r('f', 10)} FROM pc
     UNION ALL SELECT 'per_class', class, 'support', CAST(support AS DOUBLE) FROM pc
+    UNION ALL SELECT 'report', 'macro avg', unnest(['precision', 'recall', 'f1', 'support']),
+      unnest([{S.r('avg(prec)', 10)}, {S.r('avg(rec)', 10)}, {S.r('avg(f)', 10)}, CAST(sum(support) AS DOUBLE)]) FROM pc
+    UNION ALL SELECT 'report', 'weighted avg', unnest(['precision', 'recall', 'f1', 'support']),
+      unnest([{S.r('sum(prec * support) / sum(support)', 10)}, {S.r('sum(rec * support) / sum(support)', 10)},
+              {S.r('sum(f * support) / sum(support)', 10)}, CAST(sum(support) AS DOUBLE)]) FROM pc
     UNION ALL SELECT 'overall', 'all', 'accuracy', {S.r('count(*) FILTER (a = p) / count(*)', 10)} FROM g
     UNION ALL SELECT 'overall', 'all', 'macro_precision', {S.r('avg(prec)', 10)} FROM pc
     UNION ALL SELECT 'overall', 'all', 'macro_recall', {S.r('avg(rec)', 10)} FROM pc
@@ -300,10 +306,10 @@ G13_SQL = S.with_ctes("line_prices series", """
     SELECT 'price_chg_1d' AS feature, a AS missing FROM n UNION ALL SELECT 'price_chg_10d', b FROM n
     UNION ALL SELECT 'sma_20', c FROM n UNION ALL SELECT '(total)', a + b + c FROM n""")
 
-# --- training and jobs (rows-only: tree ensembles are not SQL) ---------------------------
+# --- training and jobs: tree ensembles are not SQL, but what must hold of their results is ------
 
-#: fewer trees than the default keep the checks short; every row is used
-SHORT = {"trees": 20, "depth": 5}
+#: models trained in this program, by sample and kind: several queries look at the same one
+_trained: dict = {}
 
 
 def _training_set(spark, sf_dir) -> DataFrame:
@@ -313,72 +319,137 @@ def _training_set(spark, sf_dir) -> DataFrame:
     return labelled_dataset(feature_rows(spark, sf_dir), line_prices(spark, sf_dir), FIRST, LAST)
 
 
-def _model_of(spark, sf_dir, kind="forest", params=None):
-    rows = _training_set(spark, sf_dir)
-    path = fresh_path(spark, "training")
-    rows.write.parquet(path)
-    rows = spark.read.parquet(path)
-    return M.train(rows, kind=kind, params=params or SHORT), rows
+def _model_of(spark, sf_dir, kind="forest"):
+    """A model trained with the defaults on the whole labelled set, and those rows."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _trained:
+        path = fresh_path(spark, "training")
+        _training_set(spark, sf_dir).write.parquet(path)
+        _trained[key] = (M.train(spark.read.parquet(path), kind=kind), path)
+    fitted, path = _trained[key]
+    return fitted, spark.read.parquet(path)
+
+
+def _sound(out: DataFrame, *more) -> DataFrame:
+    """Per prediction: its key, whether the class is known, and the sum of the probabilities."""
+    total = sum((F.col(f"prob_{c}") for c in DIRECTIONS), F.lit(0.0))
+    return with_day(out.select(
+        "ticker", "date", *more, half_even(total, 6).alias("prob_sum"),
+        F.col("predicted_direction").isin(DIRECTIONS).cast("long").alias("known"),
+    ))
+
+
+def _sound_sql(more: str = "") -> str:
+    return S.with_ctes(
+        DATASET_CTES,
+        f"""SELECT d.ticker, CAST(date AS VARCHAR) AS date, {more} 1e0 AS prob_sum, CAST(1 AS BIGINT) AS known {DATASET_FROM}""",
+    )
 
 
 def m3(spark, sf_dir):
-    """Train the forest on the whole labelled set and predict it."""
+    """Train the forest on the whole labelled set and predict it from its features alone."""
     fitted, rows = _model_of(spark, sf_dir)
-    return fitted.predict(rows.select("ticker", "date", *fitted.features)).select(
-        "ticker", "date", "predicted_direction", *[f"prob_{c}" for c in DIRECTIONS]
-    )
+    return _sound(fitted.predict(rows.select("ticker", "date", *fitted.features)))
 
 
 def m3_boosted(spark, sf_dir):
-    fitted, rows = _model_of(spark, sf_dir, "boosted", {"trees": 5, "depth": 4})
-    return fitted.predict(rows).select("ticker", "date", "predicted_direction", *[f"prob_{c}" for c in DIRECTIONS])
+    fitted, rows = _model_of(spark, sf_dir, "boosted")
+    return _sound(fitted.predict(rows))
 
 
 def m4(spark, sf_dir):
-    """What SQL can check of predictions: every row once, a known class, probabilities that sum to one."""
+    """Every row once, its own columns kept, a known class, probabilities that sum to one."""
     fitted, rows = _model_of(spark, sf_dir)
-    out = fitted.predict(rows)
-    total = sum((F.col(f"prob_{c}") for c in DIRECTIONS), F.lit(0.0))
-    return with_day(out.select(
-        "ticker", "date", "article_count", half_even(total, 6).alias("prob_sum"),
-        F.col("predicted_direction").isin(DIRECTIONS).cast("long").alias("known"),
-    ))
+    return _sound(fitted.predict(rows), "article_count")
 
 
-M4_SQL = S.with_ctes(
-    DATASET_CTES,
-    f"""SELECT d.ticker, CAST(date AS VARCHAR) AS date, article_count, 1e0 AS prob_sum, CAST(1 AS BIGINT) AS known {DATASET_FROM}""",
-)
+M3_SQL = _sound_sql()
+M4_SQL = _sound_sql("article_count,")
 
 
-def m9(spark, sf_dir):
+def _importances(spark, sf_dir) -> DataFrame:
+    """Importances with what must hold of them: none below zero, none above the one ranked before it."""
     fitted, _ = _model_of(spark, sf_dir)
-    return fitted.importances(spark)
+    found = fitted.importances(spark)
+    before = found.select((F.col("rank") + 1).alias("rank"), F.col("importance").alias("before"))
+    held = (F.col("importance") >= 0) & (F.coalesce("before", F.lit(1.0)) >= F.col("importance"))
+    return found.join(before, "rank", "left").withColumn("ordered", held.cast("long"))
+
+
+def m9(spark, sf_dir):
+    """Every feature once; ranks 1 to the number of features; importances that sum to one."""
+    rows = _importances(spark, sf_dir)
+    whole = rows.agg(
+        F.collect_list("feature").alias("features"), half_even(F.sum("importance"), 6).alias("total"),
+        F.sum("ordered").alias("ordered"), F.count_distinct("rank").alias("ranks"), F.max("rank").cast("long").alias("last_rank"),
+    )
+    return whole.select(F.explode("features").alias("feature"), "total", "ordered", "ranks", "last_rank")
+
+
+FEATURE_NAMES = [*DAILY_FEATURES, *TECHNICAL_FEATURES]
+M9_SQL = f"""SELECT unnest([{_in(FEATURE_NAMES)}]) AS feature, 1e0 AS total, CAST({len(FEATURE_NAMES)} AS BIGINT) AS ordered,
+    CAST({len(FEATURE_NAMES)} AS BIGINT) AS ranks, CAST({len(FEATURE_NAMES)} AS BIGINT) AS last_rank"""
 
 
 def s4(spark, sf_dir):
-    """The twenty most important features."""
-    return m9(spark, sf_dir).orderBy("rank").limit(20)
+    """The twenty most important features: their ranks, and that none exceeds the one before it."""
+    top = _importances(spark, sf_dir).orderBy("rank").limit(20)
+    return top.select(F.col("rank").cast("long").alias("rank"), "ordered", F.col("feature").isin(FEATURE_NAMES).cast("long").alias("known"))
+
+
+S4_SQL = "SELECT range AS rank, CAST(1 AS BIGINT) AS ordered, CAST(1 AS BIGINT) AS known FROM range(1, 21)"
 
 
 def m10(spark, sf_dir):
-    """Saved, loaded, and applied (M4, B4)."""
+    """A model saved, loaded and applied by the predict job says what it said before (M4, B4)."""
     fitted, rows = _model_of(spark, sf_dir)
     path = fitted.save(spark, fresh_path(spark, "model"))
     written, _ = training.predict_job(spark, path, rows, fresh_path(spark, "predictions"))
-    return written.select("ticker", "date", "article_count", "predicted_direction", *[f"prob_{c}" for c in DIRECTIONS])
+    names = ["predicted_direction", *[f"prob_{c}" for c in DIRECTIONS]]
+    kept = written.select("ticker", "date", F.struct(*names).alias("loaded"))
+    own = fitted.predict(rows).select("ticker", "date", F.struct(*names).alias("own"))
+    return with_day(own.join(kept, ["ticker", "date"], "full_outer").select(
+        "ticker", "date", F.col("own").eqNullSafe(F.col("loaded")).cast("long").alias("same")
+    ))
+
+
+M10_SQL = S.with_ctes(
+    DATASET_CTES, f"SELECT d.ticker, CAST(date AS VARCHAR) AS date, CAST(1 AS BIGINT) AS same {DATASET_FROM}"
+)
 
 
 def p9(spark, sf_dir):
-    return training.train_and_evaluate(
-        spark, _training_set(spark, sf_dir), fresh_path(spark, "run"), params=SHORT
-    ).metrics
+    """Split, train, predict and measure: the test rows of each class, and ratios between 0 and 1."""
+    measured = training.train_and_evaluate(spark, _training_set(spark, sf_dir), fresh_path(spark, "run")).metrics
+    support = measured.where((F.col("section") == "per_class") & (F.col("metric") == "support"))
+    ratios = measured.where(F.col("section").isin("overall", "report") & (F.col("metric") != "support"))
+    inside = ratios.agg(F.count_if(F.col("value").between(0, 1)).cast("double").alias("value"))
+    return support.select("name", "value").unionByName(inside.select(F.lit("ratios").alias("name"), "value"))
+
+
+P9_SQL = S.with_ctes(DATASET_CTES, f"""
+    , counts AS (SELECT label_direction, count(*) AS n {DATASET_FROM} WHERE label_direction IS NOT NULL GROUP BY 1),
+      shares AS (SELECT label_direction, ceil(sum(n) OVER () * 0.2e0 - 1e-9) AS test,
+                 ceil(sum(n) OVER () * 0.2e0 - 1e-9) * n / sum(n) OVER () AS exact FROM counts),
+      quotas AS (SELECT label_direction, floor(exact) + CASE WHEN row_number() OVER (ORDER BY exact - floor(exact) DESC, label_direction)
+                   <= test - sum(floor(exact)) OVER () THEN 1 ELSE 0 END AS quota FROM shares)
+    SELECT k AS name, coalesce(CAST(quota AS DOUBLE), 0e0) AS value
+    FROM (SELECT unnest(['BUY', 'HOLD', 'SELL']) AS k) LEFT JOIN quotas ON label_direction = k
+    UNION ALL SELECT 'ratios', 10e0""")
 
 
 def p10(spark, sf_dir):
+    """The predict job's summary: a row per class, together all rows."""
     fitted, rows = _model_of(spark, sf_dir)
     path = fitted.save(spark, fresh_path(spark, "model"))
-    return training.predict_job(spark, path, rows, fresh_path(spark, "predictions"))[1]
+    summary = training.predict_job(spark, path, rows, fresh_path(spark, "predictions"))[1]
+    whole = summary.agg(F.collect_list("direction").alias("directions"), F.sum("predictions").alias("predictions"))
+    return whole.select(F.explode("directions").alias("direction"), "predictions")
+
+
+P10_SQL = S.with_ctes(
+    DATASET_CTES, f"SELECT unnest([{_in(DIRECTIONS)}]) AS direction, n AS predictions FROM (SELECT count(*) AS n {DATASET_FROM})"
+)
 
 
 def p6(spark, sf_dir):
@@ -414,6 +485,30 @@ def p7(spark, sf_dir):
     )[1]
 
 
+def p7_csv(spark, sf_dir):
+    """The same as CSV: texts with quotes and line breaks, and tickers of digits, come back as they were."""
+    docs = table(spark, sf_dir, "documents").select(
+        F.lpad(F.col("doc_id") % 7, 4, "0").alias("ticker"), F.col("doc_id").cast("string").alias("title"),
+        F.concat(F.lit('say "x", '), F.col("text"), F.lit("\n, end")).alias("description"),
+    )
+    written, _ = loading.score_articles(
+        docs, fresh_path(spark, "scored"), "2025", sentiment.word_scorer(GOOD, BAD), STAMP, fmt="csv"
+    )
+    return written.select("ticker", "title", F.md5("description").alias("description"), "sentiment_label",
+                          F.col("sentiment_score").cast("long").alias("sentiment_score"), "sentiment_confidence")
+
+
+P7_CSV_SQL = f"""
+    WITH w AS (SELECT lpad(CAST(doc_id % 7 AS VARCHAR), 4, '0') AS ticker, CAST(doc_id AS VARCHAR) AS title,
+                      'say "x", ' || text || chr(10) || ', end' AS description FROM documents),
+         s AS (SELECT *, regexp_split_to_array(lower(title || '. ' || trim(description, {WS})), '[^a-z]+') AS ws FROM w),
+         c AS (SELECT *, len(list_filter(ws, lambda x: x IN ({_in(GOOD)}))) AS g,
+                      len(list_filter(ws, lambda x: x IN ({_in(BAD)}))) AS b FROM s)
+    SELECT ticker, title, md5(description) AS description,
+           CASE WHEN g > b THEN 'positive' WHEN g < b THEN 'negative' ELSE 'neutral' END AS sentiment_label,
+           CAST(CASE WHEN g > b THEN 1 WHEN g < b THEN -1 ELSE 0 END AS BIGINT) AS sentiment_score,
+           {S.r('CASE WHEN g + b > 0 THEN abs(g - b) / (g + b) ELSE 0e0 END', 6)} AS sentiment_confidence FROM c"""
+
 P7_SQL = f"""
     WITH w AS (SELECT upper(lang) AS ticker, regexp_split_to_array(lower(trim(text, {WS})), '[^a-z]+') AS ws FROM documents),
          c AS (SELECT ticker, len(list_filter(ws, lambda x: x IN ({_in(GOOD)}))) AS g,
@@ -428,7 +523,7 @@ def p8(spark, sf_dir):
     """Load both price batches; the merged table."""
     folder = fresh_path(spark, "tables")
     loading.load_prices(spark, _batch_prices(spark, sf_dir, "O"), folder)
-    return with_day(loading.load_prices(spark, _batch_prices(spark, sf_dir, "F"), folder, small_batch=True)[0], "trading_date")
+    return with_day(loading.load_prices(spark, _batch_prices(spark, sf_dir, "F"), folder)[0], "trading_date")
 
 
 # --- streams ------------------------------------------------------------------------------
@@ -451,8 +546,9 @@ def t1(spark, sf_dir):
     """Every user's url once, however often it arrives."""
     root = fresh_path(spark, "stream")
     seen = intake.new_urls(_event_stream(spark, sf_dir), "60 days").select("url", "ticker")
-    intake.run_available(seen, f"{root}/checkpoint", intake.upsert_batches(spark, f"{root}/table", ["url"], []))
-    return sinks.newest(spark, f"{root}/table")
+    stored = KeyedTable(spark, f"{root}/table", seen.schema, by_hash(["url"], 8))
+    intake.run_available(seen, f"{root}/checkpoint", intake.upsert_batches(stored, ["url"], []))
+    return stored.read()
 
 
 T1_SQL = "SELECT DISTINCT 'http://news.example/u/' || user_id AS url, 'T' || (user_id % 10) AS ticker FROM events"
@@ -463,10 +559,10 @@ def t2(spark, sf_dir):
     root = fresh_path(spark, "stream")
     counts = intake.daily_label_counts(_event_stream(spark, sf_dir))
     refresh = [c for c in counts.columns if c not in ("ticker", "date")]
-    merge = intake.upsert_batches(spark, f"{root}/table", ["ticker", "date"], refresh)
+    stored = KeyedTable(spark, f"{root}/table", counts.schema, by_month("date"))
+    merge = intake.upsert_batches(stored, ["ticker", "date"], refresh)
     intake.run_available(counts, f"{root}/checkpoint", merge, "update")
-    out = sinks.newest(spark, f"{root}/table")
-    return with_day(out.withColumn("daily_mean", half_even(F.col("daily_mean"), 8)))
+    return with_day(stored.read().withColumn("daily_mean", half_even(F.col("daily_mean"), 8)))
 
 
 T2_SQL = S.with_ctes("event_articles", f"""
@@ -480,10 +576,11 @@ T2_SQL = S.with_ctes("event_articles", f"""
 def t3(spark, sf_dir):
     """Articles of the stream merged by url: first ticker and time stay, the label is refreshed."""
     root = fresh_path(spark, "stream")
-    stream = _event_stream(spark, sf_dir).withColumn("seq", F.struct("published_at", "sentiment_label"))
-    merge = intake.upsert_batches(spark, f"{root}/table", ["url"], ["sentiment_label", "sentiment_score"], "seq")
-    intake.run_available(stream, f"{root}/checkpoint", merge)
-    out = sinks.newest(spark, f"{root}/table").withColumn("sentiment_score", F.col("sentiment_score").cast("long"))
+    stream = _event_stream(spark, sf_dir)
+    stored = KeyedTable(spark, f"{root}/table", stream.schema, by_hash(["url"], 8))
+    merge = intake.upsert_batches(stored, ["url"], ["sentiment_label", "sentiment_score"], "seq")
+    intake.run_available(stream.withColumn("seq", F.struct("published_at", "sentiment_label")), f"{root}/checkpoint", merge)
+    out = stored.read().withColumn("sentiment_score", F.col("sentiment_score").cast("long"))
     return as_text(out, "published_at")
 
 
@@ -512,16 +609,17 @@ QUERIES = {
     "b4_prediction_sink": (b4, B4_SQL),
     "b5_report_sink": (b5, M6_SQL),
     "m4_batch_predict": (m4, M4_SQL),
-    "m3_forest": (m3, None),
-    "m3_boosted": (m3_boosted, None),
-    "m9_importances": (m9, None),
-    "s4_top_features": (s4, None),
-    "m10_saved_model_predictions": (m10, None),
+    "m3_forest": (m3, M3_SQL),
+    "m3_boosted": (m3_boosted, M3_SQL),
+    "m9_importances": (m9, M9_SQL),
+    "s4_top_features": (s4, S4_SQL),
+    "m10_saved_model_predictions": (m10, M10_SQL),
     "p6_load_articles": (p6, P6_SQL),
     "p7_score_articles": (p7, P7_SQL),
+    "p7_score_articles_csv": (p7_csv, P7_CSV_SQL),
     "p8_load_prices": (p8, VERSIONS_SQL),
-    "p9_train_and_evaluate": (p9, None),
-    "p10_predict": (p10, None),
+    "p9_train_and_evaluate": (p9, P9_SQL),
+    "p10_predict": (p10, P10_SQL),
     "t1_new_urls": (t1, T1_SQL),
     "t2_daily_counts": (t2, T2_SQL),
     "t3_upsert_stream": (t3, T3_SQL),

@@ -166,15 +166,10 @@ def coarse(value: str, places: int) -> str:
     return r(f"{r(value, 8)} + {OFF_TIE}", places)
 
 
-#: columns that come out of long floating-point chains are compared at 4 places
-SMOOTHED = ["ema_10", "ema_20", "rsi_14", "macd", "macd_signal", "macd_histogram", "atr_14"]
-
-
 def technical_sql(column: str, alias: str = "") -> str:
     prefix = f"{alias}." if alias else ""
-    places = 4 if column in SMOOTHED else 6
     value = f"({prefix}bb_upper - {prefix}bb_lower) / {prefix}sma_20" if column == "bb_width" else prefix + column
-    return f"{coarse(value, places)} AS {column}"
+    return f"{coarse(value, 6)} AS {column}"
 
 
 def daily_sql(column: str) -> str:

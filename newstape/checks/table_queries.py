@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from newstape.checks import sql as S
-from newstape.checks.daily_queries import FIRST, LAST, dated, with_day
+from newstape.checks.daily_queries import FIRST, LAST, P3_SQL, dated, with_day
 from newstape.checks.views import (
     MODEL, day_text, event_articles, event_prices, line_articles, line_prices, stored_articles, stored_sentiments,
     table, time_text,
@@ -15,9 +15,11 @@ from newstape.checks.views import (
 from newstape.functions import text as X
 from newstape.functions.numeric import half_even, null_if_nan
 from newstape.operators import daily, labels, lookups, records, reports, tagging, upsert
-from newstape.schemas import DAILY_FEATURES, FEATURES, PRICE, SENTIMENT_FEATURES
+from newstape.plans import loading
+from newstape.schemas import DAILY_FEATURES, ENRICHED_ARTICLE, FEATURES, PRICE, SENTIMENT_FEATURES
 from newstape.session import fresh_path, tune
 from newstape.sources import files, payloads, quotes, scans, sinks
+from newstape.sources.keyed import KeyedTable, by_hash
 
 STAMP = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
 #: DuckDB spelling of the white space that is stripped
@@ -92,8 +94,10 @@ def words_sql(column: str) -> str:
 
 
 def a3(spark, sf_dir):
+    """Long texts against a few phrases of common words."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return tagging.tag_with(docs, SAMPLE_PHRASES, "text").select("doc_id", "ticker")
+    phrases = spark.createDataFrame(list(SAMPLE_PHRASES.items()), "ticker string, phrase string")
+    return tagging.tag(docs, phrases, "doc_id", "text")
 
 
 A3_SQL = " UNION ALL ".join(
@@ -107,7 +111,7 @@ def a3_table(spark, sf_dir):
     articles = line_articles(spark, sf_dir).select("url", "title").dropDuplicates(["url", "title"])
     articles = articles.withColumn("article", F.concat_ws("|", "url", "title"))
     phrases = table(spark, sf_dir, "part").select(F.col("p_type").alias("ticker"), F.col("p_name").alias("phrase")).distinct()
-    return tagging.tag_by_table(articles, phrases, "article", "title")
+    return tagging.tag(articles, phrases, "article", "title")
 
 
 A3_TABLE_SQL = S.with_ctes(
@@ -118,6 +122,21 @@ A3_TABLE_SQL = S.with_ctes(
       ON contains({words_sql('title')}, {words_sql('p_name')})""",
 )
 
+
+def a3_items(spark, sf_dir):
+    """Long texts against a table of phrases cut from texts: the first three words of every document."""
+    docs = table(spark, sf_dir, "documents")
+    head = F.array_join(F.slice(F.split(F.trim(X.words_of(F.col("text"))), " "), 1, 3), " ")
+    phrases = docs.select(F.concat(F.lit("D"), F.col("doc_id") % 50).alias("ticker"), head.alias("phrase")).distinct()
+    return tagging.tag(docs.select("doc_id", "text"), phrases, "doc_id", "text")
+
+
+A3_ITEMS_SQL = f"""
+    WITH w AS (SELECT doc_id, {words_sql('text')} AS words FROM documents),
+         p AS (SELECT DISTINCT 'D' || (doc_id % 50) AS ticker,
+                      array_to_string(list_slice(string_split(trim(words), ' '), 1, 3), ' ') AS phrase FROM w)
+    SELECT DISTINCT doc_id, ticker FROM w JOIN p ON phrase <> '' AND contains(words, ' ' || phrase || ' ')"""
+
 COVER = (dt.datetime(1995, 1, 1, tzinfo=dt.timezone.utc), dt.datetime(2002, 1, 15, tzinfo=dt.timezone.utc))
 
 
@@ -183,6 +202,42 @@ A6_SQL = """
                        strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders))"""
 
 
+def a6_files(spark, sf_dir):
+    """Events written as named article files, one per ticker; three tickers asked for by tag, one of which has no file."""
+    folder = fresh_path(spark, "landing")
+    rows = event_articles(spark, sf_dir).select(
+        F.col("ticker"), "url", F.concat(F.lit("row "), F.col("event_id"), F.lit("\nnext, line")).alias("title"),
+        F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("published_at"),
+    )
+    letters = F.translate("ticker", "T0123456789", "TABCDEFGHIJ")
+    tag = F.when(F.col("ticker") == "T5", "2023-01-01").otherwise("2024-01-01")
+    named = rows.withColumns({"ticker": letters, "_file": F.concat(letters, F.lit("_news_"), tag)})
+    parts = f"{folder}-parts"
+    named.repartition("_file").write.partitionBy("_file").option("header", True).option("escape", '"').csv(parts)
+    _named_files(spark, parts, folder)
+    found, report = loading.articles_from_files(spark, folder, "2024-01-01", ["ta", "TF", "TZ", "TC"])
+    read = found.groupBy("ticker").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("title").alias("titles"), F.count("published_at").alias("stamps"))
+    return report.join(read, "ticker", "left")
+
+
+def _named_files(spark, parts: str, folder: str) -> None:
+    """Move each partition's file to the name of its partition, as a fetch job would have left it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(parts).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(path(folder))
+    for part in store.globStatus(path(f"{parts}/_file=*/part-*")):
+        name = part.getPath().getParent().getName().removeprefix("_file=")
+        store.rename(part.getPath(), path(f"{folder}/{name}.csv"))
+
+
+A6_FILES_SQL = S.with_ctes("event_articles", """
+    , asked AS (SELECT unnest(['TA', 'TF', 'TZ', 'TC']) AS ticker),
+      e AS (SELECT translate(ticker, 'T0123456789', 'TABCDEFGHIJ') AS ticker, count(*) AS n FROM event_articles WHERE ticker <> 'T5' GROUP BY 1)
+    SELECT ticker, CASE WHEN n IS NULL THEN 0 ELSE 1 END AS files, CASE WHEN n IS NULL THEN 'missing' ELSE 'ok' END AS status,
+           n AS rows, n AS titles, n AS stamps FROM asked LEFT JOIN e USING (ticker)""")
+
+
 def a7(spark, sf_dir):
     out = scans.article_window(
         stored_articles(spark, sf_dir), stored_sentiments(spark, sf_dir), dt.date(2023, 12, 31), dt.date(2024, 1, 30)
@@ -314,11 +369,14 @@ C4_SQL = """
 
 
 def c5(spark, sf_dir):
-    padded = F.concat(F.lit("\t "), F.when(F.col("lang") == "en", F.col("text")).otherwise(F.lit("")), F.lit(" \n"))
-    return table(spark, sf_dir, "documents").select("doc_id", X.text_or_null(padded).alias("text"))
+    """Every text padded with white space, and every source name with its letters made blank."""
+    docs = table(spark, sf_dir, "documents")
+    padded = F.concat(F.lit("\t "), F.col("text"), F.lit(" \n"))
+    blank = F.concat(F.lit("\t "), F.regexp_replace("source", "[a-z0-9]", " "))
+    return docs.select("doc_id", X.text_or_null(padded).alias("text"), X.text_or_null(blank).alias("blank"))
 
 
-C5_SQL = f"SELECT doc_id, CASE WHEN lang = 'en' THEN nullif(trim(text, {WS}), '') END AS text FROM documents"
+C5_SQL = f"SELECT doc_id, nullif(trim(text, {WS}), '') AS text, CAST(NULL AS VARCHAR) AS blank FROM documents"
 
 
 def c6(spark, sf_dir):
@@ -333,14 +391,18 @@ C6_SQL = "SELECT c_custkey, c_mktsegment AS ticker FROM customer WHERE c_mktsegm
 
 
 def c8(spark, sf_dir):
+    """Title and text, each alone, and neither."""
     title = F.when(F.col("lang") == "en", "  ").otherwise(F.concat(F.lit(" "), F.col("source")))
-    body = F.when(F.col("lang") == "fr", F.lit(None)).otherwise(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", X.model_text(title, body).alias("text"))
+    nothing = F.lit(None).cast("string")
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", X.model_text(title, F.col("text")).alias("text"), X.model_text(title, nothing).alias("title_only"),
+    )
 
 
 C8_SQL = f"""
     SELECT doc_id, nullif(concat_ws('. ', CASE WHEN lang <> 'en' THEN nullif(trim(source, {WS}), '') END,
-                   CASE WHEN lang <> 'fr' THEN nullif(trim(text, {WS}), '') END), '') AS text FROM documents"""
+                   nullif(trim(text, {WS}), '')), '') AS text,
+           CASE WHEN lang <> 'en' THEN nullif(trim(source, {WS}), '') END AS title_only FROM documents"""
 
 
 def c9(spark, sf_dir):
@@ -435,9 +497,12 @@ B6_SQL = S.with_ctes("line_articles", UPSERT_CTES + "SELECT * FROM merged")
 
 
 def b6_small(spark, sf_dir):
-    merged = upsert.upsert_articles(
-        _stored_lines(spark, sf_dir), _incoming_lines(spark, sf_dir), "seq", small_batch=True
-    )
+    """The same merge into a stored table: of 16 partitions those that the batch touches are rewritten."""
+    rows = _stored_lines(spark, sf_dir)
+    stored = KeyedTable(spark, fresh_path(spark, "articles"), rows.schema, by_hash(["url"], 16))
+    stored.merge(rows, lambda old, new: upsert.upsert_articles(old, new))
+    incoming = _incoming_lines(spark, sf_dir).where(F.col("url") != "")
+    merged = stored.merge(incoming, lambda old, new: upsert.upsert_articles(old, new, "seq"))
     return as_text(merged.select(*SHOWN, F.col("_action").alias("action"), F.col("_copies").alias("copies")), "published_at", "fetched_at")
 
 
@@ -454,6 +519,21 @@ B9_SQL = S.with_ctes("line_articles", UPSERT_CTES + """
              (SELECT count(*) FROM raw WHERE url = '') AS skipped FROM merged)""")
 
 
+def b9_null_url(spark, sf_dir):
+    """Articles without a source arrive with NULL for a url; each is counted as skipped, per ticker."""
+    rows = line_articles(spark, sf_dir).where(F.col("batch") == "F").drop("batch")
+    rows = rows.withColumn("url", F.when(F.col("source_name").isNotNull(), F.col("url")))
+    merged = upsert.upsert_articles(_stored_lines(spark, sf_dir), rows, "seq")
+    return upsert.accounting_by(rows, "ticker", F.col("url") != "", merged.where(F.col("_action") == "insert"))
+
+
+B9_NULL_SQL = S.with_ctes("line_articles", UPSERT_CTES + """
+    , fresh AS (SELECT ticker, count(*) AS n FROM merged WHERE action = 'insert' GROUP BY 1)
+    SELECT raw.ticker, coalesce(any_value(fresh.n), 0) AS inserted,
+           count(*) FILTER (raw.url <> '') - coalesce(any_value(fresh.n), 0) AS updated, count(*) FILTER (raw.url = '') AS skipped
+    FROM raw LEFT JOIN fresh ON fresh.ticker = raw.ticker GROUP BY 1""")
+
+
 def _line_results(articles: DataFrame) -> DataFrame:
     """Stored results of two models for the open batch."""
     keyed = records.with_article_id(articles)
@@ -507,6 +587,15 @@ def b8(spark, sf_dir):
     return with_day(merged.select(*PRICE.names, F.col("_action").alias("action")), "trading_date")
 
 
+def b8_overlapping(spark, sf_dir):
+    """Two quote files of one batch that overlap: the open and the finished bars, the finished file read last."""
+    both = _batch_prices(spark, sf_dir, "O").withColumn("seq", F.lit(1)).unionByName(
+        _batch_prices(spark, sf_dir, "F").withColumn("seq", F.lit(2))
+    )
+    table_, _ = loading.load_prices(spark, both, fresh_path(spark, "tables"), "seq")
+    return with_day(table_, "trading_date")
+
+
 def _bars_sql(status: str) -> str:
     return S.CTES["line_prices"].replace("ON l_partkey = p_partkey", f"ON l_partkey = p_partkey WHERE l_linestatus = '{status}'")
 
@@ -789,11 +878,10 @@ G7_SQL = S.with_ctes("line_articles", ASKED_SQL + f"""
 
 def g8(spark, sf_dir):
     stored, incoming = _stored_lines(spark, sf_dir), _incoming_lines(spark, sf_dir)
-    articles = upsert.accounting_by(stored, incoming, ["url"], "ticker", "seq", F.col("url") != "")
-    results = upsert.accounting_by(
-        stored, upsert.attach_articles(incoming, records.with_article_id(stored)), ["url"], "ticker", "seq",
-        F.col("article_id").isNotNull(),
-    )
+    merged = upsert.upsert_articles(stored, incoming, "seq")
+    articles = upsert.accounting_by(incoming, "ticker", F.col("url") != "", merged.where(F.col("_action") == "insert"))
+    linked = upsert.attach_articles(incoming.select("ticker", "url"), records.with_article_id(stored.select("url")))
+    results = upsert.accounting_by(linked, "ticker", F.col("article_id").isNotNull())
     out = reports.load_summary(articles, results)
     return out.withColumns({"tickers": F.col("tickers").cast("long"), "is_total": F.col("is_total").cast("long")})
 
@@ -879,31 +967,63 @@ def b1(spark, sf_dir):
 
 
 def b2(spark, sf_dir):
-    rows = _dataset(spark, sf_dir).select("ticker", "date", "article_count", "future_close_5d", "return_5d", "label_direction")
+    """All 56 columns of the dataset."""
+    from newstape.checks.daily_queries import _dataset_columns, feature_rows
+    from newstape.plans.dataset import labelled_dataset
+
+    rows = labelled_dataset(feature_rows(spark, sf_dir), line_prices(spark, sf_dir), FIRST, LAST)
     path = sinks.write_dataset(rows, fresh_path(spark, "out"), FIRST, LAST, by_month=True)
-    return with_day(spark.read.parquet(path).select(*rows.columns))
+    return _dataset_columns(sinks.read_written(spark, path, rows.schema))
+
 
+def _enriched(spark, sf_dir) -> DataFrame:
+    """All fourteen columns of an enriched article; the tickers are numbers."""
+    rows = line_articles(spark, sf_dir).withColumn("ticker", F.lpad(F.regexp_extract("ticker", "[0-9]+", 0), 4, "0"))
+    return rows.select(*ENRICHED_ARTICLE.names)
 
-B2_SQL = S.with_ctes(DATASET_CTES, f"""
-    SELECT d.ticker, CAST(date AS VARCHAR) AS date, article_count, future_close_5d, return_5d, label_direction {DATASET_FROM}""")
+
+def _enriched_text(rows: DataFrame) -> DataFrame:
+    out = rows.withColumns({
+        "sentiment_score": F.col("sentiment_score").cast("long"),
+        "sentiment_confidence": half_even(F.col("sentiment_confidence").cast("double"), 6),
+    })
+    return as_text(out, "published_at", "fetched_at", "analysed_at")
 
 
 def b3(spark, sf_dir):
-    rows = line_articles(spark, sf_dir).select("ticker", "url", "title", "sentiment_label")
+    rows = _enriched(spark, sf_dir)
     path = sinks.write_enriched(rows, fresh_path(spark, "out"), "2024", fmt="csv")
-    return tune(spark).read.option("header", True).csv(path).select(*rows.columns)
+    return _enriched_text(sinks.read_written(spark, path, rows.schema, "csv"))
+
+
+def b3_raw(spark, sf_dir):
+    """The articles as they were fetched, and the summary of the fetch, both written and read back."""
+    rows = _enriched(spark, sf_dir)
+    folder = fresh_path(spark, "out")
+    written = sinks.read_written(spark, sinks.write_raw(rows, folder, "news", "2024"), rows.schema)
+    summary = reports.ingestion_summary(written, written.select("ticker"))
+    path = sinks.write_summary(summary, folder, "news", "2024")
+    return as_text(sinks.read_written(spark, path, summary.schema, "csv"), "earliest", "latest")
 
 
-B3_SQL = S.with_ctes("line_articles", "SELECT ticker, url, title, sentiment_label FROM line_articles")
+B3_SQL = S.with_ctes("line_articles", """
+    SELECT lpad(regexp_extract(ticker, '[0-9]+'), 4, '0') AS ticker, source_id, source_name, author, title, description, url,
+           strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at, content,
+           strftime(fetched_at, '%Y-%m-%d %H:%M:%S') AS fetched_at, sentiment_label,
+           CAST(sentiment_score AS BIGINT) AS sentiment_score, """ + S.r("sentiment_confidence", 6) + """ AS sentiment_confidence,
+           strftime(analysed_at, '%Y-%m-%d %H:%M:%S') AS analysed_at FROM line_articles""")
+B3_RAW_SQL = S.with_ctes("line_articles", """
+    SELECT lpad(regexp_extract(ticker, '[0-9]+'), 4, '0') AS ticker, count(*) AS article_count,
+           strftime(min(published_at), '%Y-%m-%d %H:%M:%S') AS earliest, strftime(max(published_at), '%Y-%m-%d %H:%M:%S') AS latest,
+           count(DISTINCT source_name) AS unique_sources, 'ok' AS status FROM line_articles GROUP BY 1""")
 
 
 def versions(spark, sf_dir):
-    """Prices of the open batch published, then the finished batch merged and published as a second version."""
-    root = fresh_path(spark, "prices")
-    sinks.publish(_batch_prices(spark, sf_dir, "O"), root)
-    merged = upsert.upsert_prices(sinks.newest(spark, root), _batch_prices(spark, sf_dir, "F"))
-    sinks.publish(merged.select(*PRICE.names), root)
-    return with_day(sinks.newest(spark, root), "trading_date")
+    """Prices of the open batch merged into a stored table by month, then those of the finished batch."""
+    stored = loading.price_table(spark, fresh_path(spark, "prices"))
+    for status in ("O", "F"):
+        stored.merge(_batch_prices(spark, sf_dir, status), lambda old, new: upsert.upsert_prices(old, new))
+    return with_day(stored.read(), "trading_date")
 
 
 VERSIONS_SQL = "SELECT * EXCLUDE (action) FROM (" + B8_SQL + ")"
@@ -913,22 +1033,27 @@ QUERIES = {
     "a2_archive_articles": (a2, A2_SQL),
     "a3_company_phrases": (a3, A3_SQL),
     "a3_company_phrases_table": (a3_table, A3_TABLE_SQL),
+    "a3_phrases_in_documents": (a3_items, A3_ITEMS_SQL),
     "a4_backfill_coverage": (a4, A4_SQL),
     "a5_csv_features": (a5, DAILY_SQL),
     "a6_file_names": (a6, A6_SQL),
+    "a6_named_files": (a6_files, A6_FILES_SQL),
     "a7_article_window": (a7, A7_SQL),
     "a8_price_range": (a8, A8_SQL),
     "a9_label_prices": (a9, A9_SQL),
     "a10_quotes": (a10, A10_SQL),
     "b1_feature_sink": (b1, DAILY_SQL),
-    "b2_dataset_sink": (b2, B2_SQL),
+    "b2_dataset_sink": (b2, P3_SQL),
     "b3_enriched_sink": (b3, B3_SQL),
+    "b3_raw_and_summary_sinks": (b3_raw, B3_RAW_SQL),
     "b6_upsert_articles": (b6, B6_SQL),
     "b6_upsert_articles_small_batch": (b6_small, B6_SQL),
     "b7_upsert_sentiments": (b7, B7_SQL),
     "b8_upsert_prices": (b8, B8_SQL),
+    "b8_overlapping_batch": (b8_overlapping, VERSIONS_SQL),
     "b8_published_versions": (versions, VERSIONS_SQL),
     "b9_upsert_accounting": (b9, B9_SQL),
+    "b9_null_url": (b9_null_url, B9_NULL_SQL),
     "c1_nan_to_null": (c1, C1_SQL),
     "c2_lenient_timestamp": (c2, C2_SQL),
     "c3_article_records": (c3, C3_SQL),

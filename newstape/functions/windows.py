@@ -29,3 +29,17 @@ def full_frame(value: Column, aggregate: Column, rows: int, order: str = "tradin
     """``aggregate`` over the trailing rows, NULL unless the frame holds ``rows`` values."""
     frame = trailing_rows(rows, order)
     return F.when(F.count(value).over(frame) == rows, aggregate.over(frame))
+
+
+def last_of_day(prices: DataFrame, seq: str) -> DataFrame:
+    """One row per (ticker, trading_date): the last by ``seq``, reduced on the map side."""
+    rest = [c for c in prices.columns if c not in ("ticker", "trading_date")]
+    one = prices.groupBy("ticker", "trading_date").agg(F.max_by(F.struct(*rest), F.col(seq)).alias("_row"))
+    return one.select(*[F.col(c) if c not in rest else F.col(f"_row.{c}").alias(c) for c in prices.columns])
+
+
+def once_a_day(value: Column) -> Column:
+    """The value, or a failure where the row before it in the series is of the same day."""
+    repeated = F.lag("trading_date").over(series_window()) == F.col("trading_date")
+    message = F.concat_ws(" ", F.lit("more than one price row of"), F.col("ticker"), F.col("trading_date").cast("string"))
+    return F.when(repeated, F.raise_error(message)).otherwise(value)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from newstape.functions.numeric import half_even, null_if_nan, pct_change, ratio
-from newstape.functions.windows import full_frame, series_window
+from newstape.functions.windows import full_frame, last_of_day, series_window
 from newstape.operators.ewm import Ewm, block_rows, ewm, row_numbers, smooth
 from newstape.schemas import TECHNICAL_FEATURES
 
@@ -18,7 +18,7 @@ CLOSE, HIGH, LOW, VOLUME = "close_price", "high_price", "low_price", "volume"
 
 
 def _num(name: str) -> Column:
-    return F.col(name).cast("double")
+    return null_if_nan(F.col(name).cast("double"))
 
 
 def _published(df: DataFrame, columns: dict[str, Column], keep: list[str]) -> DataFrame:
@@ -172,15 +172,19 @@ def _frame(aggregate: str, value: str, rows: int, order: str = "trading_date") -
     return f"if(count({value}) OVER {over} = {rows}, {aggregate}({value}) OVER {over}, NULL)"
 
 
-def technical_indicators(prices: DataFrame, fill: str | None = None) -> DataFrame:
+def technical_indicators(prices: DataFrame, fill: str | None = None, seq: str | None = None) -> DataFrame:
     """(ticker, trading_date) and the nineteen indicators of ``TECHNICAL_FEATURES``.
 
+    A repeated day keeps its last row by ``seq``; without ``seq`` it fails the job.
+
     One shuffle by ticker and two sorts serve all of them: the first pass numbers
     the rows and takes everything that looks at raw prices, the later ones run in
     the (ticker, block, date) order of the weighted means.
     """
     by_day = "PARTITION BY ticker ORDER BY trading_date"
     over, known = f"({by_day})", f"({by_day} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    if seq is not None:
+        prices = last_of_day(prices, seq)
     df = prices.select(
         "ticker", "trading_date",
         _num(CLOSE).alias("_c"), _num(HIGH).alias("_h"), _num(LOW).alias("_l"), _num(VOLUME).alias("_raw"),
@@ -196,7 +200,8 @@ def technical_indicators(prices: DataFrame, fill: str | None = None) -> DataFram
     df = df.selectExpr(
         "*",
         row_numbers(),
-        f"lag(_c) OVER {over} AS _before",
+        f"if(lag(trading_date) OVER {over} = trading_date, raise_error(concat_ws(' ', 'more than one price row of', ticker, "
+        f"string(trading_date))), lag(_c) OVER {over}) AS _before",
         *[f"lag(_level, {n}) OVER {over} AS _back{n}" for n in (1, 5, 10)],
         f"lag(_v) OVER {over} AS _vback",
         f"{_frame('avg', '_c', 10)} AS sma_10",

@@ -116,4 +116,6 @@ def metric_rows(predictions: DataFrame, truth: str = "label_direction", predicte
     overall = unpivoted(
         bundle["overall"], "overall", F.lit("all"), ("accuracy", "macro_precision", "macro_recall", "macro_f1")
     )
-    return overall.unionByName(per_class).unionByName(cells)
+    means = bundle["report"].where(F.col("class").isin("macro avg", "weighted avg"))
+    report = unpivoted(means, "report", F.col("class"), ("precision", "recall", "f1", "support"))
+    return overall.unionByName(per_class).unionByName(report).unionByName(cells)

@@ -5,59 +5,34 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from newstape.functions.text import words_of
 from newstape.schemas import ARCHIVE_CHUNK_DAYS, ARCHIVE_REQUEST_CAP, COMPANY_PHRASES
 
-#: A phrase list up to this length is written into the query; a longer one is joined.
-INLINE_PHRASES = 200
-
 
 def phrase_of(ticker: str, phrases: Mapping[str, str] = COMPANY_PHRASES) -> str:
     """The company phrase of a ticker; an unknown ticker stands for itself."""
     return phrases.get(ticker.upper(), ticker.upper())
 
 
-def tag_with(articles: DataFrame, phrases: Mapping[str, str], text: str = "title") -> DataFrame:
-    """One row per (article, ticker) whose phrase occurs in the text as whole words.
-
-    The phrases are part of the projection: no join, no shuffle, every text read once.
-    """
-    if len(phrases) > INLINE_PHRASES:
-        raise ValueError("pass a long phrase list to tag_by_table as a DataFrame")
-    words = F.col("_words")
-    hits = F.array_compact(F.array(*[
-        F.when(words.contains(words_of(F.lit(phrase))), F.lit(ticker)) for ticker, phrase in phrases.items()
-    ]))
-    base = [c for c in articles.columns if c != "ticker"]
-    tagged = articles.withColumn("_words", words_of(F.col(text))).withColumn("_hits", hits)
-    # explode_outer: plain explode makes the optimizer test the hits once more, before any other step
-    return tagged.select(*base, F.explode_outer("_hits").alias("ticker")).where(F.col("ticker").isNotNull())
-
-
-def _grams(words: Column, length: int) -> Column:
-    """All runs of ``length`` words."""
-    starts = F.when(F.size(words) >= length, F.sequence(F.lit(1), F.size(words) - (length - 1)))
-    runs = F.transform(starts, lambda i: F.array_join(F.slice(words, i, length), " "))
-    return F.coalesce(runs, F.array().cast("array<string>"))
-
-
-def tag_by_table(articles: DataFrame, phrases: DataFrame, key: str, text: str = "title") -> DataFrame:
-    """(key, ticker) pairs for a phrase table (ticker, phrase) of any size.
+def tag(articles: DataFrame, phrases: DataFrame, key: str, text: str = "title") -> DataFrame:
+    """(key, ticker) pairs, each once, where a phrase of the ticker occurs in the text as whole words.
 
-    A text is cut into runs of as many words as some phrase has, and the runs meet
-    the phrases in an equi-join, so only keys and short runs travel.  The distinct
-    phrase lengths (a handful of numbers) are looked up first.
+    ``phrases`` (ticker, phrase) may have any length.  Only places of a text whose word
+    begins some phrase go on, with the few words that follow them, and are compared with the
+    phrases that begin so; Spark broadcasts the phrases if they are small.  Phrases without
+    a word match nothing.
     """
-    known = phrases.select("ticker", F.trim(words_of(F.col("phrase"))).alias("_run")).where(F.col("_run") != "")
-    lengths = [r[0] for r in known.select(F.size(F.split("_run", " "))).distinct().collect()]
-    words = F.split(F.trim(words_of(F.col(text))), " ")
-    texts = articles.select(key, words.alias("_words"))
-    runs = texts.select(
-        key, F.explode_outer(F.array_distinct(F.concat(*[_grams(F.col("_words"), n) for n in sorted(lengths)]))).alias("_run")
-    ) if lengths else texts.select(key, F.lit(None).cast("string").alias("_run"))
-    return runs.join(known, "_run").select(key, "ticker").distinct()
+    words = F.split(F.trim(words_of(F.col("phrase"))), " ")
+    known = phrases.select("ticker", words.alias("_phrase")).where(F.col("_phrase")[0] != "")
+    known = known.select("ticker", "_phrase", F.col("_phrase")[0].alias("_word")).distinct()
+    longest = F.coalesce(known.agg(F.max(F.size("_phrase")).alias("n")).scalar(), F.lit(1))
+    texts = articles.select(key, F.split(F.trim(words_of(F.col(text))), " ").alias("_words"))
+    runs = F.transform(F.sequence(F.lit(1), F.size("_words")), lambda i: F.slice("_words", i, F.col("_longest")))
+    places = texts.withColumn("_longest", longest).select(key, F.explode(F.array_distinct(runs)).alias("_run"))
+    met = places.withColumn("_word", F.col("_run")[0]).join(known, "_word")
+    return met.where(F.slice("_run", 1, F.size("_phrase")) == F.col("_phrase")).select(key, "ticker").distinct()
 
 
 def coverage(

@@ -43,35 +43,29 @@ def upsert(
     keys: Sequence[str],
     refresh: Sequence[str],
     seq: str | None = None,
-    small_batch: bool = False,
     known: DataFrame | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """The merged table plus ``_action`` (insert, update, keep) and ``_copies`` (incoming rows of the key).
 
     ``existing`` is unique by ``keys``.  Inside a batch the first row of a new key
-    inserts and later ones update it, in ``seq`` order; without ``seq`` the batch
-    must be unique too.  A stored key keeps every column that is not refreshed.
-
-    The default is one full outer join.  ``small_batch`` instead probes the stored
-    table with the batch (left join, then the unmatched batch rows), which lets
-    Spark broadcast a batch below its threshold and leaves the big table unshuffled.
-    ``known`` (some of the key columns, unique) leaves out batch keys that are not in
-    it, after the copies of a key have been reduced to one row.
+    inserts and later ones update it, in ``seq`` order; without ``seq`` a repeated key
+    fails the job, because nothing says which row is the last.  A stored key keeps
+    every column that is not refreshed.
+
+    One full outer join by key.  A table of any size is kept by
+    :class:`~newstape.sources.keyed.KeyedTable`, which hands over only the partitions
+    that the batch touches.  ``known`` (some of the key columns, unique) leaves out
+    batch keys that are not in it, after the copies of a key have been reduced to one
+    row.  ``carry`` adds ``_first_<column>``: what the key's first incoming row holds there.
     """
     columns = existing.columns
     fixed = [c for c in columns if c not in keys and c not in refresh]
-    batch = _folded(incoming, keys, fixed, refresh, seq)
+    batch = _folded(incoming, keys, [*fixed, *[F.col(c).alias(f"_carry_{c}") for c in carry]], refresh, seq)
     if known is not None:
         batch = batch.join(known, known.columns, "left_semi")
     stored = existing.withColumn("_stored", F.lit(True))
-    if small_batch:
-        touched = stored.join(batch, list(keys), "left")
-        present = existing.select(*keys).join(batch.select(*keys), list(keys), "left_semi")
-        fresh = batch.join(present, list(keys), "left_anti")
-        nothing = {c: F.lit(None).cast(existing.schema[c].dataType) for c in columns if c not in keys}
-        joined = touched.unionByName(fresh.withColumns(nothing | {"_stored": F.lit(None).cast("boolean")}))
-    else:
-        joined = stored.join(batch, list(keys), "full_outer")
+    joined = stored.join(batch, list(keys), "full_outer")
 
     is_stored, is_incoming = F.col("_stored").isNotNull(), F.col("_copies").isNotNull()
 
@@ -83,8 +77,12 @@ def upsert(
         return F.when(is_stored, F.col(name)).otherwise(F.col(f"_first.{name}")).alias(name)
 
     action = F.when(~is_incoming, "keep").when(is_stored, "update").otherwise("insert")
+    if seq is None:
+        repeated = F.raise_error(F.lit(f"the batch repeats a key of {list(keys)}: name the column that orders its rows"))
+        action = F.when(F.col("_copies") > 1, repeated).otherwise(action)
     return joined.select(
-        *[value(c) for c in columns], action.alias("_action"), F.coalesce("_copies", F.lit(0)).alias("_copies")
+        *[value(c) for c in columns], action.alias("_action"), F.coalesce("_copies", F.lit(0)).alias("_copies"),
+        *[F.col(f"_first._carry_{c}").alias(f"_first_{c}") for c in carry],
     )
 
 
@@ -94,8 +92,14 @@ def upsert_articles(existing: DataFrame, incoming: DataFrame, seq: str | None =
 
 
 def attach_articles(records: DataFrame, articles: DataFrame) -> DataFrame:
-    """Sentiment records with the id of their article; NULL where the url is unknown."""
-    return records.join(articles.select("url", "article_id"), "url", "left")
+    """Sentiment records with the id of their article; NULL where the url is unknown.
+
+    Rows without a url, which may be many, have no article and stay out of the join.
+    """
+    named = F.coalesce(F.col("url") != "", F.lit(False))
+    linked = records.where(named).join(articles.select("url", "article_id"), "url", "left")
+    kind = articles.schema["article_id"].dataType
+    return linked.unionByName(records.where(~named).withColumn("article_id", F.lit(None).cast(kind)))
 
 
 def upsert_sentiments(
@@ -141,17 +145,18 @@ def accounting(merged: DataFrame, skipped: DataFrame | None = None) -> DataFrame
     ).withColumn("total", F.col("inserted") + F.col("updated"))
 
 
-def accounting_by(
-    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], by: str, seq: str, valid: Column
-) -> DataFrame:
-    """inserted, updated and skipped per value of ``by`` (a ticker, a file), before the merge itself."""
-    usable = incoming.where(valid)
-    firsts = usable.groupBy(*keys).agg(F.min_by(F.col(by), F.col(seq)).alias(by))
-    fresh = firsts.join(existing.select(*keys), list(keys), "left_anti").groupBy(by).agg(
-        F.count(F.lit(1)).alias("inserted")
-    )
-    rows = incoming.groupBy(by).agg(F.count_if(valid).alias("_used"), F.count_if(~valid).alias("skipped"))
-    inserted = F.coalesce("inserted", F.lit(0))
-    return rows.join(fresh, by, "left").select(
-        by, inserted.alias("inserted"), (F.col("_used") - inserted).alias("updated"), "skipped"
+def accounting_by(incoming: DataFrame, by: str, valid: Column, inserted: DataFrame | None = None) -> DataFrame:
+    """inserted, updated and skipped per value of ``by`` (a ticker, a file).
+
+    ``inserted`` holds the rows that a merge inserted, with ``by`` of their first incoming
+    row; every other valid row is an update.  A row whose validity is unknown is skipped.
+    """
+    sure = F.coalesce(valid, F.lit(False))
+    rows = incoming.groupBy(by).agg(F.count_if(sure).alias("_used"), F.count_if(~sure).alias("skipped"))
+    if inserted is None:
+        return rows.select(by, F.lit(0).cast("long").alias("inserted"), F.col("_used").alias("updated"), "skipped")
+    fresh = inserted.groupBy(F.col(by).alias("_by")).agg(F.count(F.lit(1)).alias("inserted"))
+    count = F.coalesce("inserted", F.lit(0))
+    return rows.join(fresh, F.col(by).eqNullSafe(F.col("_by")), "left").select(
+        by, count.alias("inserted"), (F.col("_used") - count).alias("updated"), "skipped"
     )

@@ -33,18 +33,20 @@ def labelled_dataset(
     start: dt.date | None = None,
     end: dt.date | None = None,
     lookahead_days: int = LABEL_LOOKAHEAD_DAYS,
+    seq: str | None = None,
 ) -> DataFrame:
     """Label every feature row that has a close, using prices up to ``lookahead_days`` past the end.
 
     Callers that know the date range pass it and nothing runs before the result is used.
+    ``seq`` orders the price rows of a repeated day; the last one counts.
     """
     if start is None or end is None:
         start, end = feature_dates(features)
     wanted = price_range(
-        prices.select("ticker", "trading_date", "close_price"),
+        prices.select("ticker", "trading_date", "close_price", *([seq] if seq else [])),
         None, start, end + dt.timedelta(days=lookahead_days),
     )
-    return ordered_columns(label_features(features, wanted))
+    return ordered_columns(label_features(features, wanted, seq))
 
 
 def labelled_dataset_for_day(

@@ -1,12 +1,13 @@
 """Jobs that score articles and load articles, results and prices into keyed tables.
 
-A table is a folder of versions (``sources.sinks.publish``): a job reads the newest
-one, merges, and writes the next, so re-running a job is always safe.
+Tables are kept in partitions (``sources.keyed``): a job rewrites those its batch
+touches and then switches to them in one step, so re-running a job is always safe.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -14,8 +15,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from newstape.errors import LoadError
 from newstape.operators import records, reports, upsert
 from newstape.operators.sentiment import Expression, with_sentiment
-from newstape.schemas import ARTICLE, PRICE, SENTIMENT_RESULT
-from newstape.sources import sinks
+from newstape.schemas import ARTICLE, ENRICHED_ARTICLE, PRICE, SENTIMENT_RESULT
+from newstape.session import fresh_path, remove
+from newstape.sources import files, sinks
+from newstape.sources.keyed import PARTITIONS, KeyedTable, by_hash, by_month
 
 STORED_ARTICLE = T.StructType(ARTICLE.fields + [T.StructField("article_id", T.StringType())])
 
@@ -29,45 +32,56 @@ class LoadResult:
     summary: DataFrame
 
 
-def _current(spark: SparkSession, root: str, schema) -> DataFrame:
-    table = sinks.newest(spark, root)
-    return spark.createDataFrame([], schema) if table is None else table
+def article_table(spark: SparkSession, folder: str, partitions: int = PARTITIONS) -> KeyedTable:
+    return KeyedTable(spark, f"{folder}/articles", STORED_ARTICLE, by_hash(["url"], partitions))
+
+
+def result_table(spark: SparkSession, folder: str, partitions: int = PARTITIONS) -> KeyedTable:
+    return KeyedTable(spark, f"{folder}/sentiments", SENTIMENT_RESULT, by_hash(["article_id"], partitions))
+
+
+def price_table(spark: SparkSession, folder: str) -> KeyedTable:
+    return KeyedTable(spark, f"{folder}/prices", PRICE, by_month("trading_date"))
 
 
 def load_articles(
-    spark: SparkSession, enriched: DataFrame, folder: str, model_name: str, seq: str = "seq", small_batch: bool = False
+    spark: SparkSession, enriched: DataFrame, folder: str, model_name: str, seq: str = "seq", partitions: int = PARTITIONS
 ) -> LoadResult:
     """Enriched article rows into ``articles`` and ``sentiments`` under ``folder``.
 
-    ``seq`` gives the order of arrival inside the batch.
-    """
-    articles_root, results_root = f"{folder}/articles", f"{folder}/sentiments"
-    stored = _current(spark, articles_root, STORED_ARTICLE)
-    results = _current(spark, results_root, SENTIMENT_RESULT)
+    ``partitions`` is fixed for the life of the tables: enough that one is rewritten in
+    moments at the size they will grow to.
 
-    incoming = records.with_article_id(records.article_records(enriched, (seq,)))
-    merged = upsert.upsert_articles(stored, incoming, seq, small_batch=small_batch)
-    counts = upsert.accounting_by(stored, incoming, ["url"], "ticker", seq, F.col("url") != "")
+    ``seq`` gives the order of arrival inside the batch.  The batch is written once, so a
+    scorer behind it runs once per text, and the summary counts what the merges did.
+    The results are merged before the articles: a job that dies in between is simply run again.
+    """
+    path = fresh_path(spark, "batch")
+    enriched.write.parquet(path)
+    landed = spark.read.schema(enriched.schema).parquet(path)
+    named = F.coalesce(F.col("url") != "", F.lit(False))
 
     # ids are a function of the url, so linking needs no lookup: a url that was left out has no article
-    found = records.sentiment_records(enriched, ("ticker", seq)).where(F.col("url") != "")
-    linked = records.with_article_id(found).withColumn("model_name", F.lit(model_name))
-    result_counts = upsert.accounting_by(
-        results, records.with_article_id(records.sentiment_records(enriched, ("ticker", seq))).withColumn(
-            "model_name", F.lit(model_name)
-        ), upsert.SENTIMENT_KEY, "ticker", seq, F.col("url") != "",
+    found = records.with_article_id(records.sentiment_records(landed, ("ticker", seq)).where(named))
+    found = found.withColumn("model_name", F.lit(model_name))
+    results = result_table(spark, folder, partitions)
+    merged_results = results.merge(
+        found, lambda old, new: upsert.upsert(old, new, upsert.SENTIMENT_KEY, upsert.SENTIMENT_REFRESH, seq, carry=["ticker"])
     )
-    merged_results = upsert.upsert(
-        results, linked, upsert.SENTIMENT_KEY, upsert.SENTIMENT_REFRESH, seq, small_batch=small_batch
+    incoming = records.with_article_id(records.article_records(landed, (seq,)).where(named))
+    articles = article_table(spark, folder, partitions)
+    merged = articles.merge(incoming, lambda old, new: upsert.upsert_articles(old, new, seq))
+
+    by_ticker = records.article_records(landed).select("ticker", "url")
+    inserted = F.col("_action") == "insert"
+    summary = reports.load_summary(
+        upsert.accounting_by(by_ticker, "ticker", named, merged.where(inserted)),
+        upsert.accounting_by(by_ticker, "ticker", named, merged_results.where(inserted).withColumnRenamed("_first_ticker", "ticker")),
     )
-    # the summary compares the batch with the tables as they were, so it is written before they change
     summary_path = f"{folder}/load_summary"
-    reports.load_summary(counts, result_counts).coalesce(1).write.mode("overwrite").parquet(summary_path)
-    sinks.publish(merged.drop("_action", "_copies"), articles_root)
-    sinks.publish(merged_results.drop("_action", "_copies"), results_root)
-    return LoadResult(
-        sinks.newest(spark, articles_root), sinks.newest(spark, results_root), spark.read.parquet(summary_path)
-    )
+    summary.coalesce(1).write.mode("overwrite").parquet(summary_path)
+    remove(spark, path)
+    return LoadResult(articles.read(), results.read(), spark.read.parquet(summary_path))
 
 
 def score_articles(
@@ -78,21 +92,45 @@ def score_articles(
     analysed_at: dt.datetime | None = None,
     fmt: str = "parquet",
 ) -> tuple[DataFrame, DataFrame]:
-    """Score, write one directory per ticker, and summarise what was written."""
+    """Score, write one directory per ticker, and write and return a summary of what was written."""
     spark = articles.sparkSession
-    path = sinks.write_enriched(with_sentiment(articles, scorer, analysed_at), folder, tag, fmt)
-    written = spark.read.parquet(path) if fmt == "parquet" else spark.read.option("header", True).option("escape", '"').csv(path)
-    return written, reports.sentiment_summary(written, articles.select("ticker"))
+    scored = with_sentiment(articles, scorer, analysed_at)
+    path = sinks.write_enriched(scored, folder, tag, fmt)
+    written = sinks.read_written(spark, path, scored.schema, fmt)
+    summary = reports.sentiment_summary(written, articles.select("ticker"))
+    sinks.write_summary(summary, folder, "sentiment", tag)
+    return written, summary
 
 
 def load_prices(
-    spark: SparkSession, prices: DataFrame, folder: str, seq: str | None = None, small_batch: bool = False
+    spark: SparkSession, prices: DataFrame, folder: str, seq: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Normalised price rows into ``prices`` under ``folder``; the merged table and a per-ticker summary."""
-    if prices.isEmpty():
+    """Normalised price rows into ``prices`` under ``folder``; the merged table and a per-ticker summary.
+
+    Where files overlap, ``seq`` says which of the rows of a (ticker, day) is the last;
+    without it a repeated day fails the job.
+    """
+    path = fresh_path(spark, "batch")
+    prices.write.parquet(path)
+    landed = spark.read.schema(prices.schema).parquet(path)
+    if landed.isEmpty():
         raise LoadError("no price rows to load")
-    root = f"{folder}/prices"
-    stored = _current(spark, root, PRICE)
-    merged = upsert.upsert_prices(stored, prices, seq, small_batch=small_batch)
-    sinks.publish(merged.select(*PRICE.names), root)
-    return sinks.newest(spark, root), reports.price_summary(prices, prices.select("ticker"))
+    table = price_table(spark, folder)
+    table.merge(landed, lambda old, new: upsert.upsert_prices(old, new, seq))
+    summary_path = f"{folder}/price_summary"
+    reports.price_summary(landed, landed.select("ticker")).coalesce(1).write.mode("overwrite").parquet(summary_path)
+    remove(spark, path)
+    return table.read(), spark.read.parquet(summary_path)
+
+
+def articles_from_files(
+    spark: SparkSession, folder: str, tag: str | None = None, tickers: Sequence[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The landed article files of a tag (all without one), in the article schema, and a report of the tickers asked for.
+
+    The ticker of a file's name stands in where a row has none.  The report has a row
+    per ticker asked for: files found and ``ok`` or ``missing``.
+    """
+    rows = files.load_named_files(spark, f"{folder}/*.csv", ENRICHED_ARTICLE, tickers, tag=tag)
+    own = F.coalesce(F.nullif(F.trim("ticker"), F.lit("")), F.col("file_ticker"))
+    return rows.withColumn("ticker", own), files.file_report(spark, folder, tickers, tag)

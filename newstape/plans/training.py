@@ -24,14 +24,6 @@ class TrainingResult:
     importances: DataFrame
 
 
-def labelled_rows(dataset: DataFrame, label: str = M.LABEL) -> DataFrame:
-    """Rows with a direction; fails when there are none, for a job is about to train on them."""
-    rows = dataset.where(F.col(label).isNotNull())
-    if rows.isEmpty():
-        raise DataPreparationError("no labelled rows remain after dropping missing labels")
-    return rows
-
-
 def train_and_evaluate(
     spark: SparkSession,
     dataset: DataFrame,
@@ -43,11 +35,15 @@ def train_and_evaluate(
 ) -> TrainingResult:
     """Split, fit, predict the test rows, measure; with a folder also save everything.
 
-    The split rows are written to the work folder first: training reads them several
-    times, and a lost executor then costs a re-read, not a recomputation of the features.
+    The labelled rows are written to the work folder first, and their split after them:
+    both read them several times, and the features are computed once.
     """
     features = M.feature_columns(dataset)
-    rows = labelled_rows(dataset)
+    landed = fresh_path(spark, "labelled")
+    dataset.where(F.col(M.LABEL).isNotNull()).write.parquet(landed)
+    rows = spark.read.schema(dataset.schema).parquet(landed)
+    if rows.isEmpty():
+        raise DataPreparationError("no labelled rows remain after dropping missing labels")
     if split == "time":
         if first_test_day is None:
             raise ValueError("a time split needs first_test_day")
@@ -77,6 +73,7 @@ def predict_job(
 ) -> tuple[DataFrame, DataFrame]:
     """Load a model, predict, write, and summarise what was written."""
     fitted = M.load_model(spark, model_path)
-    path = sinks.write_predictions(fitted.predict(rows), output, fmt)
-    written = spark.read.parquet(path) if fmt == "parquet" else spark.read.option("header", True).csv(path)
+    predicted = fitted.predict(rows)
+    path = sinks.write_predictions(predicted, output, fmt)
+    written = sinks.read_written(spark, path, predicted.schema, fmt)
     return written, reports.prediction_summary(written)

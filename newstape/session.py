@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 #: Runtime settings every job needs.  All of them may be set on a live session.
 RUNTIME_CONF = {
@@ -16,8 +18,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # windows cost far more than their bytes suggest: let small stages keep their parallelism
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
-    # a frame already hashed by ticker may be joined on (ticker, date) as it is
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
@@ -47,35 +47,33 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan of fewer splits than cores one round-robin shuffle, so that all cores share it.
-
-    A file with a single row group is one task however large it is.  A scan that
-    already has a split per core, as any large table has, is returned as it is.
-    Only for plain scans: counting the splits of anything else would run it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def own_folder() -> str:
+    """A new folder of this machine, removed when the program ends; for local sessions only."""
+    folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp" if os.path.isdir("/tmp") else None)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"file://{folder}"
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables and stream checkpoints.
+    """The folder for intermediate tables and stream checkpoints: ``spark.checkpoint.dir``, which all executors share.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``; only a local
-    master without that setting falls back to a temporary folder.
+    A local session that has not set it gets a folder of its own; a cluster must set it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = os.environ.get("NEWSTAPE_WORK")
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp" if os.path.isdir("/tmp") else None)
-        os.environ["NEWSTAPE_WORK"] = folder
-    return folder
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        shared = own_folder()
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the work folder that nobody else writes to."""
     return f"{work_folder(spark)}/newstape/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing will read again."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

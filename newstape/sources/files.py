@@ -19,10 +19,16 @@ FILE_NAMES = {
 }
 
 
-def typed(value: Column, kind: T.DataType) -> Column:
-    """Read text as a type; what cannot be read, and NaN, become NULL."""
-    if isinstance(kind, T.StringType):
+def typed(value: Column, kind: T.DataType, have: T.DataType = T.StringType()) -> Column:
+    """Read a value as a type; what cannot be read, and NaN, become NULL."""
+    if isinstance(kind, T.DoubleType) and isinstance(have, (T.DoubleType, T.FloatType)):
+        return null_if_nan(value.cast("double"))
+    if have == kind:
         return value
+    if isinstance(kind, T.StringType):
+        return value.cast("string")
+    if not isinstance(have, T.StringType):
+        value = value.cast("string")
     if isinstance(kind, T.TimestampType):
         return lenient_timestamp(value)
     if isinstance(kind, T.DateType):
@@ -41,7 +47,8 @@ def require_columns(df: DataFrame, required: Sequence[str], what: str) -> DataFr
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns named in the schema get its types; other columns stay as they are."""
     kinds = {f.name: f.dataType for f in schema.fields}
-    return df.select(*[typed(F.col(c), kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[typed(F.col(c), kinds[c], have[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])
 
 
 def load_table(
@@ -67,7 +74,7 @@ def load_table(
     if not raw.columns:
         raise LoadError(f"{path} is empty")
     require_columns(raw, required, str(path))
-    return conform(raw, schema) if fmt == "csv" else raw
+    return conform(raw, schema)
 
 
 def file_facts(df: DataFrame, name: str = "file_name") -> DataFrame:
@@ -84,12 +91,34 @@ def file_facts(df: DataFrame, name: str = "file_name") -> DataFrame:
 
 def load_named_files(
     spark: SparkSession, pattern: str, schema: T.StructType, tickers: Sequence[str] | None = None,
-    required: Sequence[str] = ("url",),
+    required: Sequence[str] = ("url",), tag: str | None = None,
 ) -> DataFrame:
-    """Read every CSV a glob matches, with the facts from its name; unknown names are an error."""
+    """Read the CSV files a glob matches, with the facts from their names; an unknown name is an error.
+
+    ``tickers`` and ``tag`` choose files by name; :func:`file_report` says which tickers have none.
+    """
     raw = load_table(spark, pattern, schema, required, multi_line=True)
     out = file_facts(raw.withColumn("file_name", F.col("_metadata.file_name")))
-    if tickers:
-        return out.where(F.col("file_ticker").isin(list(tickers)))
     unknown = F.concat(F.lit("cannot infer a ticker from file name "), F.col("file_name"))
-    return out.withColumn("file_ticker", F.coalesce("file_ticker", F.raise_error(unknown)))
+    out = out.withColumn("file_ticker", F.coalesce("file_ticker", F.raise_error(unknown)))
+    if tickers:
+        out = out.where(F.col("file_ticker").isin([t.upper() for t in tickers]))
+    return out if tag is None else out.where(F.col("tag") == tag)
+
+
+def file_report(spark: SparkSession, folder: str, tickers: Sequence[str] | None = None, tag: str | None = None) -> DataFrame:
+    """(ticker, files, status) of the named files in a folder; a ticker asked for without a file is ``missing``.
+
+    Only names are read.  Without ``tickers`` every ticker found has a row.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
+    names = file_facts(listed.select(F.element_at(F.split("path", "/"), -1).alias("file_name")))
+    names = names.where(F.col("file_ticker").isNotNull())
+    if tag is not None:
+        names = names.where(F.col("tag") == tag)
+    found = names.groupBy(F.col("file_ticker").alias("ticker")).agg(F.count(F.lit(1)).alias("files"))
+    if tickers:
+        asked = spark.createDataFrame([(t.upper(),) for t in dict.fromkeys(tickers)], "ticker string")
+        found = asked.join(found, "ticker", "left")
+    count = F.coalesce("files", F.lit(0))
+    return found.select("ticker", count.alias("files"), F.when(count > 0, "ok").otherwise("missing").alias("status"))

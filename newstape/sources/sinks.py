@@ -4,9 +4,8 @@ becomes several files instead of one long task, and quiet ones do not scatter.""
 from __future__ import annotations
 
 import datetime as dt
-import time
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def range_tag(start: dt.date, end: dt.date) -> str:
@@ -50,7 +49,8 @@ def write_enriched(articles: DataFrame, folder: str, tag: str, fmt: str = "parqu
 
 
 def write_predictions(predictions: DataFrame, path: str, fmt: str = "parquet") -> str:
-    predictions.write.mode("overwrite").format(fmt).option("header", True).save(path)
+    writer = predictions.write.mode("overwrite").format(fmt).option("header", True)
+    (writer.option("escape", '"') if fmt == "csv" else writer).save(path)
     return path
 
 
@@ -60,24 +60,23 @@ def write_report(report: DataFrame, path: str, fmt: str = "json") -> str:
     return path
 
 
-def publish(df: DataFrame, root: str) -> str:
-    """Write a new version of a keyed table next to the one being read.
+def write_raw(articles: DataFrame, folder: str, kind: str, tag: str, fmt: str = "parquet") -> str:
+    """``<kind>_<tag>``: fetched articles before scoring, one directory per ticker."""
+    return write_partitioned(articles, f"{folder}/{kind}_{tag}", "ticker", fmt)
 
-    A reader takes the newest version that finished (its ``_SUCCESS`` marker), so a
-    job that dies half-way leaves the table as it was.
-    """
-    path = f"{root}/version={time.time_ns():020d}"
-    df.write.parquet(path)
-    return path
+
+def write_summary(summary: DataFrame, folder: str, job: str, tag: str, fmt: str = "csv") -> str:
+    """``summary_<job>_<tag>``: a job's report of a row per ticker, as one file."""
+    return write_report(summary, f"{folder}/summary_{job}_{tag}", fmt)
 
 
-def newest(spark: SparkSession, root: str) -> DataFrame | None:
-    """The newest finished version, or None before the first."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    base = hadoop.Path(root)
-    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
-    done = fs.globStatus(hadoop.Path(f"{root}/version=*/_SUCCESS")) if fs.exists(base) else None
-    if not done:
-        return None
-    latest = max(status.getPath().getParent().toString() for status in done)
-    return spark.read.parquet(latest)
+def read_written(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """What a sink wrote, with the schema it was written with.
+
+    Nothing is inferred, so a ticker of digits stays text, also as a directory name; CSV
+    texts may hold quotes and line breaks; an empty text comes back as NULL.
+    """
+    reader = spark.read.schema(schema).format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True).option("escape", '"').option("multiLine", True)
+    return reader.load(path).select(*schema.names)

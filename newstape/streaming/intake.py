@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from newstape.operators import upsert
 from newstape.schemas import SENTIMENT_SCORES
-from newstape.sources import sinks
+from newstape.sources.keyed import KeyedTable
 
 
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType, names: str = "*.parquet", fmt: str = "parquet") -> DataFrame:
@@ -33,19 +33,15 @@ def daily_label_counts(articles: DataFrame, delay: str = "1 day") -> DataFrame:
 
 
 def upsert_batches(
-    spark: SparkSession, root: str, keys: Sequence[str], refresh: Sequence[str], seq: str | None = None
+    table: KeyedTable, keys: Sequence[str], refresh: Sequence[str], seq: str | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that merges every micro-batch into a versioned table.
+    """A ``foreachBatch`` function that merges every micro-batch into a keyed table.
 
-    A batch that is replayed after a failure merges to the same table.
+    A batch rewrites only the partitions it touches.  One that is replayed after a failure
+    merges to the same table.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
-        stored = sinks.newest(batch.sparkSession, root)
-        if stored is None:
-            columns = [c for c in batch.columns if c != seq]
-            stored = batch.sparkSession.createDataFrame([], batch.select(*columns).schema)
-        merged = upsert.upsert(stored, batch, keys, refresh, seq, small_batch=True)
-        sinks.publish(merged.drop("_action", "_copies"), root)
+        table.merge(batch, lambda old, new: upsert.upsert(old, new, keys, refresh, seq))
 
     return merge
 

@@ -72,15 +72,16 @@ def test_dataset_job(spark):
     assert given.exceptAll(out).isEmpty()
 
 
-def test_joins_reuse_the_ticker_partitioning(spark):
+def test_shuffles_of_the_feature_join(spark):
     out = features.feature_vectors(seeded(spark), None, prices(spark), START, END)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = features.feature_vectors(seeded(spark), None, prices(spark), START, END)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # two levels of the distinct count, one by ticker for the windows, one by ticker for the prices: none for the join
-    assert plan.count("Exchange hashpartitioning") == 4 and out.columns == FEATURE_COLUMNS
+    # two levels of the distinct count, one by ticker for each side's windows, and the join by ticker and day,
+    # which spreads a busy ticker
+    assert plan.count("Exchange hashpartitioning") == 6 and out.columns == FEATURE_COLUMNS
 
 
 def test_jobs_write_and_check(spark, tmp_path):

@@ -8,6 +8,7 @@ from newstape.errors import LoadError
 from newstape.operators import records, tagging
 from newstape.operators.tagging import phrase_of
 from newstape.schemas import ARTICLE, ENRICHED_ARTICLE, FEATURES, PRICE
+from newstape.plans import loading
 from newstape.sources import files, payloads, quotes, scans, sinks
 
 NOW = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
@@ -62,9 +63,16 @@ def test_phrases_match_whole_words(spark):
     phrases = {t: phrase_of(t) for t in ("AAPL", "TSLA", "GOOGL")}
     assert phrases["GOOGL"] == "GOOGL"
     want = {(1, "AAPL"), (3, "AAPL"), (3, "TSLA")}
-    assert {(r["id"], r["ticker"]) for r in tagging.tag_with(titles, phrases).collect()} == want
-    by_table = tagging.tag_by_table(titles, tagging.phrase_table(spark, ["aapl", "TSLA", "GOOGL"]), "id")
-    assert {(r["id"], r["ticker"]) for r in by_table.collect()} == want
+    known = tagging.phrase_table(spark, ["aapl", "TSLA", "GOOGL"])
+    assert {(r["id"], r["ticker"]) for r in tagging.tag(titles, known, "id").collect()} == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        many = known.unionByName(spark.range(500).selectExpr("concat('X', id) AS ticker", "concat('apple phrase ', id) AS phrase"))
+        assert {(r["id"], r["ticker"]) for r in tagging.tag(titles, many, "id").collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    nothing = spark.createDataFrame([("A", " .. "), ("B", None)], "ticker string, phrase string")
+    assert tagging.tag(titles, nothing, "id").isEmpty() and tagging.tag(titles, nothing.limit(0), "id").isEmpty()
 
 
 def test_coverage_keeps_empty_windows_and_flags_the_cap(spark):
@@ -152,12 +160,29 @@ def test_partitioned_sinks_and_tags(spark, tmp_path):
     assert sinks.write_dataset(rows, str(tmp_path), day, day).endswith("ml_dataset_2026-01-01")
 
 
-def test_unfinished_version_is_ignored(spark, tmp_path):
-    root = str(tmp_path / "t")
-    assert sinks.newest(spark, root) is None
-    sinks.publish(spark.range(3), root)
-    (tmp_path / "t" / "version=99999999999999999999").mkdir()
-    assert sinks.newest(spark, root).count() == 3
+def test_csv_sinks_keep_line_breaks_and_numeric_tickers(spark, tmp_path):
+    rows = spark.createDataFrame([("0700", 'a "b",\nc', 1.5), ("0005", "x", None), ("0005", None, 2.0)], "ticker string, title string, n double")
+    path = sinks.write_enriched(rows, str(tmp_path), "t", "csv")
+    back = sinks.read_written(spark, path, rows.schema, "csv")
+    assert back.schema == rows.schema
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
+
+
+def test_parquet_is_conformed_too(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.createDataFrame([("A", dt.datetime(2026, 1, 1), float("nan"), 3)], "ticker string, trading_date timestamp, close_price double, volume int").write.parquet(path)
+    row = files.load_table(spark, path, PRICE, ("ticker",), "parquet").collect()[0]
+    assert row["trading_date"] == dt.date(2026, 1, 1) and row["close_price"] is None and row["volume"] == 3
+
+
+def test_files_by_tag_and_missing_tickers(spark, tmp_path):
+    for name in ("AAPL_news_2025-01-01", "AAPL_news_2025-01-02", "TSLA_news_2025-01-01"):
+        (tmp_path / f"{name}.csv").write_text(f"ticker,url,title\n,http://x/{name},t\n")
+    rows, report = loading.articles_from_files(spark, str(tmp_path), "2025-01-01", ["aapl", "MSFT"])
+    assert [(r["ticker"], r["tag"]) for r in rows.collect()] == [("AAPL", "2025-01-01")]
+    assert {(r["ticker"], r["files"], r["status"]) for r in report.collect()} == {("AAPL", 1, "ok"), ("MSFT", 0, "missing")}
+    everything, report = loading.articles_from_files(spark, str(tmp_path))
+    assert everything.count() == 3 and {r["ticker"]: r["files"] for r in report.collect()} == {"AAPL": 2, "TSLA": 1}
 
 
 def test_scans_push_filters_and_columns(spark, tmp_path):

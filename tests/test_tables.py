@@ -7,7 +7,9 @@ from helpers import one
 from newstape.operators import lookups, records, reports, upsert
 from newstape.plans import loading
 from newstape.schemas import ARTICLE, PRICE, SENTIMENT_RESULT
+from newstape.errors import ConflictError
 from newstape.sources import sinks
+from newstape.sources.keyed import KeyedTable, by_hash
 
 T0, T1 = dt.datetime(2026, 1, 1), dt.datetime(2026, 1, 2)
 SCHEMA = "seq int, " + ", ".join(
@@ -27,12 +29,11 @@ def stored(spark):
     return spark.createDataFrame([], ARTICLE)
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_insert_update_skip(spark, small):
-    first = upsert.upsert_articles(stored(spark), batch(spark, article(1, "u1"), article(2, "u2")), "seq", small_batch=small)
+def test_insert_update_skip(spark):
+    first = upsert.upsert_articles(stored(spark), batch(spark, article(1, "u1"), article(2, "u2")), "seq")
     table = spark.createDataFrame(first.drop("_action", "_copies").collect(), ARTICLE)
     second = batch(spark, article(1, "u1", "new", "TSLA", "CNBC", fetched=T1), article(2, "u3"), article(3, ""))
-    merged = upsert.upsert_articles(table, second, "seq", small_batch=small)
+    merged = upsert.upsert_articles(table, second, "seq")
     counts = one(upsert.accounting(merged, second.where(F.col("url") == "")))
     assert counts == {"inserted": 1, "updated": 1, "skipped": 1, "total": 2}
     row = merged.where("url = 'u1'").collect()[0]
@@ -41,22 +42,104 @@ def test_insert_update_skip(spark, small):
     assert merged.count() == 3
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_copies_inside_a_batch(spark, small):
+def test_copies_inside_a_batch(spark):
     rows = batch(spark, article(2, "u", "second", "TSLA"), article(1, "u", "first", "AAPL"), article(3, "u", None, "MSFT"))
-    merged = upsert.upsert_articles(stored(spark), rows, "seq", small_batch=small)
+    merged = upsert.upsert_articles(stored(spark), rows, "seq")
     row = one(merged)
     assert row["ticker"] == "AAPL" and row["title"] is None  # the last row wins even with NULL
     assert one(upsert.accounting(merged)) == {"inserted": 1, "updated": 2, "skipped": 0, "total": 3}
 
 
-def test_both_strategies_agree(spark, sample):
-    from newstape.checks.table_queries import _incoming_lines, _stored_lines
+def test_a_repeated_key_needs_an_order(spark):
+    twice = batch(spark, article(1, "u", "first"), article(2, "u", "second"))
+    with pytest.raises(Exception, match="repeats a key"):
+        upsert.upsert_articles(stored(spark), twice).collect()
+    assert one(upsert.upsert_articles(stored(spark), twice, "seq"))["title"] == "second"
 
-    table, rows = _stored_lines(spark, sample), _incoming_lines(spark, sample)
-    a = upsert.upsert_articles(table, rows, "seq")
-    b = upsert.upsert_articles(table, rows, "seq", small_batch=True)
-    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+def test_a_null_url_is_skipped_and_counted(spark):
+    rows = batch(spark, article(1, "u"), article(2, None), article(3, ""))
+    merged = upsert.upsert_articles(stored(spark), rows, "seq")
+    counts = one(upsert.accounting_by(rows, "ticker", F.col("url") != "", merged.where("_action = 'insert'")))
+    assert (counts["inserted"], counts["updated"], counts["skipped"]) == (1, 0, 2)
+    linked = upsert.attach_articles(rows, spark.createDataFrame([("u", "id")], "url string, article_id string"))
+    assert sorted(str(r["article_id"]) for r in linked.collect()) == ["None", "None", "id"]
+
+
+def keyed(spark, tmp_path, parts=8):
+    schema = spark.createDataFrame([], "k string, n int").schema
+    return KeyedTable(spark, str(tmp_path / "keyed"), schema, by_hash(["k"], parts))
+
+
+def put(table, rows):
+    frame = table.spark.createDataFrame(rows, "k string, n int")
+    return table.merge(frame, lambda old, new: upsert.upsert(old, new, ["k"], ["n"]))
+
+
+def test_a_merge_rewrites_only_what_the_batch_touches(spark, tmp_path):
+    table = keyed(spark, tmp_path)
+    assert table.read().count() == 0
+    put(table, [(f"k{i}", i) for i in range(50)])
+    files = lambda: {str(p) for p in (tmp_path / "keyed" / "data").rglob("*.parquet")}
+    before = files()
+    assert len({p.rsplit("_part=")[1].split("/")[0] for p in before}) == 8
+    out = put(table, [("k7", 700)])
+    fresh = files() - before
+    assert len({p.rsplit("_part=")[1].split("/")[0] for p in fresh}) == 1 and before <= files()
+    assert out.where("_action = 'update'").count() == 1 and out.count() < 50
+    rows = {r["k"]: r["n"] for r in table.read().collect()}
+    assert rows == {f"k{i}": 700 if i == 7 else i for i in range(50)}
+    put(table, [("k7", 701)])  # the first version of that partition is two merges old
+    part = next(iter(fresh)).rsplit("_part=")[1].split("/")[0]
+    assert not any(f"_part={part}/" in p for p in before & files())
+    assert not list((tmp_path / "keyed" / "incoming").iterdir())
+
+
+def test_a_second_writer_is_noticed(spark, tmp_path):
+    table = keyed(spark, tmp_path)
+    put(table, [("a", 1)])
+
+    def late(old, new):
+        put(keyed(spark, tmp_path), [("a", 2)])  # another writer commits while this one works
+        return upsert.upsert(old, new, ["k"], ["n"])
+
+    with pytest.raises(ConflictError):
+        table.merge(spark.createDataFrame([("a", 3)], "k string, n int"), late)
+    assert [tuple(r) for r in table.read().collect()] == [("a", 2)]
+
+
+def test_an_unfinished_merge_changes_nothing(spark, tmp_path):
+    table = keyed(spark, tmp_path)
+    put(table, [("a", 1), ("b", 2)])
+
+    def broken(old, new):
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        table.merge(spark.createDataFrame([("a", 3)], "k string, n int"), broken)
+    (tmp_path / "keyed" / "manifest" / "0000000002.json").write_text('{"0": "da')  # a writer died over its manifest
+    assert table.read().count() == 2
+    put(table, [("c", 4)])
+    assert table.read().count() == 3
+
+
+def test_the_scorer_sees_each_text_once(spark, tmp_path):
+    from newstape.operators import sentiment
+
+    seen = str(tmp_path / "seen")
+
+    def load():
+        def score(texts):
+            with open(seen, "a") as log:
+                log.write("x" * len(texts))
+            return [("positive", 0.5)] * len(texts)
+
+        return score
+
+    rows = batch(spark, *[article(i, f"u{i}") for i in range(20)]).drop(
+        "sentiment_label", "sentiment_score", "sentiment_confidence", "analysed_at")
+    result = loading.load_articles(spark, sentiment.with_sentiment(rows, sentiment.batched(load)), str(tmp_path), "m")
+    assert result.sentiments.count() == 20 and len(open(seen).read()) == 20
 
 
 def test_two_models_keep_two_results(spark):
@@ -135,6 +218,11 @@ def test_price_job(spark, tmp_path):
 
     with pytest.raises(LoadError):
         loading.load_prices(spark, rows.limit(0), str(tmp_path))
+    twice = rows.withColumn("seq", F.lit(1)).unionByName(rows.withColumn("seq", F.lit(2)).withColumn("close_price", F.lit(9.0)))
+    table, _ = loading.load_prices(spark, twice, str(tmp_path), "seq")
+    assert {r["close_price"] for r in table.collect()} == {9.0}
+    with pytest.raises(Exception, match="repeats a key"):
+        loading.load_prices(spark, twice.drop("seq"), str(tmp_path))
 
 
 def test_requested_tickers_without_rows(spark):
