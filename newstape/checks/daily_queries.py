@@ -134,23 +134,18 @@ def p1_event(spark, sf_dir):
         stored_articles(spark, sf_dir), stored_sentiments(spark, sf_dir), event_prices(spark, sf_dir),
         dt.date(2024, 1, 1), dt.date(2024, 1, 31), model_name=MODEL,
     )
-    return with_day(out.select("ticker", "date", "article_count", "rolling_7d_article_volume", "sma_10"))
+    return with_day(at_places(out, TECHNICAL_FEATURES))
 
 
-P1_EVENT_SQL = S.with_ctes(
-    "event_articles stored_sentiments event_prices",
-    """, daily AS (SELECT ticker, date, count(*) AS article_count
-                   FROM event_articles JOIN stored_sentiments s USING (url)
-                   WHERE model_name = 'keyword-v1' GROUP BY ALL),
-      sma AS (SELECT ticker, trading_date, CASE WHEN row_number() OVER w >= 10
-                     THEN avg(close_price) OVER (w ROWS 9 PRECEDING) END AS sma_10
-              FROM event_prices WINDOW w AS (PARTITION BY ticker ORDER BY trading_date))
-    SELECT d.ticker, CAST(d.date AS VARCHAR) AS date, article_count,
-           CAST(sum(article_count) OVER (PARTITION BY d.ticker ORDER BY d.date
-                RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) AS BIGINT) AS rolling_7d_article_volume,
-           """ + S.r("sma_10", 8) + """ AS sma_10
-    FROM daily d LEFT JOIN sma ON sma.ticker = d.ticker AND sma.trading_date = d.date""",
-)
+#: the feature views again, over the event tables
+EVENT_VIEWS = {
+    "line_articles": """SELECT a.ticker, a.date, a.source_name, s.sentiment_label, s.sentiment_score
+        FROM event_articles a JOIN stored_sentiments s USING (url) WHERE model_name = 'keyword-v1'""",
+    "line_prices": "SELECT * FROM event_prices",
+}
+P1_EVENT_SQL = S.with_ctes("event_articles stored_sentiments event_prices", ", " + ", ".join(
+    f"{name} AS ({EVENT_VIEWS.get(name) or S.CTES[name]})" for name in FEATURE_CTES.split()
+) + _feature_select())
 
 
 DAY = dt.date(1998, 6, 15)
