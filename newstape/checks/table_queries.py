@@ -61,16 +61,21 @@ A1_SQL = f"""
 
 
 def a2(spark, sf_dir):
-    """Pages written as archive answers; urls with a fragment get an unreadable date."""
+    """Pages written as archive answers of one or two items, some answers without a list; urls with a fragment get an unreadable date."""
     pages = table(spark, sf_dir, "pages")
     seen = F.date_format(F.timestamp_seconds(F.col("page_id") * 60 + 1700000000), "yyyyMMdd'T'HHmmss'Z'")
-    item = F.struct(
-        "url", F.concat(F.lit(" "), F.col("html")).alias("title"),
-        F.when(F.col("url").contains("#"), "soon").otherwise(seen).alias("seendate"),
-        F.regexp_extract("url", "https?://([^/]+)", 1).alias("domain"),
-    )
+    def item(url):
+        return F.struct(
+            url.alias("url"), F.concat(F.lit(" "), F.col("html")).alias("title"),
+            F.when(url.contains("#"), "soon").otherwise(seen).alias("seendate"),
+            F.regexp_extract(url, "https?://([^/]+)", 1).alias("domain"),
+        )
+
+    one, two = item(F.col("url")), item(F.concat("url", F.lit("&again")))
+    listed = F.when(F.col("page_id") % 3 == 0, F.array(one, two)).otherwise(F.array(one))
+    nothing = pages.where(F.col("page_id") % 5 == 0).select(F.when(F.lit(False), listed).alias("articles"))
     path = fresh_path(spark, "archive")
-    pages.select(F.array(item).alias("articles")).write.json(path)
+    pages.select(listed.alias("articles")).unionByName(nothing).write.json(path)
     out = payloads.archive_articles(payloads.read_archive(spark, path, multi_line=False), "tsla", STAMP)
     return as_text(out, "published_at", "fetched_at")
 
@@ -83,7 +88,7 @@ A2_SQL = f"""
            CASE WHEN contains(url, '#') THEN NULL
                 ELSE strftime(make_timestamp((page_id * 60 + 1700000000) * 1000000), '%Y-%m-%d %H:%M:%S') END AS published_at,
            CAST(NULL AS VARCHAR) AS content, {STAMP_SQL} AS fetched_at
-    FROM pages"""
+    FROM (SELECT page_id, url, html FROM pages UNION ALL SELECT page_id, url || '&again', html FROM pages WHERE page_id % 3 = 0)"""
 
 #: phrases that occur in the sample texts
 SAMPLE_PHRASES = {"AAA": "Of The", "BBB": "the", "CCC": "le la", "DDD": "is  on it", "EEE": "Apple Inc"}
