@@ -173,8 +173,7 @@ def _dataset_columns(df: DataFrame) -> DataFrame:
 
 
 def p3(spark, sf_dir):
-    rows = feature_rows(spark, sf_dir)
-    return _dataset_columns(dataset.labelled_dataset(rows, line_prices(spark, sf_dir), FIRST, LAST))
+    return _dataset_columns(dataset.training_dataset(line_articles(spark, sf_dir), None, line_prices(spark, sf_dir), FIRST, LAST))
 
 
 P3_SQL = S.with_ctes(

@@ -172,10 +172,14 @@ def _frame(aggregate: str, value: str, rows: int, order: str = "trading_date") -
     return f"if(count({value}) OVER {over} = {rows}, {aggregate}({value}) OVER {over}, NULL)"
 
 
-def technical_indicators(prices: DataFrame, fill: str | None = None, seq: str | None = None) -> DataFrame:
+def technical_indicators(
+    prices: DataFrame, fill: str | None = None, seq: str | None = None, ahead: tuple[int, ...] = ()
+) -> DataFrame:
     """(ticker, trading_date) and the nineteen indicators of ``TECHNICAL_FEATURES``.
 
     A repeated day keeps its last row by ``seq``; without ``seq`` it fails the job.
+    ``ahead`` adds ``close_price`` and ``future_close_<n>d``, the close n trading rows on
+    (rows without a close are not counted), out of the same pass over the prices.
 
     One shuffle by ticker and two sorts serve all of them: the first pass numbers
     the rows and takes everything that looks at raw prices, the later ones run in
@@ -208,6 +212,7 @@ def technical_indicators(prices: DataFrame, fill: str | None = None, seq: str |
         f"{_frame('avg', '_c', 20)} AS sma_20",
         f"{_frame('stddev_samp', '_c', 20)} * 2D AS _spread",
         f"{_frame('avg', '_raw', 5)} AS volume_avg_5d",
+        *[f"lead(_c, {n}) IGNORE NULLS OVER {over} AS future_close_{n}d" for n in ahead],
     )
     df = df.selectExpr(
         "*",
@@ -239,7 +244,7 @@ def technical_indicators(prices: DataFrame, fill: str | None = None, seq: str |
     return _published(
         df,
         {name: derived[name] if name in derived else F.col(name) for name in TECHNICAL_FEATURES},
-        ["ticker", "trading_date"],
+        ["ticker", "trading_date", *([F.col("_c").alias("close_price")] if ahead else []), *[f"future_close_{n}d" for n in ahead]],
     )
 
 

@@ -54,7 +54,11 @@ def direction(change: Column) -> Column:
 
 def price_labels(prices: DataFrame, seq: str | None = None) -> DataFrame:
     """(ticker, trading_date, close_price) and the thirteen label columns; ``seq`` as in :func:`future_closes`."""
-    closes = future_closes(prices, seq=seq)
+    return with_labels(future_closes(prices, seq=seq))
+
+
+def with_labels(closes: DataFrame) -> DataFrame:
+    """Returns, up labels and direction beside ``close_price`` and the future closes."""
     returns = closes.withColumns({
         f"return_{n}d": forward_return(F.col("close_price"), F.col(f"future_close_{n}d")) for n in HORIZONS
     })

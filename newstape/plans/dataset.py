@@ -7,9 +7,12 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from newstape.errors import LabelError, LoadError
-from newstape.operators.labels import label_features
-from newstape.schemas import LABEL_COLUMNS, LABEL_LOOKAHEAD_DAYS
-from newstape.sources.scans import price_range
+from newstape.operators.daily import daily_features
+from newstape.operators.indicators import technical_indicators
+from newstape.operators.labels import label_features, with_labels
+from newstape.plans.features import feature_window
+from newstape.schemas import FEATURE_COLUMNS, HORIZONS, LABEL_COLUMNS, LABEL_LOOKAHEAD_DAYS
+from newstape.sources.scans import in_days, price_range
 from newstape.sources.sinks import write_dataset
 
 
@@ -49,6 +52,30 @@ def labelled_dataset(
     return ordered_columns(label_features(features, wanted, seq))
 
 
+def training_dataset(
+    articles: DataFrame,
+    sentiments: DataFrame | None,
+    prices: DataFrame,
+    start: dt.date,
+    end: dt.date,
+    lookahead_days: int = LABEL_LOOKAHEAD_DAYS,
+    seq: str | None = None,
+    **options,
+) -> DataFrame:
+    """Features and labels of a range at once: what :func:`labelled_dataset` makes of the range's feature vectors.
+
+    The prices are read, dealt by ticker and sorted once, and one pass over them gives the
+    indicators of a day and the closes ahead of it; one join adds them to the article features.
+    """
+    window, first_price = feature_window(articles, sentiments, start, end, **{k: v for k, v in options.items() if k != "fill"})
+    loaded = price_range(prices, options.get("tickers"), first_price, end + dt.timedelta(days=lookahead_days))
+    bars = technical_indicators(loaded, options.get("fill"), seq, HORIZONS)
+    bars = with_labels(bars.where(F.col("close_price").isNotNull() & in_days("trading_date", start, end)))
+    daily = daily_features(window).where(in_days("date", start, end))
+    joined = daily.join(bars.drop("close_price").withColumnRenamed("trading_date", "date"), ["ticker", "date"])
+    return joined.select(*FEATURE_COLUMNS, *LABEL_COLUMNS)
+
+
 def labelled_dataset_for_day(
     features: DataFrame,
     prices: DataFrame,

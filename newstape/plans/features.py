@@ -39,6 +39,22 @@ def _bounds(start: dt.date, end: dt.date, lookback_days: int) -> tuple[dt.date,
     return start - dt.timedelta(days=lookback_days), start - dt.timedelta(days=PRICE_WARMUP_DAYS)
 
 
+def feature_window(
+    articles: DataFrame,
+    sentiments: DataFrame | None,
+    start: dt.date,
+    end: dt.date,
+    tickers: Sequence[str] | None = None,
+    lookback_days: int = ARTICLE_LOOKBACK_DAYS,
+    model_name: str | None = None,
+) -> tuple[DataFrame, dt.date]:
+    """The scored articles a range's features look at, and the first price date its indicators start from."""
+    first_article, first_price = _bounds(start, end, lookback_days)
+    if sentiments is None:
+        return scored_window(articles, first_article, end, tickers), first_price
+    return article_window(articles, sentiments, first_article, end, tickers, model_name), first_price
+
+
 def feature_vectors(
     articles: DataFrame,
     sentiments: DataFrame | None,
@@ -54,11 +70,7 @@ def feature_vectors(
 
     Pass ``sentiments=None`` when the articles carry their sentiment columns.
     """
-    first_article, first_price = _bounds(start, end, lookback_days)
-    if sentiments is None:
-        window = scored_window(articles, first_article, end, tickers)
-    else:
-        window = article_window(articles, sentiments, first_article, end, tickers, model_name)
+    window, first_price = feature_window(articles, sentiments, start, end, tickers, lookback_days, model_name)
     loaded = None if prices is None else price_range(prices, tickers, first_price, end)
     return assemble(window, loaded, start, end, fill)
 

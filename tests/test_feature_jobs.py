@@ -72,6 +72,16 @@ def test_dataset_job(spark):
     assert given.exceptAll(out).isEmpty()
 
 
+def test_training_dataset_is_the_labelled_features(spark):
+    rows = features.feature_vectors(seeded(spark), None, prices(spark), START, END)
+    apart = dataset.labelled_dataset(rows, prices(spark), START, END)
+    once = dataset.training_dataset(seeded(spark), None, prices(spark), START, END)
+    assert once.columns == apart.columns and not once.isEmpty()
+    assert once.exceptAll(apart).isEmpty() and apart.exceptAll(once).isEmpty()
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lead(") > 0
+
+
 def test_shuffles_of_the_feature_join(spark):
     out = features.feature_vectors(seeded(spark), None, prices(spark), START, END)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
