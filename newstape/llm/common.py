@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import gc
 import os
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -14,6 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from newstape.session import work_folder
+
 #: stands for a NULL id wherever ids are compared or ordered: below every other id
 NO_ID = -(2**63)
 
@@ -44,23 +45,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which driver and executors share.
-
-    Where it is unset (tests, a local session) a new temporary folder is set; a
-    cluster must name its own.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def fresh(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    return f"{work_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
