@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from newstape.llm.common import id_back, identified, longs, mapped, rows, stage, texts, text_of
+from newstape.llm.common import identified, mapped, rows, stage, text_of
 
 #: bits of each bitmap, as a power of two: 2 MB, whatever the benchmark's size
 BITMAP = 24

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from newstape.llm.common import id_back, identified, longs, rows, stage
+from newstape.llm.common import id_back, identified, rows, stage
 from newstape.llm.tokens import encoder
 
 #: id that ends every document

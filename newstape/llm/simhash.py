@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from newstape.llm.common import NO_ID, id_back, identified, longs, mapped, rows, stage, texts
+from newstape.llm.common import id_back, identified, longs, mapped, rows, stage, texts
 from newstape.llm.components import components, roots
 
 SEED = 42

@@ -20,7 +20,6 @@ instead, which splits over tasks at any size.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
