@@ -11,7 +11,7 @@ from newstape.checks.daily_queries import dated, with_day
 from newstape.checks.table_queries import (
     DATASET_CTES, DATASET_FROM, STAMP, VERSIONS_SQL, WS, _batch_prices, _dataset, _incoming_lines, as_text,
 )
-from newstape.checks.views import MODEL, event_articles, line_articles, line_prices, table
+from newstape.checks.views import MODEL, line_articles, line_prices, table
 from newstape.functions.numeric import half_even
 from newstape.operators import daily, indicators, labels, metrics, model as M, reports, sentiment, split
 from newstape.plans import loading, training
