@@ -10,7 +10,9 @@ sum is a plain running window.  Across blocks the end states are folded in order
 Missing inputs follow the usual convention for recursive means: a gap keeps the
 last mean, and the next value is weighed against the old mean decayed once per
 missed row.  Everything stays on one frame (no self-joins), one shuffle by series
-key, and one extra sort that all later windows share.
+key, and one extra sort that all later windows share.  The end states of all blocks so
+far are at hand in every row: a handful for daily series, but quadratic in the number of
+blocks, so series of millions of rows (ticks) should be cut before they come here.
 """
 
 from __future__ import annotations

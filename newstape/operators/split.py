@@ -60,15 +60,15 @@ def stratified_split(
     last = running.where(
         (F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_rows") < F.col("_quota"))
     ).select(label, "_range", (F.col("_quota") - (F.col("_upto") - F.col("_rows"))).alias("_need"))
-    # one row per class: the label set is fixed
+    # one row per class; whether that is few enough to broadcast is left to Spark
     inside = keyed.select(label, "_order", F.substring("_order", 1, BUCKET_DIGITS).alias("_range")).join(
-        F.broadcast(last), [label, "_range"]
+        last, [label, "_range"]
     )
     nth = F.row_number().over(Window.partitionBy(label).orderBy("_order"))
     bounds = inside.withColumn("_nth", nth).where(F.col("_nth") == F.col("_need")).select(
         label, F.col("_order").alias("_bound")
     )
-    marked = keyed.join(F.broadcast(bounds), label, "left")
+    marked = keyed.join(bounds, label, "left")
     is_test = F.coalesce(F.col("_order") <= F.col("_bound"), F.lit(False))
     return marked.withColumn("is_test", is_test).select(*df.columns, "is_test")
 
