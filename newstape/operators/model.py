@@ -2,9 +2,9 @@
 
 Spark's trees do not accept missing values, so each feature becomes two: the value
 with a sentinel where it is missing, and a flag that it was.  ``forest`` trains one
-random forest; ``boosted`` trains one gradient-boosted classifier per class,
-up to the number of trees that still helps on rows held back, and normalises their
-probabilities.
+random forest; ``boosted`` trains one gradient-boosted classifier per class, with
+all trees on all labelled rows unless early stopping is asked for, and normalises
+their probabilities.
 """
 
 from __future__ import annotations
@@ -31,9 +31,9 @@ NOT_FEATURE_PREFIXES = ("future_close_", "return_", "label_")
 #: Training defaults.
 DEFAULTS: dict[str, Any] = {
     "trees": 300, "depth": 6, "learning_rate": 0.05, "row_share": 0.8, "feature_share": 0.8, "seed": 42,
+    # boosted only: share of the rows to hold back, to stop when trees no longer help there by the tolerance; 0 for none
+    "validation_share": 0.0, "validation_tolerance": 0.01,
 }
-#: share of the rows a boosted model is checked on after each tree; it stops adding trees when they no longer help there
-VALIDATION_SHARE, VALIDATION_TOLERANCE = 0.1, 0.01
 MISSING = -1.0e9
 
 
@@ -182,16 +182,17 @@ def train(
     elif kind == "boosted":
         stages = []
         for i in range(len(DIRECTIONS)):
-            one = ready.withColumns({
-                "_mine": (F.col("_class") == i).cast("double"),
-                "_held": F.rand(settings["seed"]) < VALIDATION_SHARE,
-            })
-            stages.append(GBTClassifier(
+            one = ready.withColumn("_mine", (F.col("_class") == i).cast("double"))
+            trees = GBTClassifier(
                 labelCol="_mine", featuresCol="features", maxIter=settings["trees"], maxDepth=settings["depth"],
                 stepSize=settings["learning_rate"], subsamplingRate=settings["row_share"],
                 featureSubsetStrategy=share, seed=settings["seed"],
-                validationIndicatorCol="_held", validationTol=VALIDATION_TOLERANCE,
-            ).fit(one))
+            )
+            if settings["validation_share"]:
+                one = one.withColumn("_held", F.rand(settings["seed"]) < settings["validation_share"])
+                trees = trees.setValidationIndicatorCol("_held")
+                trees = trees._set(validationTol=settings["validation_tolerance"])
+            stages.append(trees.fit(one))
     else:
         raise ValueError("kind is 'forest' or 'boosted'")
     return DirectionModel(kind, features, stages, metadata={"label": label, "n_features": len(features), "seed": settings["seed"]})

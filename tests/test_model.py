@@ -77,6 +77,14 @@ def test_train_predict_save_load(spark, tmp_path, kind):
     assert loaded.predict(rows).select("predicted_direction").exceptAll(scored.select("predicted_direction")).isEmpty()
 
 
+def test_boosting_keeps_all_trees_unless_asked_to_stop(spark):
+    rows = dataset(spark).withColumn("signal", F.rand(7))  # trees that hardly help
+    params = {"trees": 8, "depth": 2}
+    assert [s.getNumTrees for s in M.train(rows, kind="boosted", params=params).stages] == [8, 8, 8]
+    fitted = M.train(rows, kind="boosted", params=params | {"validation_share": 0.1})
+    assert min(s.getNumTrees for s in fitted.stages) < 8
+
+
 def test_missing_model(spark, tmp_path):
     with pytest.raises(ModelNotFoundError):
         M.load_model(spark, str(tmp_path / "nothing"))
