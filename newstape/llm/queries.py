@@ -6,9 +6,11 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from newstape.llm import chat, decontam, embeddings, lines, packing, quality, secretscan, simhash, suffixes, warc
+from newstape.llm import (
+    chat, decontam, embeddings, lines, merkle, packing, quality, secretscan, simhash, suffixes, warc,
+)
 from newstape.llm.common import id_back, mapped, rows, table, text_of
 
 #: share of label 1 above which a document passes
@@ -230,6 +232,80 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def number_hash() -> Column:
+    """CRC-32 of the decimal ``doc_id``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    tampered = F.when(F.pmod(number_hash(), F.lit(7)) == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    found = merkle.manifest(docs, claimed={"n_chars": tampered})
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.concat_ws("", "proof").cast("binary"), 256).alias("proof_sha256"),
+        "folded_root", "verified",
+    )
+
+
+#: CRC-32 of the decimal doc_id, bit by bit
+SQL_NUMBER_HASH = """xor(4294967295, list_reduce(
+    list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+    lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a // 2, 3988292384 * (a % 2))), 4294967295))"""
+
+OP11_SQL = f"""
+WITH RECURSIVE plain AS (
+    SELECT doc_id, lang, n_chars,
+        coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+        coalesce(strlen(text) || ':' || text, '-') AS body,
+        n_chars + CASE WHEN {SQL_NUMBER_HASH} % 7 = 0 THEN 1 ELSE 0 END AS n_claimed
+    FROM documents
+), leaf AS MATERIALIZED (
+    SELECT doc_id, coalesce('1' || lang, '0') AS lang,
+        sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || body) AS hash,
+        sha256(head || coalesce(strlen(n_claimed::VARCHAR) || ':' || n_claimed, '-') || body) AS claim
+    FROM plain
+), placed AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, hash) - 1 AS place FROM leaf
+), node AS (
+    SELECT lang, 0 AS level, place, hash, count(*) OVER (PARTITION BY lang) AS n FROM placed
+    UNION ALL
+    SELECT lang, any_value(level) + 1, place // 2, sha256(string_agg(hash, '' ORDER BY place)), (any_value(n) + 1) // 2
+    FROM node WHERE n > 1 GROUP BY lang, place // 2
+), tree AS MATERIALIZED (
+    SELECT * FROM node
+), subroot AS MATERIALIZED (
+    SELECT lang, hash, row_number() OVER (ORDER BY lang) - 1 AS top, level AS height FROM tree WHERE n = 1
+), upper AS (
+    SELECT 0 AS level, top AS place, hash, count(*) OVER () AS n FROM subroot
+    UNION ALL
+    SELECT any_value(level) + 1, place // 2, sha256(string_agg(hash, '' ORDER BY place)), (any_value(n) + 1) // 2
+    FROM upper WHERE n > 1 GROUP BY place // 2
+), crown AS MATERIALIZED (
+    SELECT * FROM upper
+), place AS MATERIALIZED (
+    SELECT p.doc_id, p.lang, p.place, p.hash, p.claim, s.hash AS subroot, s.top, s.height,
+        (SELECT hash FROM crown WHERE n = 1) AS root, (SELECT max(level) FROM crown) AS crown_height
+    FROM placed p JOIN subroot s ON p.lang = s.lang
+), fold AS (
+    SELECT lang, place, 0 AS step, claim AS node, '' AS proof FROM place
+    UNION ALL
+    SELECT f.lang, f.place, f.step + 1,
+        CASE WHEN f.step < p.height THEN
+            CASE WHEN t.hash IS NULL THEN sha256(f.node) WHEN (f.place >> f.step) & 1 = 1 THEN sha256(t.hash || f.node) ELSE sha256(f.node || t.hash) END
+        ELSE
+            CASE WHEN c.hash IS NULL THEN sha256(f.node) WHEN (p.top >> (f.step - p.height)) & 1 = 1 THEN sha256(c.hash || f.node) ELSE sha256(f.node || c.hash) END
+        END,
+        f.proof || coalesce(t.hash, c.hash, '')
+    FROM fold f JOIN place p ON f.lang = p.lang AND f.place = p.place
+    LEFT JOIN tree t ON f.step < p.height AND t.lang = f.lang AND t.level = f.step AND t.place = xor(f.place >> f.step, 1)
+    LEFT JOIN crown c ON f.step >= p.height AND c.level = f.step - p.height AND c.place = xor(p.top >> greatest(0, f.step - p.height), 1)
+    WHERE f.step < p.height + p.crown_height
+)
+SELECT p.doc_id, p.hash AS leaf, p.subroot, p.root, sha256(f.proof) AS proof_sha256, f.node AS folded_root, f.node = p.root AS verified
+FROM place p JOIN fold f ON p.lang = f.lang AND p.place = f.place AND f.step = p.height + p.crown_height
+"""
+
 QUERIES: dict = {
     "op1_secrets": (op1_secrets, None),
     "op2_chat": (op2_chat, OP2_SQL),
@@ -241,4 +317,5 @@ QUERIES: dict = {
     "op8_line_dedup": (op8_line_dedup, OP8_SQL),
     "op9_pack": (op9_pack, None),
     "op10_simhash": (op10_simhash, None),
+    "op11_manifest": (op11_manifest, OP11_SQL),
 }
