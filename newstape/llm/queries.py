@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newstape.llm import (
-    chat, decontam, embeddings, lines, merkle, packing, quality, secretscan, simhash, suffixes, warc,
+    chat, decontam, embeddings, lines, merkle, packing, quality, runs, secretscan, simhash, suffixes, warc,
 )
 from newstape.llm.common import id_back, mapped, rows, table, text_of
 
@@ -306,6 +307,34 @@ SELECT p.doc_id, p.hash AS leaf, p.subroot, p.root, sha256(f.proof) AS proof_sha
 FROM place p JOIN fold f ON p.lang = f.lang AND p.place = f.place AND f.step = p.height + p.crown_height
 """
 
+def planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract's repetitions: documents with h % 10 = 0 repeat a stretch of their words to their end."""
+    if doc_id is None or not words:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.periodic_runs(docs, edit=planted)
+    # of equal exponents the first stays: runs come by start, then period
+    best = F.expr("""aggregate(_runs, CAST(NULL AS STRUCT<start: BIGINT, length: BIGINT, period: BIGINT>),
+        (a, x) -> CASE WHEN a IS NULL OR x.length * a.period > a.length * x.period THEN x ELSE a END)""")
+    listed = F.transform("_runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("_best", best).select(
+        "doc_id", F.size("_runs").cast("long").alias("n_runs"), "_best.start", "_best.length", "_best.period",
+        F.expr("1000 * _best.length div _best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", listed).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("_collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict = {
     "op1_secrets": (op1_secrets, None),
     "op2_chat": (op2_chat, OP2_SQL),
@@ -318,4 +347,5 @@ QUERIES: dict = {
     "op9_pack": (op9_pack, None),
     "op10_simhash": (op10_simhash, None),
     "op11_manifest": (op11_manifest, OP11_SQL),
+    "op13_runs": (op13_runs, None),
 }
