@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newstape.llm import (
-    chat, decontam, embeddings, lines, merkle, packing, quality, runs, secretscan, simhash, suffixes, warc,
+    chat, decontam, embeddings, ffd, lines, merkle, packing, quality, runs, secretscan, simhash, suffixes, warc,
 )
 from newstape.llm.common import id_back, mapped, rows, table, text_of
 
@@ -307,6 +307,11 @@ SELECT p.doc_id, p.hash AS leaf, p.subroot, p.root, sha256(f.proof) AS proof_sha
 FROM place p JOIN fold f ON p.lang = f.lang AND p.place = f.place AND f.step = p.height + p.crown_height
 """
 
+def op12_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ffd.packed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """The contract's repetitions: documents with h % 10 = 0 repeat a stretch of their words to their end."""
     if doc_id is None or not words:
@@ -347,5 +352,6 @@ QUERIES: dict = {
     "op9_pack": (op9_pack, None),
     "op10_simhash": (op10_simhash, None),
     "op11_manifest": (op11_manifest, OP11_SQL),
+    "op12_pack": (op12_pack, None),
     "op13_runs": (op13_runs, None),
 }
