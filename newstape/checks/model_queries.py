@@ -546,7 +546,7 @@ def t1(spark, sf_dir):
     """Every user's url once, however often it arrives."""
     root = fresh_path(spark, "stream")
     seen = intake.new_urls(_event_stream(spark, sf_dir), "60 days").select("url", "ticker")
-    stored = KeyedTable(spark, f"{root}/table", seen.schema, by_hash(["url"], 8))
+    stored = KeyedTable(spark, f"{root}/table", seen.schema, ["url"], by_hash(["url"], 8))
     intake.run_available(seen, f"{root}/checkpoint", intake.upsert_batches(stored, ["url"], []))
     return stored.read()
 
@@ -559,7 +559,7 @@ def t2(spark, sf_dir):
     root = fresh_path(spark, "stream")
     counts = intake.daily_label_counts(_event_stream(spark, sf_dir))
     refresh = [c for c in counts.columns if c not in ("ticker", "date")]
-    stored = KeyedTable(spark, f"{root}/table", counts.schema, by_month("date"))
+    stored = KeyedTable(spark, f"{root}/table", counts.schema, ["ticker", "date"], by_month("date"))
     merge = intake.upsert_batches(stored, ["ticker", "date"], refresh)
     intake.run_available(counts, f"{root}/checkpoint", merge, "update")
     return with_day(stored.read().withColumn("daily_mean", half_even(F.col("daily_mean"), 8)))
@@ -577,7 +577,7 @@ def t3(spark, sf_dir):
     """Articles of the stream merged by url: first ticker and time stay, the label is refreshed."""
     root = fresh_path(spark, "stream")
     stream = _event_stream(spark, sf_dir)
-    stored = KeyedTable(spark, f"{root}/table", stream.schema, by_hash(["url"], 8))
+    stored = KeyedTable(spark, f"{root}/table", stream.schema, ["url"], by_month("published_at"), part_of_key=False)
     merge = intake.upsert_batches(stored, ["url"], ["sentiment_label", "sentiment_score"], "seq")
     intake.run_available(stream.withColumn("seq", F.struct("published_at", "sentiment_label")), f"{root}/checkpoint", merge)
     out = stored.read().withColumn("sentiment_score", F.col("sentiment_score").cast("long"))

@@ -504,7 +504,7 @@ B6_SQL = S.with_ctes("line_articles", UPSERT_CTES + "SELECT * FROM merged")
 def b6_small(spark, sf_dir):
     """The same merge into a stored table: of 16 partitions those that the batch touches are rewritten."""
     rows = _stored_lines(spark, sf_dir)
-    stored = KeyedTable(spark, fresh_path(spark, "articles"), rows.schema, by_hash(["url"], 16))
+    stored = KeyedTable(spark, fresh_path(spark, "articles"), rows.schema, ["url"], by_hash(["url"], 16))
     stored.merge(rows, lambda old, new: upsert.upsert_articles(old, new))
     incoming = _incoming_lines(spark, sf_dir).where(F.col("url") != "")
     merged = stored.merge(incoming, lambda old, new: upsert.upsert_articles(old, new, "seq"))

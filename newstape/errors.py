@@ -21,9 +21,5 @@ class DataPreparationError(NewstapeError):
     """A dataset cannot be turned into a feature matrix."""
 
 
-class ConflictError(NewstapeError):
-    """Another writer changed a table since it was read."""
-
-
 class ModelNotFoundError(NewstapeError):
     """No model is stored at the given path."""

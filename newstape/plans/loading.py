@@ -1,7 +1,7 @@
 """Jobs that score articles and load articles, results and prices into keyed tables.
 
 Tables are kept in partitions (``sources.keyed``): a job rewrites those its batch
-touches and then switches to them in one step, so re-running a job is always safe.
+touches, and running a job again gives the same tables.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from newstape.operators.sentiment import Expression, with_sentiment
 from newstape.schemas import ARTICLE, ENRICHED_ARTICLE, PRICE, SENTIMENT_RESULT
 from newstape.session import fresh_path, remove
 from newstape.sources import files, sinks
-from newstape.sources.keyed import PARTITIONS, KeyedTable, by_hash, by_month
+from newstape.sources.keyed import KeyedTable, by_month
 
 STORED_ARTICLE = T.StructType(ARTICLE.fields + [T.StructField("article_id", T.StringType())])
 
@@ -32,26 +32,23 @@ class LoadResult:
     summary: DataFrame
 
 
-def article_table(spark: SparkSession, folder: str, partitions: int = PARTITIONS) -> KeyedTable:
-    return KeyedTable(spark, f"{folder}/articles", STORED_ARTICLE, by_hash(["url"], partitions))
+def article_table(spark: SparkSession, folder: str) -> KeyedTable:
+    """Articles by url, each in the month in which it was published when it was first loaded."""
+    return KeyedTable(spark, f"{folder}/articles", STORED_ARTICLE, ["url"], by_month("published_at"), part_of_key=False)
 
 
-def result_table(spark: SparkSession, folder: str, partitions: int = PARTITIONS) -> KeyedTable:
-    return KeyedTable(spark, f"{folder}/sentiments", SENTIMENT_RESULT, by_hash(["article_id"], partitions))
+def result_table(spark: SparkSession, folder: str) -> KeyedTable:
+    """Results by article and model, each in the month of its article."""
+    return KeyedTable(spark, f"{folder}/sentiments", SENTIMENT_RESULT, upsert.SENTIMENT_KEY, F.col("_month"), part_of_key=False)
 
 
 def price_table(spark: SparkSession, folder: str) -> KeyedTable:
-    return KeyedTable(spark, f"{folder}/prices", PRICE, by_month("trading_date"))
+    return KeyedTable(spark, f"{folder}/prices", PRICE, upsert.PRICE_KEY, by_month("trading_date"))
 
 
-def load_articles(
-    spark: SparkSession, enriched: DataFrame, folder: str, model_name: str, seq: str = "seq", partitions: int = PARTITIONS
-) -> LoadResult:
+def load_articles(spark: SparkSession, enriched: DataFrame, folder: str, model_name: str, seq: str = "seq") -> LoadResult:
     """Enriched article rows into ``articles`` and ``sentiments`` under ``folder``.
 
-    ``partitions`` is fixed for the life of the tables: enough that one is rewritten in
-    moments at the size they will grow to.
-
     ``seq`` gives the order of arrival inside the batch.  The batch is written once, so a
     scorer behind it runs once per text, and the summary counts what the merges did.
     The results are merged before the articles: a job that dies in between is simply run again.
@@ -62,15 +59,16 @@ def load_articles(
     named = F.coalesce(F.col("url") != "", F.lit(False))
 
     # ids are a function of the url, so linking needs no lookup: a url that was left out has no article
-    found = records.with_article_id(records.sentiment_records(landed, ("ticker", seq)).where(named))
+    month = by_month("published_at").alias("_month")
+    found = records.with_article_id(records.sentiment_records(landed.select("*", month), ("ticker", seq, "_month")).where(named))
     found = found.withColumn("model_name", F.lit(model_name))
-    results = result_table(spark, folder, partitions)
+    results = result_table(spark, folder)
     merged_results = results.merge(
-        found, lambda old, new: upsert.upsert(old, new, upsert.SENTIMENT_KEY, upsert.SENTIMENT_REFRESH, seq, carry=["ticker"])
+        found, lambda old, new: upsert.upsert(old, new, upsert.SENTIMENT_KEY, upsert.SENTIMENT_REFRESH, seq, carry=["ticker"]), landed=True
     )
     incoming = records.with_article_id(records.article_records(landed, (seq,)).where(named))
-    articles = article_table(spark, folder, partitions)
-    merged = articles.merge(incoming, lambda old, new: upsert.upsert_articles(old, new, seq))
+    articles = article_table(spark, folder)
+    merged = articles.merge(incoming, lambda old, new: upsert.upsert_articles(old, new, seq), landed=True)
 
     by_ticker = records.article_records(landed).select("ticker", "url")
     inserted = F.col("_action") == "insert"
@@ -116,7 +114,7 @@ def load_prices(
     if landed.isEmpty():
         raise LoadError("no price rows to load")
     table = price_table(spark, folder)
-    table.merge(landed, lambda old, new: upsert.upsert_prices(old, new, seq))
+    table.merge(landed, lambda old, new: upsert.upsert_prices(old, new, seq), landed=True)
     summary_path = f"{folder}/price_summary"
     reports.price_summary(landed, landed.select("ticker")).coalesce(1).write.mode("overwrite").parquet(summary_path)
     remove(spark, path)

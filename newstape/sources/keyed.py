@@ -1,26 +1,25 @@
-"""Keyed tables in partitions: a merge reads and writes only the partitions its batch touches.
-
-A table is a folder of partition folders and a manifest that names the current folder of
-each.  A merge writes new folders for the partitions it touched and then creates the next
-manifest, which is the one step that makes them visible: a job that dies before it leaves
-the table as it was, and of two writers that started from the same manifest the second
-fails instead of undoing the first.  Folders that neither the current nor the previous
-manifest names are removed, so readers of the previous one can finish.
+"""Keyed tables: Parquet in partitions, merged by dynamic partition overwrite.
+
+A merge reads the partitions its batch touches, joins them with the batch, and writes
+them anew with Spark's ``partitionOverwriteMode=dynamic``: new files are written beside
+the table and take the place of the old ones when all tasks are done, so a job that fails
+before leaves the table as it was.  Merging the same batch again gives the same table,
+so a job that was killed while partitions were switched is simply run again.  A table has
+one writer at a time; where a catalog offers transactions (``MERGE INTO``), use its tables.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Callable, Sequence
 
-from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from newstape.errors import ConflictError
+from newstape.session import fresh_path, remove
 
 #: hash partitions of a table whose keys have no natural order
 PARTITIONS = 16
+PART = T.StructField("_part", T.StringType())
 
 
 def by_hash(keys: Sequence[str], partitions: int = PARTITIONS) -> Column:
@@ -32,91 +31,56 @@ def by_month(day: str) -> Column:
 
 
 class KeyedTable:
-    """A table unique by some key; ``part`` gives a row's partition and depends on its key alone."""
-
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, part: Column):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.part = F.coalesce(part, F.lit("none"))
-        self._paths = spark._jvm.org.apache.hadoop.fs.Path
-        self._files = self._paths(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _manifests(self) -> dict[int, dict[str, str]]:
-        """Manifests by number; one that a writer died over cannot be read and is None."""
-        folder = self._paths(f"{self.root}/manifest")
-        if not self._files.exists(folder):
-            return {}
-        names = [s.getPath().getName() for s in self._files.listStatus(folder)]
-        return {int(n.removesuffix(".json")): self._manifest(n) for n in sorted(names) if n.endswith(".json")}
-
-    def _manifest(self, name: str) -> dict[str, str] | None:
-        stream = self._files.open(self._paths(f"{self.root}/manifest/{name}"))
-        try:
-            return json.loads(bytes(stream.readAllBytes()).decode())
-        except ValueError:
-            return None
-        finally:
-            stream.close()
-
-    def _commit(self, number: int, parts: dict[str, str]) -> None:
-        """Create the manifest; it must not exist, for then another writer was first."""
-        try:
-            stream = self._files.create(self._paths(f"{self.root}/manifest/{number:010d}.json"), False)
-        except Py4JJavaError as problem:
-            raise ConflictError(f"another writer has changed {self.root}") from problem
-        stream.write(bytearray(json.dumps(parts, sort_keys=True).encode()))
-        stream.close()
+    """A table unique by ``keys``.
 
-    def _table(self, folders: Sequence[str], schema: T.StructType) -> DataFrame:
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{f}" for f in folders])
+    ``part`` gives the partition of a new row.  A stored row stays where it is, so ``part``
+    may look at more than the key: then a merge first looks up, in the key columns alone,
+    where the keys of its batch lie (``part_of_key=False``).
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], part: Column, part_of_key: bool = True):
+        self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, list(keys)
+        self.part, self.part_of_key = F.coalesce(part, F.lit("none")), part_of_key
+
+    def _rows(self, schema: T.StructType) -> DataFrame:
+        schema = T.StructType([f for f in schema.fields if f.name != PART.name] + [PART])
+        try:
+            return self.spark.read.schema(schema).parquet(self.path)
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)  # nothing has been merged yet
 
     def read(self) -> DataFrame:
         """The current rows."""
-        return self._table(list(self._current(self._manifests()).values()), self.schema)
-
-    @staticmethod
-    def _current(manifests: dict[int, dict[str, str]]) -> dict[str, str]:
-        return next((m for _, m in sorted(manifests.items(), reverse=True) if m is not None), {})
+        return self._rows(self.schema).select(*self.schema.names)
 
-    def merge(self, batch: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    def merge(self, batch: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame], landed: bool = False) -> DataFrame:
         """Merge a batch and return every row of the touched partitions, with all columns of ``combine``.
 
-        The batch is written first, so whatever it takes to compute it happens once.
-        ``combine`` gets the stored rows of the touched partitions and the batch, and
-        returns at least the table's columns; the others are kept in the files, where
-        readers do not look.
+        The batch is written first, so whatever it takes to compute it happens once;
+        ``landed`` says that it is a table already.  ``combine`` gets the stored rows of the
+        touched partitions and the batch, both with a column ``_part``, and returns at least
+        the stored columns; the others are kept in the files, where readers do not look.
         """
-        manifests = self._manifests()
-        current = self._current(manifests)
-        run = uuid.uuid4().hex
-        batch.withColumn("_part", self.part).write.parquet(f"{self.root}/incoming/{run}")
-        landed = self.spark.read.schema(
-            T.StructType([*batch.schema.fields, T.StructField("_part", T.StringType())])
-        ).parquet(f"{self.root}/incoming/{run}")
-        touched = sorted(r[0] for r in landed.select("_part").distinct().collect())
-        stored = self._table([current[p] for p in touched if p in current], self.schema)
-        merged = combine(stored, landed.drop("_part"))
-        schema = merged.schema
-        merged.withColumn("_part", self.part).hint("rebalance", "_part").write.partitionBy("_part").parquet(f"{self.root}/data/{run}")
-        written = self._paths(f"{self.root}/data/{run}")
-        names = [s.getPath().getName() for s in self._files.listStatus(written) if s.isDirectory()]
-        fresh = {n.removeprefix("_part="): f"data/{run}/{n}" for n in names if n.startswith("_part=")}
-        try:
-            self._commit(max(manifests, default=0) + 1, current | fresh)
-        except ConflictError:
-            self._files.delete(written, True)
-            raise
-        finally:
-            self._files.delete(self._paths(f"{self.root}/incoming/{run}"), True)
-        self._forget()
-        return self._table(list(fresh.values()), schema)
-
-    def _forget(self) -> None:
-        """Remove manifests older than the previous one, and the folders only they name."""
-        manifests = sorted((n, m) for n, m in self._manifests().items() if m is not None)
-        named = {f for _, m in manifests[-2:] for f in m.values()}
-        for number, parts in manifests[:-2]:
-            for folder in set(parts.values()) - named:
-                self._files.delete(self._paths(f"{self.root}/{folder}"), True)
-            self._files.delete(self._paths(f"{self.root}/manifest/{number:010d}.json"), False)
+        path = None
+        if not landed:
+            path = fresh_path(self.spark, "incoming")
+            batch.write.parquet(path)
+            batch = self.spark.read.schema(batch.schema).parquet(path)
+        batch = batch.withColumn(PART.name, self.part)
+        touched = batch.select(PART.name).distinct()
+        if not self.part_of_key:
+            keys = batch.select(*self.keys).distinct()
+            stored = self._rows(self.schema).select(*self.keys, PART.name)
+            touched = touched.union(stored.join(keys, self.keys, "left_semi").select(PART.name)).distinct()
+        # at most as many as the table has partitions
+        parts = [r[0] for r in touched.collect()]
+        merged = combine(self._rows(self.schema).where(F.col(PART.name).isin(parts)), batch)
+        (
+            merged.hint("rebalance", PART.name).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(PART.name).parquet(self.path)
+        )
+        if path:
+            remove(self.spark, path)
+        return self._rows(merged.schema).where(F.col(PART.name).isin(parts)).drop(PART.name)

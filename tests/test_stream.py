@@ -1,6 +1,6 @@
 import datetime as dt
 
-from newstape.sources.keyed import KeyedTable, by_hash, by_month
+from newstape.sources.keyed import KeyedTable, by_month
 from newstape.streaming import intake
 
 SCHEMA = "seq int, ticker string, url string, published_at timestamp, sentiment_label string, sentiment_score int"
@@ -20,7 +20,7 @@ def stream(spark, folder):
 
 def test_upserts_survive_a_restart_and_a_replay(spark, tmp_path):
     landing, root, state = (str(tmp_path / n) for n in ("landing", "table", "state"))
-    table = KeyedTable(spark, root, spark.createDataFrame([], SCHEMA).drop("seq").schema, by_hash(["url"], 4))
+    table = KeyedTable(spark, root, spark.createDataFrame([], SCHEMA).drop("seq").schema, ["url"], by_month("published_at"), part_of_key=False)
     merge = intake.upsert_batches(table, ["url"], ["sentiment_label", "sentiment_score"], "seq")
     land(spark, landing, [row(1, "u1", "positive"), row(2, "u2", "neutral")])
     intake.run_available(stream(spark, landing), state, merge)
@@ -37,7 +37,7 @@ def test_late_days_are_dropped_from_the_counts(spark, tmp_path):
     land(spark, landing, [row(1, "a", "positive"), row(2, "b", "negative")])
     counts = intake.daily_label_counts(stream(spark, landing), "1 day")
     refresh = [c for c in counts.columns if c not in ("ticker", "date")]
-    table = KeyedTable(spark, root, counts.schema, by_month("date"))
+    table = KeyedTable(spark, root, counts.schema, ["ticker", "date"], by_month("date"))
     merge = intake.upsert_batches(table, ["ticker", "date"], refresh)
     intake.run_available(counts, state, merge, "update")
     for rows in ([row(3, "c", "neutral", day=9)], [row(4, "d", "neutral", day=1), row(5, "e", "positive", day=9)]):

@@ -1,4 +1,5 @@
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,9 +8,8 @@ from helpers import one
 from newstape.operators import lookups, records, reports, upsert
 from newstape.plans import loading
 from newstape.schemas import ARTICLE, PRICE, SENTIMENT_RESULT
-from newstape.errors import ConflictError
 from newstape.sources import sinks
-from newstape.sources.keyed import KeyedTable, by_hash
+from newstape.sources.keyed import KeyedTable, by_hash, by_month
 
 T0, T1 = dt.datetime(2026, 1, 1), dt.datetime(2026, 1, 2)
 SCHEMA = "seq int, " + ", ".join(
@@ -68,7 +68,7 @@ def test_a_null_url_is_skipped_and_counted(spark):
 
 def keyed(spark, tmp_path, parts=8):
     schema = spark.createDataFrame([], "k string, n int").schema
-    return KeyedTable(spark, str(tmp_path / "keyed"), schema, by_hash(["k"], parts))
+    return KeyedTable(spark, str(tmp_path / "keyed"), schema, ["k"], by_hash(["k"], parts))
 
 
 def put(table, rows):
@@ -76,51 +76,63 @@ def put(table, rows):
     return table.merge(frame, lambda old, new: upsert.upsert(old, new, ["k"], ["n"]))
 
 
+def files_of(folder):
+    return {str(p) for p in folder.rglob("*.parquet")}
+
+
 def test_a_merge_rewrites_only_what_the_batch_touches(spark, tmp_path):
     table = keyed(spark, tmp_path)
     assert table.read().count() == 0
     put(table, [(f"k{i}", i) for i in range(50)])
-    files = lambda: {str(p) for p in (tmp_path / "keyed" / "data").rglob("*.parquet")}
-    before = files()
-    assert len({p.rsplit("_part=")[1].split("/")[0] for p in before}) == 8
+    before = files_of(tmp_path / "keyed")
+    part = lambda p: p.rsplit("_part=")[1].split("/")[0]
+    assert len({part(p) for p in before}) == 8
     out = put(table, [("k7", 700)])
-    fresh = files() - before
-    assert len({p.rsplit("_part=")[1].split("/")[0] for p in fresh}) == 1 and before <= files()
+    after = files_of(tmp_path / "keyed")
+    assert len({part(p) for p in after - before}) == 1 and {part(p) for p in before - after} == {part(p) for p in after - before}
     assert out.where("_action = 'update'").count() == 1 and out.count() < 50
     rows = {r["k"]: r["n"] for r in table.read().collect()}
     assert rows == {f"k{i}": 700 if i == 7 else i for i in range(50)}
-    put(table, [("k7", 701)])  # the first version of that partition is two merges old
-    part = next(iter(fresh)).rsplit("_part=")[1].split("/")[0]
-    assert not any(f"_part={part}/" in p for p in before & files())
-    assert not list((tmp_path / "keyed" / "incoming").iterdir())
-
-
-def test_a_second_writer_is_noticed(spark, tmp_path):
-    table = keyed(spark, tmp_path)
-    put(table, [("a", 1)])
-
-    def late(old, new):
-        put(keyed(spark, tmp_path), [("a", 2)])  # another writer commits while this one works
-        return upsert.upsert(old, new, ["k"], ["n"])
-
-    with pytest.raises(ConflictError):
-        table.merge(spark.createDataFrame([("a", 3)], "k string, n int"), late)
-    assert [tuple(r) for r in table.read().collect()] == [("a", 2)]
 
 
-def test_an_unfinished_merge_changes_nothing(spark, tmp_path):
+def test_a_failed_merge_changes_nothing(spark, tmp_path):
     table = keyed(spark, tmp_path)
     put(table, [("a", 1), ("b", 2)])
+    before = files_of(tmp_path / "keyed")
 
     def broken(old, new):
-        raise RuntimeError("lost")
+        late = F.when(F.col("k") == "a", F.raise_error(F.lit("lost"))).otherwise(F.col("n"))
+        return upsert.upsert(old, new, ["k"], ["n"]).withColumn("n", late.cast("int"))
 
-    with pytest.raises(RuntimeError):
+    with pytest.raises(Exception, match="lost"):
         table.merge(spark.createDataFrame([("a", 3)], "k string, n int"), broken)
-    (tmp_path / "keyed" / "manifest" / "0000000002.json").write_text('{"0": "da')  # a writer died over its manifest
-    assert table.read().count() == 2
-    put(table, [("c", 4)])
-    assert table.read().count() == 3
+    assert files_of(tmp_path / "keyed") == before and table.read().count() == 2
+
+
+def test_a_merge_killed_while_partitions_switch_is_run_again(spark, tmp_path):
+    first, second = [(f"k{i}", i) for i in range(20)], [(f"k{i}", 100 + i) for i in range(10, 30)]
+    table = keyed(spark, tmp_path, 4)
+    put(table, first)
+    shutil.copytree(tmp_path / "keyed", tmp_path / "old")
+    put(table, second)
+    whole = {tuple(r) for r in table.read().collect()}
+    shutil.rmtree(tmp_path / "keyed" / "_part=1")  # as if only the other partitions had been switched
+    shutil.copytree(tmp_path / "old" / "_part=1", tmp_path / "keyed" / "_part=1")
+    assert {tuple(r) for r in keyed(spark, tmp_path, 4).read().collect()} != whole
+    put(keyed(spark, tmp_path, 4), second)
+    assert {tuple(r) for r in keyed(spark, tmp_path, 4).read().collect()} == whole and len(whole) == 30
+
+
+def test_a_stored_row_stays_in_its_month(spark, tmp_path):
+    schema = spark.createDataFrame([], "k string, day date, n int").schema
+    table = KeyedTable(spark, str(tmp_path / "keyed"), schema, ["k"], by_month("day"), part_of_key=False)
+    merge = lambda rows: table.merge(spark.createDataFrame(rows, schema), lambda old, new: upsert.upsert(old, new, ["k"], ["n"]))
+    merge([("a", dt.date(2026, 1, 1), 1), ("b", dt.date(2026, 2, 1), 2), ("c", dt.date(2026, 3, 1), 3), ("d", None, 4)])
+    before = files_of(tmp_path / "keyed")
+    merge([("a", dt.date(2026, 2, 9), 10), ("e", dt.date(2026, 2, 2), 5), ("d", dt.date(2026, 2, 2), 40)])
+    rows = {tuple(r) for r in table.read().collect()}
+    assert rows == {("a", dt.date(2026, 1, 1), 10), ("b", dt.date(2026, 2, 1), 2), ("c", dt.date(2026, 3, 1), 3), ("d", None, 40), ("e", dt.date(2026, 2, 2), 5)}
+    assert {p for p in before if "2026-03" in p} <= files_of(tmp_path / "keyed")
 
 
 def test_the_scorer_sees_each_text_once(spark, tmp_path):
