@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -68,6 +69,15 @@ def work_folder(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package; on a cluster it comes with ``--py-files``."""
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the work folder that nobody else writes to."""
     return f"{work_folder(spark)}/newstape/{name}-{uuid.uuid4().hex}"

@@ -1,6 +1,7 @@
 import datetime as dt
 import hashlib
 import json
+import random
 
 import pytest
 
@@ -65,16 +66,36 @@ def test_phrases_match_whole_words(spark):
     want = {(1, "AAPL"), (3, "AAPL"), (3, "TSLA")}
     known = tagging.phrase_table(spark, ["aapl", "TSLA", "GOOGL"])
     assert {(r["id"], r["ticker"]) for r in tagging.tag(titles, known, "id").collect()} == want
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        many = known.unionByName(spark.range(500).selectExpr("concat('X', id) AS ticker", "concat('apple phrase ', id) AS phrase"))
-        assert {(r["id"], r["ticker"]) for r in tagging.tag(titles, many, "id").collect()} == want
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    many = known.unionByName(spark.range(500).selectExpr("concat('X', id) AS ticker", "concat('apple phrase ', id) AS phrase"))
+    for limit in (tagging.AUTOMATON_BYTES, 0):  # an automaton; a bit table and a join
+        assert {(r["id"], r["ticker"]) for r in tagging.tag(titles, many, "id", limit=limit).collect()} == want
     nothing = spark.createDataFrame([("A", " .. "), ("B", None)], "ticker string, phrase string")
     assert tagging.tag(titles, nothing, "id").isEmpty() and tagging.tag(titles, nothing.limit(0), "id").isEmpty()
 
 
+@pytest.mark.parametrize("limit", [tagging.AUTOMATON_BYTES, 0])
+def test_phrases_inside_phrases(spark, limit):
+    r = random.Random(3)
+    word = lambda: r.choice(["a", "b", "ab", "ba", "é", "1"])
+    phrases = [(f"T{k % 9}", r.choice([" ", "-"]).join(word() for _ in range(r.randint(1, 5)))) for k in range(40)]
+    texts = [(k, "!".join(word().upper() for _ in range(r.randint(0, 25)))) for k in range(150)]
+    plain = lambda t: f" {' '.join(''.join(c if c.isalnum() else ' ' for c in t.lower()).split())} "
+    want = {(k, t) for k, text in texts for t, p in phrases if plain(p) in plain(text)}
+    known, docs = spark.createDataFrame(phrases, "ticker string, phrase string"), spark.createDataFrame(texts, "id int, title string")
+    assert {tuple(x) for x in tagging.tag(docs.union(docs), known, "id", limit=limit).collect()} == want
+
+
+def test_no_text_is_exploded_broadcast_or_shuffled_by_word(spark, sample):
+    docs = spark.read.parquet(f"{sample}/documents.parquet").select("doc_id", "text")
+    known = spark.createDataFrame([("A", "of the")], "ticker string, phrase string")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    one = plan(tagging.tag(docs, known, "doc_id", "text"))
+    assert "Generate" not in one and "Join" not in one and one.count("Exchange") == 1  # the distinct of the pairs
+    assert "hashpartitioning(doc_id" in one
+    other = plan(tagging.tag(docs, known, "doc_id", "text", limit=0))
+    assert "Generate" not in other and "hashpartitioning(_words" not in other
+
+
 def test_coverage_keeps_empty_windows_and_flags_the_cap(spark):
     start, end = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc), dt.datetime(2025, 1, 20, tzinfo=dt.timezone.utc)
     rows = [("AAPL", dt.datetime(2025, 1, 7, 23, 59, 59)), ("AAPL", dt.datetime(2025, 1, 8)), ("AAPL", dt.datetime(2025, 1, 8)),
