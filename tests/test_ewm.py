@@ -7,7 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from newstape.operators.ewm import Ewm, block_rows, ewm
+from newstape.operators.ewm import Ewm, block_rows, ewm, ewm_long
 
 SPECS = [("e10", 10), ("e26", 26), ("e9", 9)]
 
@@ -30,8 +30,13 @@ def frame(spark, all_series):
     return spark.createDataFrame(rows, "ticker string, trading_date date, x double")
 
 
+def by_fan_of_three(*args, **named):
+    return ewm_long(*args, fan=3, **named)
+
+
+@pytest.mark.parametrize("operator", [ewm, by_fan_of_three])
 @pytest.mark.parametrize("limit", [7, 64, 2048])
-def test_matches_pandas(spark, limit):
+def test_matches_pandas(spark, limit, operator):
     data = {
         "full": series(1, 400, 0.0, 0),
         "gaps": series(2, 400, 0.3, 0),
@@ -41,7 +46,7 @@ def test_matches_pandas(spark, limit):
         "one": np.array([5.0]),
     }
     data["hole"] = np.concatenate([series(5, 60, 0, 0), np.full(120, np.nan), series(6, 60, 0.2, 0)])
-    out = ewm(
+    out = operator(
         frame(spark, data),
         [[Ewm.span("x", name, span) for name, span in SPECS] + [Ewm.wilder("x", "w14", 14)]],
         limit=limit,
@@ -67,6 +72,20 @@ def test_groups_with_different_gaps(spark):
         np.testing.assert_allclose(got[column].to_numpy(float), want.to_numpy(), rtol=1e-11)
 
 
+def test_a_long_series_is_split_over_tasks(spark):
+    rows = 1_000_000
+    x = "if(id % 97 = 5, NULL, 100 + 10 * sin(id / 1000) + (id * 2654435761 % 1000) / 100)"
+    ticks = spark.range(rows).selectExpr("'t' AS ticker", "id AS trading_date", f"CAST({x} AS DOUBLE) AS x")
+    out = ewm_long(ticks, [[Ewm.span("x", "e26", 26), Ewm.span("x", "e1000", 1000)]], fan=64)
+    got = out.orderBy("trading_date").toPandas()
+    source = ticks.orderBy("trading_date").toPandas()["x"]
+    for name, span in (("e26", 26), ("e1000", 1000)):
+        want = source.ewm(span=span, adjust=False, min_periods=span).mean()
+        np.testing.assert_allclose(got[name].to_numpy(float), want.to_numpy(), rtol=1e-11)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning(ticker#" in plan  # only the maps of blocks meet by series
+
+
 def test_blocks_never_overflow():
     assert block_rows([[Ewm.span("x", "y", 10)]]) == 2048
     fast = [[Ewm("x", "y", 0.9, 1)]]
