@@ -1,10 +1,10 @@
-"""A three-class direction classifier on Spark ML.
+"""A three-class direction classifier as Spark ML stages.
 
-Spark's trees do not accept missing values, so each feature becomes two: the value
-with a sentinel where it is missing, and a flag that it was.  ``forest`` trains one
-random forest; ``boosted`` trains one gradient-boosted classifier per class, with
-all trees on all labelled rows unless early stopping is asked for, and normalises
-their probabilities.
+``boosted`` is gradient boosting with a softmax over the three classes
+(:mod:`newstape.operators.boosting`): missing values take the side each split has learnt
+for them, and all trees are trained on all labelled rows unless early stopping is asked
+for.  ``forest`` is Spark's random forest, which does not accept missing values, so each
+feature becomes two: the value with a sentinel where it is missing, and a flag that it was.
 """
 
 from __future__ import annotations
@@ -14,15 +14,15 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.ml.classification import (
-    GBTClassificationModel, GBTClassifier, RandomForestClassificationModel, RandomForestClassifier,
-)
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from newstape.errors import DataPreparationError, ModelNotFoundError
+from newstape.operators.boosting import SoftmaxBooster, SoftmaxBoosterModel
 from newstape.schemas import DIRECTIONS
+from newstape.session import workers_import
 
 LABEL = "label_direction"
 #: Columns that are never features.
@@ -31,8 +31,9 @@ NOT_FEATURE_PREFIXES = ("future_close_", "return_", "label_")
 #: Training defaults.
 DEFAULTS: dict[str, Any] = {
     "trees": 300, "depth": 6, "learning_rate": 0.05, "row_share": 0.8, "feature_share": 0.8, "seed": 42,
-    # boosted only: share of the rows to hold back, to stop when trees no longer help there by the tolerance; 0 for none
-    "validation_share": 0.0, "validation_tolerance": 0.01,
+    # boosted only: bins of a feature, and the share of the rows to hold back, to stop when ten rounds do not
+    # better the loss there by the tolerance; 0 for none
+    "bins": 64, "validation_share": 0.0, "validation_tolerance": 0.0,
 }
 MISSING = -1.0e9
 
@@ -102,20 +103,18 @@ class DirectionModel:
     def predict(self, df: DataFrame) -> DataFrame:
         """All input columns plus ``predicted_direction`` and ``prob_<class>``."""
         keep = list(df.columns)
-        scored = vectors(df, self.features)
         if self.kind == "forest":
-            scored = self.stages[0].transform(scored)
+            scored = self.stages[0].transform(vectors(df, self.features))
             shares = vector_to_array(F.col("probability"))
-            probs = [shares[i] for i in range(len(self.classes))]
         else:
-            for i, stage in enumerate(self.stages):
-                one = stage.copy()
-                for param, name in (("rawPredictionCol", "_raw"), ("probabilityCol", "_prob"), ("predictionCol", "_pred")):
-                    one.set(one.getParam(param), f"{name}{i}")
-                scored = one.transform(scored)
-            raw = [vector_to_array(F.col(f"_prob{i}"))[1] for i in range(len(self.stages))]
-            total = sum(raw[1:], raw[0])
-            probs = [F.try_divide(p, total) for p in raw]
+            missing = [c for c in self.features if c not in df.columns]
+            if missing:
+                raise DataPreparationError(f"the input lacks training columns: {missing}")
+            workers_import(df.sparkSession)
+            one = self.stages[0].copy()
+            scored = one._set(probabilityCol="_probability").transform(df)
+            shares = F.col("_probability")
+        probs = [shares[i] for i in range(len(self.classes))]
         named = [p.alias(f"prob_{c}") for p, c in zip(probs, self.classes)]
         out = scored.select(*keep, *named)
         best = F.greatest(*[F.col(f"prob_{c}") for c in self.classes])
@@ -127,13 +126,13 @@ class DirectionModel:
     def importances(self, spark: SparkSession) -> DataFrame:
         """(feature, importance, rank), most important first; a feature's flag counts towards it."""
         size = len(self.features)
-        sums = [0.0] * size
-        for stage in self.stages:
-            values = stage.featureImportances.toArray()
+        if self.kind == "forest":
+            values = self.stages[0].featureImportances.toArray()
             if len(values) != 2 * size:
                 raise ValueError(f"{len(values)} importances for {size} features")
-            for i in range(size):
-                sums[i] += float(values[i] + values[i + size])
+            sums = [float(values[i] + values[i + size]) for i in range(size)]
+        else:
+            sums = [float(v) for v in self.stages[0].importances]
         whole = sum(sums) or 1.0
         ranked = sorted(zip(self.features, (s / whole for s in sums)), key=lambda p: -p[1])
         rows = [(name, value, i + 1) for i, (name, value) in enumerate(ranked)]
@@ -156,7 +155,7 @@ def load_model(spark: SparkSession, path: str) -> DirectionModel:
         info = json.loads(spark.read.parquet(f"{path}/info").first()[0])
     except Exception as problem:
         raise ModelNotFoundError(f"no model at {path}") from problem
-    reader = RandomForestClassificationModel if info["kind"] == "forest" else GBTClassificationModel
+    reader = RandomForestClassificationModel if info["kind"] == "forest" else SoftmaxBoosterModel
     stages = [reader.load(f"{path}/stage-{i}") for i in range(info["stages"])]
     return DirectionModel(info["kind"], info["features"], stages, info["classes"], info["metadata"])
 
@@ -171,28 +170,20 @@ def train(
     """Fit on labelled rows; ``params`` override :data:`DEFAULTS`."""
     settings = DEFAULTS | dict(params or {})
     features = list(features or feature_columns(rows, label))
-    ready = vectors(rows.where(F.col(label).isNotNull()), features).select(encoded(label).alias("_class"), "features")
-    share = str(settings["feature_share"])
+    labelled = rows.where(F.col(label).isNotNull())
     if kind == "forest":
+        ready = vectors(labelled, features).select(encoded(label).alias("_class"), "features")
         forest = RandomForestClassifier(
             labelCol="_class", featuresCol="features", numTrees=settings["trees"], maxDepth=settings["depth"],
-            subsamplingRate=settings["row_share"], featureSubsetStrategy=share, seed=settings["seed"],
+            subsamplingRate=settings["row_share"], featureSubsetStrategy=str(settings["feature_share"]), seed=settings["seed"],
         )
         stages = [forest.fit(_with_classes(ready))]
     elif kind == "boosted":
-        stages = []
-        for i in range(len(DIRECTIONS)):
-            one = ready.withColumn("_mine", (F.col("_class") == i).cast("double"))
-            trees = GBTClassifier(
-                labelCol="_mine", featuresCol="features", maxIter=settings["trees"], maxDepth=settings["depth"],
-                stepSize=settings["learning_rate"], subsamplingRate=settings["row_share"],
-                featureSubsetStrategy=share, seed=settings["seed"],
-            )
-            if settings["validation_share"]:
-                one = one.withColumn("_held", F.rand(settings["seed"]) < settings["validation_share"])
-                trees = trees.setValidationIndicatorCol("_held")
-                trees = trees._set(validationTol=settings["validation_tolerance"])
-            stages.append(trees.fit(one))
+        workers_import(rows.sparkSession)
+        booster = SoftmaxBooster(
+            featureNames=features, labelCol="_class", classCount=len(DIRECTIONS), settings=json.dumps(settings),
+        )
+        stages = [booster.fit(labelled.select(encoded(label).alias("_class"), *features))]
     else:
         raise ValueError("kind is 'forest' or 'boosted'")
     return DirectionModel(kind, features, stages, metadata={"label": label, "n_features": len(features), "seed": settings["seed"]})

@@ -78,11 +78,11 @@ def test_train_predict_save_load(spark, tmp_path, kind):
 
 
 def test_boosting_keeps_all_trees_unless_asked_to_stop(spark):
-    rows = dataset(spark).withColumn("signal", F.rand(7))  # trees that hardly help
-    params = {"trees": 8, "depth": 2}
-    assert [s.getNumTrees for s in M.train(rows, kind="boosted", params=params).stages] == [8, 8, 8]
-    fitted = M.train(rows, kind="boosted", params=params | {"validation_share": 0.1})
-    assert min(s.getNumTrees for s in fitted.stages) < 8
+    rows = dataset(spark).withColumn("signal", F.rand(7)).withColumn("noise", F.rand(8))  # trees that hardly help
+    params = {"trees": 40, "depth": 2, "learning_rate": 0.3}
+    assert M.train(rows, kind="boosted", params=params).stages[0].rounds == 40
+    fitted = M.train(rows, kind="boosted", params=params | {"validation_share": 0.3})
+    assert 0 < fitted.stages[0].rounds < 40
 
 
 def test_missing_model(spark, tmp_path):
