@@ -28,7 +28,7 @@ END = 2
 #: documents a group has on average
 GROUP = 4096
 #: texts encoded at a time
-TEXTS = 200
+TEXTS = 500
 
 
 class Tournament:
@@ -120,17 +120,18 @@ def powers(parts: list[Part], length: int) -> list[list[Part]]:
     return out
 
 
-PIECES = "_id long, start long, doc_tokens long, ids binary, sequence_id long, salt long"
+PIECES = "_id long, start long, length long, doc_tokens long, ids binary, sequence_id long, salt long"
 PACKED = "_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-def _narrow(ids: np.ndarray) -> bytes:
-    """Two bytes an id where that is enough; four otherwise, after an empty marker of length one."""
-    return ids.astype("<u2").tobytes() if not len(ids) or ids.max() < 1 << 16 else b"\0" + ids.astype("<u4").tobytes()
+def _narrow(ids: np.ndarray) -> tuple[bytes, int]:
+    """The ids with the end id as bytes, and bytes an id: two where that is enough, else four."""
+    size = 2 if not len(ids) or ids.max() < 1 << 16 else 4
+    return ids.astype(f"<u{size}").tobytes() + END.to_bytes(size, "little"), size
 
 
-def _wide(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, "<u4", offset=1) if len(raw) & 1 else np.frombuffer(raw, "<u2").astype("<u4")
+def _wide(raw: bytes, length: int) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{len(raw) // length}").astype("<u4", copy=False)
 
 
 def pieces(
@@ -146,20 +147,22 @@ def pieces(
         for batch in batches:
             texts = batch.column("_text").to_pylist()
             for low in range(0, len(texts), TEXTS):
-                owner, start, total, held, sequence = [], [], [], [], []
+                owner, start, length, total, held, sequence = [], [], [], [], [], []
                 for i, ids in enumerate(encode(texts[low : low + TEXTS]), low):
-                    ids = np.append(ids, np.uint32(END))
-                    for at in range(0, len(ids), capacity):
+                    raw, size = _narrow(ids)
+                    n = len(ids) + 1
+                    for at in range(0, n, capacity):
                         owner.append(i)
                         start.append(at)
-                        total.append(len(ids))
-                        held.append(_narrow(ids[at : at + capacity]))
-                        whole = at + capacity <= len(ids)
+                        length.append(min(capacity, n - at))
+                        total.append(n)
+                        held.append(raw[at * size : (at + capacity) * size])
+                        whole = at + capacity <= n
                         full += whole
                         sequence.append(-(part << 36) - full if whole else None)
                 yield rows(
                     _id=batch.column("_id").take(pa.array(owner, pa.int32())), start=pa.array(start, pa.int64()),
-                    doc_tokens=pa.array(total, pa.int64()), ids=pa.array(held, pa.binary()),
+                    length=pa.array(length, pa.int64()), doc_tokens=pa.array(total, pa.int64()), ids=pa.array(held, pa.binary()),
                     sequence_id=pa.array(sequence, pa.int64()), salt=random.integers(0, 2**40, len(owner)),
                 )
 
@@ -170,8 +173,9 @@ def _rows(some: pa.RecordBatch | pa.Table, parts: list[tuple[int, int, int, int,
     """Rows of (piece, begin in it, length, sequence, offset)."""
     pick, begin, length, sequence, offset = (np.array(x, np.int64) for x in zip(*parts))
     raw = some.column("ids").to_pylist()
-    ids = [_wide(raw[k])[a : a + n].tobytes() for k, a, n in zip(pick.tolist(), begin.tolist(), length.tolist())]
-    column = {c: longs(some.column(c))[pick] for c in ("_id", "start", "doc_tokens")}
+    column = {c: longs(some.column(c))[pick] for c in ("_id", "start", "length", "doc_tokens")}
+    parts = zip(pick.tolist(), column["length"].tolist(), begin.tolist(), length.tolist())
+    ids = [_wide(raw[k], whole)[a : a + n].tobytes() for k, whole, a, n in parts]
     return rows(
         _id=column["_id"], start=column["start"] + begin, length=length, ids=pa.array(ids, pa.binary()),
         doc_tokens=column["doc_tokens"], sequence_id=sequence, offset=offset,
@@ -203,7 +207,7 @@ def packed(
 
     def fill(some: pa.Table) -> pa.Table:
         some = some.combine_chunks()
-        sizes = np.array([len(r) // 4 if len(r) & 1 else len(r) // 2 for r in some.column("ids").to_pylist()], np.int64)
+        sizes = longs(some.column("length"))
         base = some.column("_group")[0].as_py() << 32
         parts = []
         for number, sequence in enumerate(completed(first_fit(sizes, capacity), sizes, capacity, least)):
