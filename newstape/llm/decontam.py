@@ -12,7 +12,8 @@ distance.
 Which windows can start a match is decided without loss: an item of n words within e
 edits keeps most words and most neighbouring word pairs, so a window with too few
 words or pairs of the benchmark holds no match.  Words, pairs and keys of the benchmark
-are looked up in tables of a fixed size; a wrong yes costs time, never a result.
+are looked up in tables of a fixed size; a wrong yes costs time, never a result: only a
+window whose key is that of an item is taken to have met it.
 """
 
 from __future__ import annotations
@@ -29,11 +30,13 @@ from newstape.llm.common import identified, mapped, rows, stage, text_of
 
 #: bits of each bitmap, as a power of two: 2 MB, whatever the benchmark's size
 BITMAP = 24
-#: slots of the table of keys, 16 MB: 0 for no key, 1 for keys of several items, else a mark of the item
+#: slots of the table of keys, 32 MB: 0 for no key, 1 for several keys or items, else a mark of the item; and the
+#: upper half of the slot's one key
 SLOTS, SEVERAL = 1 << 22, 1
 #: places sampled from each walk
 PLACES = 2
-MOST_WALKS = 96
+#: walks of a length class beyond which its recall counts as out of reach, an error
+MOST_WALKS = 4096
 _M = np.uint64(0x9E3779B97F4A7C15 | 1)
 #: bytes hashed at a time
 SPAN = 1 << 20
@@ -185,7 +188,10 @@ def window_hashes(words: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np
 
 
 def calibrated(shape: LengthClass, items: list[np.ndarray], recall: float, seed: int = 5) -> LengthClass:
-    """Walks needed so that items with all the edits allowed, at random places, still meet in ``recall`` of cases."""
+    """Walks needed so that items with all the edits allowed, at random places, still meet in ``recall`` of cases.
+
+    Fails where ``MOST_WALKS`` are not enough.
+    """
     if not shape.edits:
         return shape
     random = np.random.default_rng([seed, shape.low])
@@ -218,8 +224,8 @@ def calibrated(shape: LengthClass, items: list[np.ndarray], recall: float, seed:
     for walk in range(MOST_WALKS):
         met |= keys(left, walk) == keys(right, walk)
         if met.mean() >= recall + (1 - recall) / 2:
-            break
-    return LengthClass(shape.low, shape.high, shape.edits, walk + 1)
+            return LengthClass(shape.low, shape.high, shape.edits, walk + 1)
+    raise ValueError(f"items of {shape.low} words or more with {shape.edits} edits: {MOST_WALKS} walks find {met.mean():.3f} of them, not {recall}")
 
 
 def edit_distances(items: list[np.ndarray], windows: list[np.ndarray], limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -255,29 +261,32 @@ def _bitmap(hashed: DataFrame, column: str) -> np.ndarray:
 
 
 def _key_table(keyed: DataFrame) -> np.ndarray:
-    """Slots of keys and the marks of their items."""
+    """Slots of keys: the mark of the item, and the upper half of the key, where a slot has one of each."""
     slot = F.col("key").bitwiseAND(F.lit(SLOTS - 1))
     mark = F.pmod(F.xxhash64("item_id", "words"), F.lit(2**32 - 2)) + 2
-    marks = keyed.select(slot.alias("slot"), mark.alias("mark")).groupBy("slot").agg(
-        F.min("mark").alias("low"), F.max("mark").alias("high")
+    both = F.struct(mark.alias("mark"), F.shiftrightunsigned("key", 32).alias("half"))
+    marks = keyed.select(slot.alias("slot"), both.alias("both")).groupBy("slot").agg(
+        F.min("both").alias("low"), F.max("both").alias("high")
     )
-    one = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.lit(SEVERAL))
-    parts = marks.select(F.shiftright("slot", 13).alias("part"), F.struct(F.col("slot").bitwiseAND(F.lit(8191)).alias("at"), one.alias("mark")).alias("x"))
+    one = F.when(F.col("low") == F.col("high"), F.col("low.mark")).otherwise(F.lit(SEVERAL))
+    entry = F.struct(F.col("slot").bitwiseAND(F.lit(4095)).alias("at"), one.alias("mark"), F.col("low.half").alias("half"))
+    parts = marks.select(F.shiftright("slot", 12).alias("part"), entry.alias("x"))
 
     def each(batch: pa.RecordBatch) -> pa.RecordBatch:
         packed = []
         for some in batch.column("marks"):
-            table = np.zeros(8192, np.uint32)
-            table[some.values.field("at").to_numpy()] = some.values.field("mark").to_numpy()
+            table = np.zeros((4096, 2), np.uint32)
+            for k, name in enumerate(("mark", "half")):
+                table[some.values.field("at").to_numpy(), k] = some.values.field(name).to_numpy()
             packed.append(table.tobytes())
         return rows(part=batch.column("part"), bits=pa.array(packed, pa.binary()))
 
     spread = parts.groupBy("part").agg(F.collect_list("x").alias("marks"))
-    return _gathered(mapped(spread, each, "part long, bits binary"), 4 * SLOTS, 32768).view(np.uint32)
+    return _gathered(mapped(spread, each, "part long, bits binary"), 8 * SLOTS, 32768).view(np.uint32).reshape(SLOTS, 2)
 
 
 def _gathered(parts: DataFrame, size: int, step: int) -> np.ndarray:
-    """Byte strings of a part each, put in their places; at most 512 of them come to the driver."""
+    """Byte strings of a part each, put in their places; at most 1,024 of them come to the driver, one after the other."""
     out = np.zeros(size, np.uint8)
     for part in parts.toLocalIterator():
         at = part["part"] * step
@@ -383,8 +392,10 @@ def _hits(shapes: list[LengthClass], words_in, pairs_in, keys_in):
                 for k in range(0, len(starts), 10_000)
             ], axis=1)
             for walk, key in enumerate(every):
-                mark = known[(key & np.uint64(SLOTS - 1)).astype(np.int64)]
-                # a window that has met an item need not meet it again
+                mark, half = known[(key & np.uint64(SLOTS - 1)).astype(np.int64)].T
+                # where a slot has one key, 54 bits say that it is this one
+                mark = np.where((mark == SEVERAL) | (half == (key >> np.uint64(32)).astype(np.uint32)), mark, 0)
+                # so a window that has met an item need not meet it again
                 new = (mark > 0) & ((mark == SEVERAL) | ~(marks[:, :walk] == mark[:, None]).any(axis=1))
                 marks[:, walk] = mark
                 hit = np.flatnonzero(new[alike])
@@ -492,7 +503,7 @@ def contaminated(
         return rows(pair=np.concatenate(both).view(np.int64)) if both else None
 
     keyed = stage(mapped(items, hashed, "key long, item_id long, words array<long>"), "keys")
-    # 2, 2 and 16 MB, whatever the size of the benchmark
+    # 2, 2 and 32 MB, whatever the size of the benchmark
     tables = [_bitmap(mapped(items, worded, "word long"), "word"), _bitmap(mapped(items, coupled, "pair long"), "pair"), _key_table(keyed)]
     shared = [spark.sparkContext.broadcast(t) for t in tables]
     hits = identified(docs, id_col, text_col).mapInArrow(
