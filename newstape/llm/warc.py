@@ -80,9 +80,14 @@ def with_roles(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id", ur
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), body.alias("body"),
         F.sha1(body).alias("digest"),
     )
-    keepers = plain.groupBy("digest").agg(F.max("page_id").alias("keeper"))
-    first = F.col("page_id").eqNullSafe(F.col("keeper")) | (F.octet_length("body") < min_bytes)
-    return plain.join(keepers, "digest").select("page_id", "url", "body", "keeper", (~first).alias("revisit"))
+    # only payloads that stand on several pages have another keeper; written apart from the join that uses
+    # them, so Spark may split a payload that very many pages share
+    keepers = plain.groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n"))
+    keepers = stage(keepers.where("n > 1").select("digest", "keeper", F.lit(True).alias("again")), "keepers")
+    found = plain.join(keepers, "digest", "left")
+    keeper = F.when(F.col("again"), F.col("keeper")).otherwise(F.col("page_id"))
+    first = F.col("page_id").eqNullSafe(keeper) | (F.octet_length("body") < min_bytes)
+    return found.select("page_id", "url", "body", keeper.alias("keeper"), (~first).alias("revisit"))
 
 
 def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES, **options) -> DataFrame:
