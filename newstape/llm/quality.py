@@ -209,23 +209,24 @@ def train(
     docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text",
     metadata: tuple[str, ...] = (), max_rows: int = 6000, folds: int = 5,
 ) -> Machine:
-    """Fit on labelled rows whose id is in a training fold, about ``max_rows`` of them at most.
+    """Fit on labelled rows whose id is in a training fold, ``max_rows`` of them at most.
 
-    The bound is the documented size of the training sample: label rows are kept below
-    a threshold on the hash of their id, so the sample is the same on every run and
-    spread over the whole table.  Only the sample's features reach the driver.  Rows
-    with a NULL id or label teach nothing; of a repeated id, every row counts.
+    The bound is the documented size of the training sample: of the different (id, label)
+    pairs those with the lowest hashes are taken, then of the different texts that have
+    them, so the sample is the same on every run and spread over the whole table, and ids
+    or rows that repeat, however often, cannot make it larger.  Only the sample's features
+    reach the driver.  Rows with a NULL id or label teach nothing; equal rows count once.
     """
     usable = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (remainder(id_col, folds) != 0))
     usable = usable.select(F.col(id_col).cast("long").alias("_id"), (F.col(label_col) == 1).cast("int").alias("_label"))
-    draw = F.pmod(F.xxhash64("_id"), F.lit(1 << 30))
-    n = usable.count()
-    if n > max_rows:
-        usable = usable.where(draw < int((1 << 30) * max_rows / n))
-    sample = F.broadcast(usable)  # at most about max_rows rows of an id and a label
-    plain = docs.select(F.col(id_col).cast("long").alias("_id"), text_of(text_col).alias("text"), *metadata)
-    found = featurised(plain.join(sample, "_id"), ["_id", "_label"], "text", metadata).toArrow()
-    found = found.sort_by([("_id", "ascending")])
+    sample = F.broadcast(usable.distinct().orderBy(F.xxhash64("_id"), "_id", "_label").limit(max_rows))
+    text = text_of(text_col)
+    plain = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text, *metadata).alias("_h"), text.alias("text"), *metadata)
+    keys = ["_id", "_label", "_h"]
+    found = plain.join(sample, "_id")
+    few = F.broadcast(found.select(*keys).distinct().orderBy(F.xxhash64("_id", "_h"), *keys).limit(max_rows))
+    found = featurised(found.join(few, keys).dropDuplicates(keys), keys, "text", metadata).toArrow()
+    found = found.sort_by([(c, "ascending") for c in keys])
     idx = [np.asarray(x.values) for x in found.column("idx")]
     val = [np.asarray(x.values) for x in found.column("val")]
     return fit(idx, val, found.column("_label").to_numpy().astype(np.int64))
