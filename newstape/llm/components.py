@@ -87,7 +87,7 @@ def components(links: DataFrame) -> DataFrame:
             label = point.select(F.col("u").alias("node"), F.col("p").alias("root"))
         else:
             ahead = point.select(F.col("u").alias("root"), F.col("p").alias("further"))
-            label = label.join(ahead, "root", "left").select("node", F.coalesce("further", "root").alias("root"))
+            label = stage(label.join(ahead, "root", "left").select("node", F.coalesce("further", "root").alias("root")), "labels")
         of_u = point.select("u", F.col("p").alias("pu"))
         of_v = point.select(F.col("u").alias("v"), F.col("p").alias("pv"))
         moved = left.join(of_u, "u").join(of_v, "v").where("pu <> pv")
