@@ -88,10 +88,28 @@ def test_decontamination_without_items_or_documents(spark):
     assert decontam.contaminated(documents(spark, []), bench).count() == 0
 
 
-def test_walks_reach_the_recall():
-    items = [np.random.default_rng(k).integers(1, 2**62, 40).astype(np.uint64) for k in range(20)]
-    shape = decontam.calibrated(decontam.class_of(40, 0.8), items, 0.99)
-    assert 1 < shape.walks < decontam.MOST_WALKS
+@pytest.mark.parametrize("n", [40, 400, 1500])
+def test_walks_reach_the_recall_on_other_trials(n):
+    """Edited copies inside other words, edits of other kinds and places than those that calibrate."""
+    items = [np.random.default_rng(k).integers(1, 2**62, n).astype(np.uint64) for k in range(12)]
+    shape = decontam.calibrated(decontam.class_of(n, 0.8), items, 0.99)
+    r = random.Random(n)
+    trials, met = 150, 0
+    every = list(range(shape.walks))
+    own = [decontam.walk_keys(x, np.array([0]), np.array([n]), shape, every)[:, 0] for x in items]
+    for k in range(trials):
+        words = [w if isinstance(w, int) else 2**62 + zlib.crc32(w.encode()) for w in edited(items[k % 12].tolist(), int(0.2 * n), 7 * k)]
+        text = np.array([*(r.randrange(2**62) for _ in range(5)), *words, *(r.randrange(2**62) for _ in range(50))], np.uint64)
+        starts = np.arange(5, 5 + int(0.2 * n) + 1)
+        found = decontam.walk_keys(text, starts, np.full(len(starts), len(text)), shape, every)
+        met += bool((found == own[k % 12][:, None]).any())
+    assert met >= 0.97 * trials and shape.walks > 1
+
+
+def test_a_recall_out_of_reach_is_an_error(monkeypatch):
+    monkeypatch.setattr(decontam, "MOST_WALKS", 3)
+    with pytest.raises(ValueError, match="walks"):
+        decontam.calibrated(decontam.class_of(400, 0.8), [np.arange(1, 401, dtype=np.uint64)], 0.99)
 
 
 def test_quality_separates_held_out_labels(spark):
@@ -146,10 +164,6 @@ def test_secret_rules_and_learned_spans(spark):
     assert secretscan.scan(documents(spark, []), network).count() == 0
 
 
-def test_network_learns_nothing_from_too_little():
-    assert secretscan.fit([("token = abc", 8, 11, 1)]).least == (2.0, 2.0)
-
-
 def test_token_ids_are_the_tokenizers():
     own = tokens.Encoder()
     texts = ["", " ", "Don't 'sand IT'S 12,345 (a)b", "<|endoftext|> hi", "É é ñ ß Straße", "é combining", "\x01 a\x85b",
