@@ -3,10 +3,11 @@
 Features are binned once at quantiles, one byte each; missing values (NULL, NaN,
 infinite) have a bin of their own, and every split learns which side they go to.  Rows
 lie in blocks, a written table.  A round grows one tree per class, level by level: one
-pass over the blocks sums the gradients and hessians of every open node, feature and bin
-for all classes, and the driver, which sees only these sums, picks the splits.  The sums
-are whole numbers, so they do not depend on the order of blocks or on retries.  Margins
-are written with the blocks every few rounds; between, tasks add the newest trees.
+pass over the blocks sums the gradients and hessians by node, feature and bin for all
+classes, and the driver, which sees only these sums, picks the splits.  Of two siblings
+the lighter one is summed, the other is what remains of their parent.  The sums are whole
+numbers, so they do not depend on the order of blocks or on retries.  Margins are written
+with the blocks every few rounds; between, tasks add the newest trees.
 """
 
 from __future__ import annotations
@@ -27,10 +28,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from newstape.errors import DataPreparationError
 from newstape.session import fresh_path, remove
 
-#: the bin of missing values, and rows of a block
-MISSING, BLOCK = 255, 32_768
+#: rows of a block, and of a partition of many
+BLOCK, PARTITION = 8_192, 262_144
+#: the bin of missing values
+MISSING = 255
 #: rounds whose trees tasks add up before margins are written again
-ROUNDS = 10
+ROUNDS = 25
 #: gradients and hessians are summed in units of one in so many
 UNIT = float(1 << 24)
 #: rounds without a better held-out loss after which training stops, where rows are held back
@@ -95,6 +98,9 @@ class Trees:
             at = np.where(f < 0, at, 2 * at + 2 - goes_left)
         return at
 
+    def part(self, first: int) -> "Trees":
+        return Trees(self.feature[first:], self.cut[first:], self.missing_left[first:], self.value[first:], self.gain[first:])
+
     def add(self, margin: np.ndarray, x: np.ndarray) -> None:
         """Add what the trees say to the margins; trees of the classes take turns."""
         for tree in range(len(self)):
@@ -147,8 +153,9 @@ def blocks_of(rows: DataFrame, features: Sequence[str], label: str, cuts: Sequen
             yield out()
 
     inputs = rows.select(*[finite(c).alias(f"f{k}") for k, c in enumerate(features)], F.col(label).alias("y"))
-    # partitions of a sensible size, many or few
-    return inputs.hint("rebalance").mapInArrow(run, BLOCKS)
+    n = rows.count()
+    # a histogram comes from every partition, so small inputs have few
+    return inputs.repartition(max(1, min(4, -(-n // BLOCK)), -(-n // PARTITION))).mapInArrow(run, BLOCKS)
 
 
 def _unpacked(row, classes: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
@@ -190,12 +197,11 @@ class Settings:
     validation_tolerance: float = 0.0
 
 
-def best_splits(sums: np.ndarray, allowed: np.ndarray, s: Settings) -> tuple[np.ndarray, ...]:
+def best_splits(sums: np.ndarray, s: Settings) -> tuple[np.ndarray, ...]:
     """Of each node: gain, feature, cut, and whether missing values go left.
 
     ``sums``: gradients and hessians by (node, feature, bin, 2), missing values in the last
-    bin; ``allowed``: features to look at.  Of equal gains the first feature, missing
-    values right, and the lowest cut win.
+    bin.  Of equal gains the first feature, missing values right, and the lowest cut win.
     """
     seen, lost = sums[:, :, :-1], sums[:, :, -1:]
     left = np.cumsum(seen, 2)
@@ -204,26 +210,49 @@ def best_splits(sums: np.ndarray, allowed: np.ndarray, s: Settings) -> tuple[np.
     rest = whole[:, :, None] - both
     score = lambda p: p[..., 0] ** 2 / (p[..., 1] + s.l2)
     gain = score(both) + score(rest) - score(whole[:, :, None])
-    fits = (both[..., 1] >= s.min_child_weight) & (rest[..., 1] >= s.min_child_weight)
-    gain = np.where(fits & allowed[:, :, None, None], gain, -np.inf)
+    gain = np.where((both[..., 1] >= s.min_child_weight) & (rest[..., 1] >= s.min_child_weight), gain, -np.inf)
     n, features, sides, bins = gain.shape
-    best = gain.reshape(n, -1).argmax(1)
+    gain = gain.reshape(n, -1)
+    best = gain.argmax(1)
     feature, rest_of = np.divmod(best, sides * bins)
     side, cut = np.divmod(rest_of, bins)
-    return gain.reshape(n, -1)[np.arange(n), best], feature, cut, side == 1
+    return gain[np.arange(n), best], feature, cut, side == 1
+
+
+#: margins that this worker has brought up to date: block -> (rounds added, margins); of one written table at a time
+_margins: dict = {}
+
+
+def _margin(table: str, block: int, margin: np.ndarray, x: np.ndarray, newest: Trees | None) -> np.ndarray:
+    """The margins of a block with the newest trees; only those are added that this worker has not added before."""
+    if _margins.get("table") != table or len(_margins) > 256:
+        _margins.clear()
+        _margins["table"] = table
+    added, held = _margins.get(block, (0, margin))
+    if newest and len(newest) > added:
+        held = held.copy()
+        newest.part(added).add(held, x)
+        _margins[block] = (len(newest), held)
+    elif added > (len(newest) if newest else 0):  # a task of an earlier round that runs again
+        held = margin.copy()
+        if newest:
+            newest.add(held, x)
+    return held
+
 
+def level_sums(blocks, table: str, newest: Trees | None, growing: Trees, wanted: np.ndarray, chosen: np.ndarray, turn: int, s: Settings):
+    """Sums over all rows by (class, wanted node, chosen feature, bin), in whole numbers, and the held-out loss.
 
-def level_sums(blocks, newest: Trees | None, growing: Trees, first: int, turn: int, shape: tuple[int, int, int], s: Settings):
-    """Sums over all rows for the nodes of one level (whole numbers, by class, node, feature, bin), and the held-out loss."""
-    classes, features, bins = shape
-    nodes = first + 1  # a level of a whole tree has one node more than all levels above it
+    ``wanted``: for each class and node of the level, its place in the result, or -1;
+    ``chosen``: the features of each class.
+    """
+    classes, nodes = wanted.shape
+    first, places = nodes - 1, int(wanted.max()) + 1
+    features, width = chosen.shape[1], s.bins + 1
 
     def of_block(row) -> tuple[np.ndarray, np.ndarray]:
         block, x, y, margin = _unpacked(row, classes)
-        margin = margin.copy()
-        if newest:
-            newest.add(margin, x)
-        p = softmax(margin)
+        p = softmax(_margin(table, block, margin, x, newest))
         loss = np.zeros(2)
         keep = drawn(block, len(x), s.seed, turn + 1) < s.row_share
         if s.validation_share:
@@ -231,17 +260,18 @@ def level_sums(blocks, newest: Trees | None, growing: Trees, first: int, turn: i
             loss[:] = -np.log(np.maximum(p[held, y[held]], 1e-16)).sum(), held.sum()
             keep &= ~held
         x, y, p = x[keep], y[keep], p[keep]
-        slot = np.where(x == MISSING, bins, x) + np.arange(features) * (bins + 1)
-        size = features * (bins + 1)
-        out = np.zeros((classes, nodes * size, 2), np.int64)
+        out = np.zeros((classes, places * features * width, 2), np.int64)
         for c in range(classes):
-            node = growing.node(c, x) - first
-            here = node >= 0
-            g = np.rint((p[:, c] - (y == c)) * UNIT)
-            h = np.rint(np.maximum(2 * p[:, c] * (1 - p[:, c]), 1e-16) * UNIT)
-            at = (slot[here] + node[here, None] * size).ravel()
+            at = growing.node(c, x) - first
+            place = np.where(at < 0, -1, wanted[c][np.maximum(at, 0)])  # rows that end above this level have none
+            here = np.flatnonzero(place >= 0)
+            g = np.rint((p[here, c] - (y[here] == c)) * UNIT)
+            h = np.rint(np.maximum(2 * p[here, c] * (1 - p[here, c]), 1e-16) * UNIT)
+            slot = np.minimum(x[here][:, chosen[c]], s.bins).astype(np.int32)  # missing values are in the last bin
+            slot += np.arange(features, dtype=np.int32) * width + place[here, None].astype(np.int32) * (features * width)
+            slot = slot.ravel()
             for k, w in enumerate((g, h)):
-                out[c, :, k] = np.bincount(at, np.repeat(w[here], features), nodes * size)
+                out[c, :, k] = np.bincount(slot, np.repeat(w, features), out.shape[1])
         return out, loss
 
     def add(a, row):
@@ -252,7 +282,7 @@ def level_sums(blocks, newest: Trees | None, growing: Trees, first: int, turn: i
         return b if a is None else a if b is None else (a[0] + b[0], a[1] + b[1])
 
     sums, loss = blocks.treeAggregate(None, add, join)
-    return sums.reshape(classes, nodes, features, bins + 1, 2), loss
+    return sums.reshape(classes, places, features, width, 2), loss
 
 
 def grow(rows: DataFrame, features: Sequence[str], label: str, classes: int, s: Settings) -> tuple[Trees, list[np.ndarray]]:
@@ -260,8 +290,9 @@ def grow(rows: DataFrame, features: Sequence[str], label: str, classes: int, s:
 
     ``label`` holds class numbers from 0; rows without one are left out.
     """
+    if not 2 <= s.bins < MISSING:
+        raise ValueError(f"2 to {MISSING - 1} bins")
     rows = rows.where(F.col(label).isNotNull())
-    spark = rows.sparkSession
     cuts = quantile_cuts(rows, features, s.bins)
     table, path = _written(blocks_of(rows, features, label, cuts, classes), None, classes)
     if table.isEmpty():
@@ -275,46 +306,51 @@ def grow(rows: DataFrame, features: Sequence[str], label: str, classes: int, s:
         if turn and turn % ROUNDS == 0:
             blocks.unpersist()
             newer, newer_path = _written(table, Trees.joined(rounds[-ROUNDS:]), classes)
-            remove(spark, path)
+            remove(rows.sparkSession, path)
             table, path = newer, newer_path
             blocks = table.rdd.persist(StorageLevel.MEMORY_AND_DISK)
         newest = Trees.joined(rounds[turn - turn % ROUNDS :]) if turn % ROUNDS else None
-        allowed = np.zeros((classes, len(features)), bool)
-        for c in range(classes):
-            allowed[c, random.choice(len(features), some, replace=False)] = True
+        chosen = np.stack([np.sort(random.choice(len(features), some, replace=False)) for _ in range(classes)])
         growing = Trees.empty(classes, s.depth)
-        open_nodes = np.ones((classes, 1), bool)
+        wanted = np.zeros((classes, 1), np.int64)
+        parents = None  # sums of the level above
         for level in range(s.depth):
-            first = (1 << level) - 1
-            sums, loss = level_sums(blocks, newest, growing, first, turn, (classes, len(features), s.bins), s)
+            summed, loss = level_sums(blocks, path, newest, growing, wanted, chosen, turn, s)
             if not level and s.validation_share and loss[1]:
                 now = loss[0] / loss[1]
                 if best_loss is None or now < best_loss - s.validation_tolerance:
                     best_loss, kept = now, turn
-            sums = sums / UNIT
-            nodes = first + 1
-            below = np.zeros((classes, 2 * nodes), bool)
+            nodes = 1 << level
+            sums = np.zeros((classes, nodes, *summed.shape[2:]), np.int64)
+            below = np.full((classes, 2 * nodes), -1)
             for c in range(classes):
+                for k in np.flatnonzero(wanted[c] >= 0).tolist():
+                    sums[c, k] = summed[c, wanted[c, k]]
+                    if level:
+                        sums[c, k ^ 1] = parents[c, k >> 1] - sums[c, k]
+                exact = sums[c] / UNIT
                 if not level:
-                    growing.value[c, 0] = _leaf(sums[c, 0, 0].sum(0), s)
-                gain, feature, cut, missing_left = best_splits(sums[c], np.repeat(allowed[c : c + 1], nodes, 0), s)
-                for k in np.flatnonzero(open_nodes[c] & (gain > 1e-6)).tolist():
-                    at, f = first + k, int(feature[k])
-                    growing.feature[c, at], growing.cut[c, at] = f, cut[k]
+                    growing.value[c, 0] = _leaf(exact[0, 0].sum(0), s)
+                gain, feature, cut, missing_left = best_splits(exact, s)
+                number = 0
+                for k in np.flatnonzero(gain > 1e-6).tolist():
+                    at, f = nodes - 1 + k, int(feature[k])
+                    growing.feature[c, at], growing.cut[c, at] = chosen[c, f], cut[k]
                     growing.missing_left[c, at], growing.gain[c, at] = missing_left[k], gain[k]
-                    mine = sums[c, k, f]
+                    mine = exact[k, f]
                     left = mine[: cut[k] + 1].sum(0) + missing_left[k] * mine[-1]
-                    growing.value[c, 2 * at + 1] = _leaf(left, s)
-                    growing.value[c, 2 * at + 2] = _leaf(mine.sum(0) - left, s)
-                    below[c, 2 * k : 2 * k + 2] = True
-            open_nodes = below
-            if not below.any():
+                    right = mine.sum(0) - left
+                    growing.value[c, 2 * at + 1], growing.value[c, 2 * at + 2] = _leaf(left, s), _leaf(right, s)
+                    below[c, 2 * k + (right[1] < left[1])] = number  # the lighter child
+                    number += 1
+            wanted, parents = below, sums
+            if (below < 0).all():
                 break
         if best_loss is not None and turn - kept > PATIENCE:
             break
         rounds.append(growing)
     blocks.unpersist()
-    remove(spark, path)
+    remove(rows.sparkSession, path)
     if best_loss is not None:
         rounds = rounds[: max(1, kept)]
     return Trees.joined(rounds), cuts
