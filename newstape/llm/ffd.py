@@ -27,8 +27,8 @@ from newstape.llm.tokens import encoder
 END = 2
 #: documents a group has on average
 GROUP = 4096
-#: texts encoded at a time
-TEXTS = 500
+#: texts encoded at a time, and words a worker keeps the ids of (about 200 bytes each)
+TEXTS, WORDS = 500, 400_000
 
 
 class Tournament:
@@ -140,7 +140,7 @@ def pieces(
     """Token ids of every document and the end id: full sequences with a number, what is left over with a salt."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, WORDS).encode
         part = TaskContext.get().partitionId()
         random = np.random.default_rng(part)
         full = 0  # sequences of one document; their numbers are negative, those of groups are not

@@ -53,7 +53,8 @@ def default_path() -> str:
 
 
 class Encoder:
-    def __init__(self, path: str | None = None):
+    def __init__(self, path: str | None = None, table: int = WORD_TABLE):
+        self.table = table
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -91,7 +92,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text, without special tokens."""
-        if len(self.words) > WORD_TABLE:
+        if len(self.words) > self.table:
             self._forget()
         lookup = self.words.__getitem__
         split: list[np.ndarray | None] = []
@@ -115,11 +116,11 @@ class Encoder:
         return out
 
 
-_loaded: dict[str | None, Encoder] = {}
+_loaded: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str | None = None) -> Encoder:
-    """The worker's encoder, loaded once."""
-    if path not in _loaded:
-        _loaded[path] = Encoder(path)
-    return _loaded[path]
+def encoder(path: str | None = None, table: int = WORD_TABLE) -> Encoder:
+    """The worker's encoder, loaded once; a larger table of words takes more room and less time."""
+    if (path, table) not in _loaded:
+        _loaded[path, table] = Encoder(path, table)
+    return _loaded[path, table]
