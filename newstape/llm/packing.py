@@ -27,8 +27,9 @@ from newstape.llm.tokens import encoder
 END = 0
 #: pieces a block has on average
 BLOCK = 20_000
-#: fillings tried per sequence, and search nodes beyond the first descent
-FILLINGS, NODES = 4, 4000
+#: fillings tried per sequence, pieces tried as the first of its last three, and search nodes beyond the first descent;
+#: None: no bound
+FILLINGS, FIRSTS, NODES = 4, 24, 4000
 
 
 def lower_bound(lengths: np.ndarray, capacity: int) -> int:
@@ -104,13 +105,35 @@ class _Left:
         best = len(sums) - 1 - int(np.argmax(sums[::-1]))
         return (int(sizes[best]),) + ((int(second[best]),) if second[best] else ())
 
-    def fillings(self, room: int, many: int) -> list[tuple[int, ...]]:
+    def every(self, room: int, most: int | None = None) -> list[tuple[int, ...]]:
+        """All fillings of a room that leave no space for another piece, by sum of lengths."""
+        sizes = np.flatnonzero(self.has[: min(room, most or room) + 1])[::-1].tolist()
+        out = []
+        for n in sizes:
+            self.take((n,))
+            out += [(n, *rest) for rest in self.every(room - n, n) or [()]]
+            self.give((n,))
+        # a filling is whole if nothing larger that is left would fit either
+        return [f for f in out if most is not None or not self._fits(f, room)]
+
+    def _fits(self, filling: tuple[int, ...], room: int) -> bool:
+        self.take(filling)
+        free = self.largest(room - sum(filling))
+        self.give(filling)
+        return bool(free)
+
+    def fillings(self, room: int, many: int | None, firsts: int | None = FIRSTS) -> list[tuple[int, ...]]:
         """Undominated fillings of a room, least waste first.
 
+        Without bounds these are all whole fillings.
+
         A filling of fewer pieces with the same sum dominates: it leaves the smaller
         pieces, which fit anywhere the larger one does.  While much room is left the
         largest fitting pieces go in; the last pieces are chosen together.
         """
+        if many is None:
+            every = set(self.every(room)) or {()}
+            return sorted(every, key=lambda f: (room - sum(f), len(f), [-x for x in f]))
         head: list[int] = []
         while True:
             top = self.largest(room)
@@ -123,7 +146,7 @@ class _Left:
         plain = self.two(room)
         found[plain] = room - sum(plain)
         if found[plain]:
-            sizes = np.flatnonzero(self.has[: room + 1])[::-1][:24].tolist()
+            sizes = np.flatnonzero(self.has[: room + 1])[::-1][:firsts].tolist()
             for first in sizes:
                 self.take((first,))
                 rest = self.two(room - first)
@@ -139,8 +162,14 @@ class _Left:
         return [tuple(head) + f for f in list(kept.values())[:many]]
 
 
-def pack(lengths: np.ndarray, capacity: int = 2048, nodes: int = NODES) -> list[list[int]]:
-    """Few sequences of at most ``capacity`` that hold every length (1 to capacity), as lists of lengths."""
+def pack(
+    lengths: np.ndarray, capacity: int = 2048, nodes: int | None = NODES, fillings: int | None = FILLINGS, firsts: int | None = FIRSTS
+) -> list[list[int]]:
+    """Few sequences of at most ``capacity`` that hold every length (1 to capacity), as lists of lengths.
+
+    The bounds keep the search to moments; with ``nodes`` and ``fillings`` None it ends at
+    the fewest sequences there can be, after a time that grows exponentially.
+    """
     lengths = np.asarray(lengths, np.int64)
     if not len(lengths):
         return []
@@ -166,13 +195,13 @@ def pack(lengths: np.ndarray, capacity: int = 2048, nodes: int = NODES) -> list[
         if not dead and len(choices) == len(chosen):
             top = left.largest(capacity)
             left.take((top,))
-            options = [(top, *f) for f in left.fillings(capacity - top, FILLINGS)] if top < capacity else [(top,)]
+            options = [(top, *f) for f in left.fillings(capacity - top, fillings, firsts)] if top < capacity else [(top,)]
             left.give((top,))
             choices.append(options[::-1])
         if dead or not choices[-1]:
             if not dead:
                 choices.pop()
-            if not chosen or spent >= nodes:
+            if not chosen or (nodes is not None and spent >= nodes):
                 return best
             spent += 1
             undone = chosen.pop()
