@@ -60,6 +60,24 @@ A1_SQL = f"""
     FROM documents"""
 
 
+def a1_rejects(spark, sf_dir):
+    """A feed folder in which some items break off: each record is an article or a reject, whole."""
+    docs = table(spark, sf_dir, "documents")
+    item = F.to_json(F.struct(F.col("doc_id").alias("id"), F.lit(1700000000).alias("datetime"), F.col("text").alias("headline")))
+    lines = docs.select("doc_id", item.alias("item")).select(F.when(F.col("doc_id") % 10 == 3, F.expr("left(item, length(item) div 2 + 12)")).otherwise(F.col("item")).alias("value"))
+    path = fresh_path(spark, "broken-feed")
+    lines.write.text(path)
+    kept = payloads.feed_articles(payloads.read_feed(spark, path, multi_line=False), "aapl", STAMP)
+    lost = payloads.rejected(spark, path, multi_line=False)
+    return kept.select(F.col("source_id").alias("id"), F.lit("article").alias("status")).unionByName(
+        lost.select(F.regexp_extract("record", '"id":([0-9]+)', 1).alias("id"), F.lit("reject").alias("status"))
+    )
+
+
+A1_REJECTS_SQL = """
+    SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 10 = 3 THEN 'reject' ELSE 'article' END AS status FROM documents"""
+
+
 def a2(spark, sf_dir):
     """Pages written as archive answers of one or two items, some answers without a list; urls with a fragment get an unreadable date."""
     pages = table(spark, sf_dir, "pages")
@@ -1036,6 +1054,7 @@ VERSIONS_SQL = "SELECT * EXCLUDE (action) FROM (" + B8_SQL + ")"
 QUERIES = {
     "a1_feed_articles": (a1, A1_SQL),
     "a2_archive_articles": (a2, A2_SQL),
+    "a1_rejected_items": (a1_rejects, A1_REJECTS_SQL),
     "a3_company_phrases": (a3, A3_SQL),
     "a3_company_phrases_table": (a3_table, A3_TABLE_SQL),
     "a3_phrases_in_documents": (a3_items, A3_ITEMS_SQL),

@@ -1,9 +1,9 @@
 """Sentiment columns for articles: blank texts stay neutral, the rest goes to a scorer.
 
-A scorer is either a native expression (text column in, struct of label and
-confidence out) or a Python callable over batches of texts.  No model ships with
-the package: the default scorer counts words of a short list, which is a stand-in
-behind the same interface.
+A scorer is a native expression (text column in, struct of label and confidence out), a
+Python callable over batches of texts, or a model learnt from labelled articles
+(:mod:`newstape.operators.learned`).  No model ships with the package: the default scorer
+counts words of a short list, which is a stand-in behind the same interface.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from newstape.functions.numeric import half_even
 from newstape.functions.text import model_text, stripped
+from newstape.operators.learned import LearnedScorer
 from newstape.schemas import SENTIMENT_SCORES
 
 #: The stand-in scorer's words.
@@ -32,9 +33,10 @@ def word_scorer(
 ) -> Expression:
     """Label by the majority of listed words; confidence is the margin over the words found."""
     def score(text: Column) -> Column:
-        words = F.split(F.lower(text), "[^a-z]+")
-        good = F.size(F.filter(words, lambda w: w.isin(positive))).cast("double")
-        bad = F.size(F.filter(words, lambda w: w.isin(negative))).cast("double")
+        # one lookup per word; only listed words are looked at again
+        listed = F.filter(F.split(F.lower(text), "[^a-z]+"), lambda w: w.isin([*positive, *negative]))
+        good = F.size(F.filter(listed, lambda w: w.isin(positive))).cast("double")
+        bad = F.size(F.filter(listed, lambda w: w.isin(negative))).cast("double")
         label = F.when(good > bad, "positive").when(good < bad, "negative").otherwise("neutral")
         margin = F.coalesce(F.try_divide(F.abs(good - bad), good + bad), F.lit(0.0))
         return F.struct(label.alias("label"), margin.alias("score"))
@@ -70,7 +72,7 @@ def batched(load: Callable[[], BatchScorer], batch: int = BATCH) -> Expression:
 
 def with_sentiment(
     articles: DataFrame,
-    scorer: Expression | None = None,
+    scorer: Expression | LearnedScorer | None = None,
     analysed_at: dt.datetime | None = None,
     title: str = "title",
     description: str = "description",
@@ -82,7 +84,11 @@ def with_sentiment(
         F.col(title) if title in articles.columns else F.lit(None).cast("string"),
         F.col(description) if description in articles.columns else F.lit(None).cast("string"),
     )
-    scored = articles.withColumn("_text", stripped(text)).withColumn("_result", scorer(F.col("_text")))
+    plain = articles.withColumn("_text", stripped(text))
+    if isinstance(scorer, LearnedScorer):
+        scored = scorer.attach(plain, "_text", "_result")
+    else:
+        scored = plain.withColumn("_result", scorer(F.col("_text")))
     blank = F.col("_text").isNull()
     lowered = F.lower("_result.label")
     label = F.when(~blank & lowered.isin(list(SENTIMENT_SCORES)), lowered).otherwise(F.lit("neutral"))

@@ -1,7 +1,7 @@
 """Keyed merges: deduplication, upsert, and its accounting.
 
-Copies of one key are reduced with ``min_by``/``max_by``, which combine on the map
-side, so a key with very many copies never gathers in one task.
+Copies of one key are reduced with aggregates that combine on the map side, so a key
+with very many copies never gathers in one task.
 """
 
 from __future__ import annotations
@@ -21,10 +21,17 @@ PRICE_REFRESH = ["open_price", "high_price", "low_price", "close_price", "adjust
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
-    """One row per key, the earliest by ``seq`` (a total order without NULLs)."""
-    rest = [c for c in df.columns if c not in keys and c != seq]
-    one = df.groupBy(*keys).agg(F.min_by(F.struct(*rest, seq), seq).alias("_row"))
-    return one.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    """One row per key, the earliest by ``seq`` (a total order without NULLs).
+
+    The least ``seq`` of a key is a hash aggregate over the key columns alone; the rows
+    meet it in a join on key and ``seq``, so the copies of one key are spread over tasks.
+    """
+    first = df.groupBy(*keys).agg(F.min(seq).alias("_first"))
+    first = first.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], "_first")
+    match = F.col(seq) == F.col("_first")
+    for i, k in enumerate(keys):
+        match = match & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    return df.join(first, match, "left_semi")
 
 
 def _folded(incoming: DataFrame, keys, fixed, refresh, seq) -> DataFrame:

@@ -95,15 +95,32 @@ def load_named_files(
 ) -> DataFrame:
     """Read the CSV files a glob matches, with the facts from their names; an unknown name is an error.
 
-    ``tickers`` and ``tag`` choose files by name; :func:`file_report` says which tickers have none.
+    ``tickers`` and ``tag`` choose files by name, from a listing; no other file is opened.
+    :func:`file_report` says which tickers have none.
     """
-    raw = load_table(spark, pattern, schema, required, multi_line=True)
-    out = file_facts(raw.withColumn("file_name", F.col("_metadata.file_name")))
-    unknown = F.concat(F.lit("cannot infer a ticker from file name "), F.col("file_name"))
-    out = out.withColumn("file_ticker", F.coalesce("file_ticker", F.raise_error(unknown)))
+    listed = file_facts(_listed(spark, pattern))
+    unknown = listed.where(F.col("file_ticker").isNull()).limit(1).collect()
+    if unknown:
+        raise LoadError(f"cannot infer a ticker from file name {unknown[0]['file_name']}")
     if tickers:
-        out = out.where(F.col("file_ticker").isin([t.upper() for t in tickers]))
-    return out if tag is None else out.where(F.col("tag") == tag)
+        listed = listed.where(F.col("file_ticker").isin([t.upper() for t in tickers]))
+    if tag is not None:
+        listed = listed.where(F.col("tag") == tag)
+    paths = [r["path"] for r in listed.select("path").collect()]  # of the files asked for
+    if not paths:
+        raw = conform(spark.createDataFrame([], schema), schema).withColumn("file_name", F.lit(None).cast("string"))
+    else:
+        raw = load_table(spark, paths, schema, required, multi_line=True).withColumn("file_name", F.col("_metadata.file_name"))
+    return file_facts(raw)
+
+
+def _listed(spark: SparkSession, pattern: str) -> DataFrame:
+    """``path`` and ``file_name`` of the files of a glob; their contents are not read."""
+    try:
+        listed = spark.read.format("binaryFile").load(pattern)
+    except AnalysisException as problem:
+        raise LoadError(f"cannot read {pattern}: {problem}") from problem
+    return listed.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"))
 
 
 def file_report(spark: SparkSession, folder: str, tickers: Sequence[str] | None = None, tag: str | None = None) -> DataFrame:

@@ -10,11 +10,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from newstape.functions.text import ARCHIVE_STAMP, lenient_timestamp, text_or_null, ticker_symbol, url_digest
 from newstape.schemas import ARCHIVE_PAYLOAD, ARTICLE, FEED_ITEM
 
+#: column of a record that is no JSON
+RECORD = "_record"
+
 
 def _stamp(fetched_at: dt.datetime | Column) -> Column:
     return fetched_at if isinstance(fetched_at, Column) else F.lit(fetched_at)
@@ -29,13 +32,39 @@ def _none(kind: str = "string") -> Column:
 
 
 def read_feed(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Feed items; damaged fields become NULL."""
-    return spark.read.schema(FEED_ITEM).option("multiLine", multi_line).json(path)
+    """Feed items; damaged fields become NULL, and what is no JSON at all is left out (see :func:`rejected`)."""
+    return _sound(_read(spark, path, FEED_ITEM, multi_line), FEED_ITEM)
 
 
 def read_archive(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Archive payloads, one row per answer."""
-    return spark.read.schema(ARCHIVE_PAYLOAD).option("multiLine", multi_line).json(path)
+    """Archive payloads, one row per answer; what is no JSON is left out (see :func:`rejected`)."""
+    return _sound(_read(spark, path, ARCHIVE_PAYLOAD, multi_line), ARCHIVE_PAYLOAD)
+
+
+def rejected(spark: SparkSession, path: str, schema: T.StructType = FEED_ITEM, multi_line: bool = True) -> DataFrame:
+    """(``file_name``, ``record``): the items or answers of a folder that could not be read, as they stand there.
+
+    Rows that :func:`read_feed` or :func:`read_archive` gives and these are together all
+    records of the folder.
+    """
+    raw = _read(spark, path, schema, multi_line)
+    return raw.where(_damaged(schema)).select(F.col("_metadata.file_name").alias("file_name"), F.col(RECORD).alias("record"))
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    landed = T.StructType([*schema.fields, T.StructField(RECORD, T.StringType())])
+    return spark.read.schema(landed).option("multiLine", multi_line).option("columnNameOfCorruptRecord", RECORD).json(path)
+
+
+def _damaged(schema: T.StructType) -> Column:
+    """The record is no JSON; one that is, but has a field of another type, is kept without that field."""
+    # Spark refuses to read the record alone, so a column of the schema is looked at too
+    other = F.coalesce(F.col(schema.names[0]).cast("string"), F.lit("")) != F.lit("\0")
+    return F.col(RECORD).isNotNull() & F.get_json_object(RECORD, "$").isNull() & other
+
+
+def _sound(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    return raw.where(~F.coalesce(_damaged(schema), F.lit(False))).select(*schema.names)
 
 
 def feed_articles(items: DataFrame, ticker: str | Column, fetched_at: dt.datetime | Column) -> DataFrame:

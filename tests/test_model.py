@@ -162,3 +162,24 @@ def test_empty_articles_keep_the_schema(spark):
     df = spark.createDataFrame([], "title string, description string")
     out = sentiment.with_sentiment(df)
     assert out.isEmpty() and out.columns[-4:] == ["sentiment_label", "sentiment_score", "sentiment_confidence", "analysed_at"]
+
+
+def test_a_learnt_scorer(spark, tmp_path):
+    from newstape.operators import learned
+
+    texts = [(f"the {good} quarter number {k}", "POSITIVE") for k in range(40) for good in ("record", "strong")]
+    texts += [(f"a weak outlook and loss {k}", "negative") for k in range(60)] + [(f"shares of company {k}", "neutral") for k in range(60)]
+    rows = spark.createDataFrame([*texts, ("no label", None), ("odd label", "great"), (None, "neutral")], "title string, known string")
+    scorer = learned.train_scorer(rows, "title", "known")
+    fresh = spark.createDataFrame([("the record quarter", None), ("a weak outlook", "loss"), (None, " "), ("word " * 600 + "record", None)],
+                                  "title string, description string")
+    out = sentiment.with_sentiment(fresh, scorer).collect()
+    assert [r["sentiment_label"] for r in out[:3]] == ["positive", "negative", "neutral"] and out[2]["sentiment_confidence"] == 0.0
+    cut = sentiment.with_sentiment(spark.createDataFrame([("word " * 512, None), ("word " * 511 + "word record record", None)], fresh.schema), scorer).collect()
+    assert cut[0]["sentiment_confidence"] == cut[1]["sentiment_confidence"]  # beyond 512 words nothing counts
+    scorer.save(str(tmp_path / "s"))
+    again = sentiment.with_sentiment(fresh, learned.LearnedScorer.load(str(tmp_path / "s"))).collect()
+    keep = lambda rows: [(r["sentiment_label"], r["sentiment_confidence"]) for r in rows]
+    assert keep(again) == keep(out)
+    with pytest.raises(DataPreparationError):
+        learned.train_scorer(rows.where("known = 'great'"), "title", "known")

@@ -8,7 +8,7 @@ import pytest
 from newstape.errors import LoadError
 from newstape.operators import records, tagging
 from newstape.operators.tagging import phrase_of
-from newstape.schemas import ARTICLE, ENRICHED_ARTICLE, FEATURES, PRICE
+from newstape.schemas import ARCHIVE_PAYLOAD, ARTICLE, ENRICHED_ARTICLE, FEATURES, PRICE
 from newstape.plans import loading
 from newstape.sources import files, payloads, quotes, scans, sinks
 
@@ -57,6 +57,20 @@ def test_archive_file(spark, tmp_path):
     assert three["url"] == "" and three["source_id"] == ""
 
 
+def test_broken_items_are_kept_apart(spark, tmp_path):
+    whole = json.dumps([feed_item(), feed_item(id=2, datetime="late")])
+    (tmp_path / "a.json").write_text(whole)
+    (tmp_path / "b.json").write_text(whole[:-40])
+    items = payloads.read_feed(spark, str(tmp_path))
+    assert {(r["id"], r["datetime"]) for r in items.collect()} == {("100001", 1704877200), ("2", None)}
+    assert [tuple(r) for r in payloads.rejected(spark, str(tmp_path)).collect()] == [("b.json", whole[:-40])]
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "lines.json").write_text('{"articles": []}\n{"articles": [{"url"\n')
+    folder = str(tmp_path / "c")
+    assert payloads.read_archive(spark, folder, multi_line=False).count() == 1
+    assert payloads.rejected(spark, folder, ARCHIVE_PAYLOAD, multi_line=False).first()["record"] == '{"articles": [{"url"'
+
+
 def test_phrases_match_whole_words(spark):
     titles = spark.createDataFrame([
         (1, "APPLE INC. beats"), (2, "Applebee's opens"), (3, "apple, inc and Tesla"), (4, "Pineapple Inc"), (5, None),
@@ -131,6 +145,8 @@ def test_files_are_found_and_read_by_name(spark, tmp_path):
     ]
     assert rows[0]["title"] == 'a, "b"\nc' and rows[0]["published_at"] == dt.datetime(2025, 1, 1, 10)
     only = files.load_named_files(spark, f"{tmp_path}/*.csv", ENRICHED_ARTICLE, ["TSLA"])
+    assert len(only.inputFiles()) == 1 and "TSLA" in only.inputFiles()[0]  # the others are not opened
+    assert files.load_named_files(spark, f"{tmp_path}/*.csv", ENRICHED_ARTICLE, ["NONE"]).isEmpty()
     assert only.count() == 1
     (tmp_path / "notes.csv").write_text(line.format("X"))
     with pytest.raises(Exception, match="cannot infer a ticker"):
