@@ -25,8 +25,8 @@ from newstape.llm.tokens import encoder
 
 #: id that ends every document
 END = 0
-#: pieces a block has on average
-BLOCK = 20_000
+#: pieces a block has on average, and words a worker keeps the ids of (about 200 bytes each)
+BLOCK, WORDS = 20_000, 400_000
 #: fillings tried per sequence, pieces tried as the first of its last three, and search nodes beyond the first descent;
 #: None: no bound
 FILLINGS, FIRSTS, NODES = 4, 24, 4000
@@ -226,7 +226,7 @@ def pieces(
     """Token pieces of every document: its ids, then the end id, cut only where longer than ``capacity``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, WORDS).encode
         random = np.random.default_rng(TaskContext.get().partitionId())
         for batch in batches:
             owner, piece, start, length, crc = [], [], [], [], []
