@@ -1,7 +1,8 @@
 """Secret scan: rules find what they know, a character convolution judges every other candidate.
 
 A candidate is what no rule covers: a run of 16 or more value characters with a digit, of
-24 or more without one, or of 6 or more after ``:`` or ``=``.  Its characters and its
+24 or more without one, or of 6 or more after ``:`` or ``=``; not one of only one or two
+different characters (rules, leaders).  Its characters and its
 surroundings go through a small convolutional network in numpy.  The network learns from
 labelled findings: a labelled set made by the rules below (:func:`secret_example`,
 :func:`harmless_example`), with the table's own words around it, and the table's own
@@ -82,7 +83,7 @@ def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
     for a, b in spans:
         while k < len(taken) and taken[k][0] < b:
             k += 1
-        if not (k and reach[k - 1] > a):
+        if not (k and reach[k - 1] > a) and len(set(text[a:b])) > 2:
             out.append((a, b))
     return out
 
@@ -427,7 +428,9 @@ def scan(docs: DataFrame, network: Network, text_col: str = "text", carry: list[
                 seen += views(text, a, b)
                 keyed.append(bool(KEYED.search(text[max(0, a - BEFORE) : a])))
         if open_:
-            score = model.score(np.stack(seen))
+            # equal views, as of a very long repetitive run, are judged once
+            alike, which = np.unique(np.stack(seen), axis=0, return_inverse=True)
+            score = model.score(alike)[which.ravel()]
             best = np.maximum.reduceat(score, [f for *_, f in open_])
             for (i, a, b, _), s, k in zip(open_, best, keyed):
                 if s >= model.least[0 if k else 1]:

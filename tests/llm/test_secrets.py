@@ -65,9 +65,10 @@ def test_prose_is_left_alone(network):
 def test_candidates():
     spans = lambda t: [t[a:b] for a, b in S.candidates(t, S.rule_findings(t))]
     assert spans("x pwd: abcdef, y") == ["abcdef"] and spans("pwd: abcde") == [] and spans('"k": "abc123"') == ["abc123"]
-    assert spans("z" * 23) == [] and spans("z" * 24) == ["z" * 24] and spans("a" * 15 + "1") == ["a" * 15 + "1"]
+    assert spans("xyz" * 7) == [] and spans("xyz" * 8) == ["xyz" * 8] and spans("ab" * 7 + "_1") == ["ab" * 7 + "_1"]
+    assert spans("x" * 100) == [] == spans("k = " + "=-" * 20)
     assert spans("password=abcdef k=uvwxyz1") == ["uvwxyz1"] and spans("") == [] and spans("::=:") == []
-    long = "q=" + "z" * 30
+    long = "q=" + "xyz" * 10
     assert spans(long) == [long]
 
 
