@@ -21,17 +21,15 @@ PRICE_REFRESH = ["open_price", "high_price", "low_price", "close_price", "adjust
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
-    """One row per key, the earliest by ``seq`` (a total order without NULLs).
+    """One row per key, the earliest by ``seq`` (an order without NULLs); of rows equal in ``seq`` one.
 
-    The least ``seq`` of a key is a hash aggregate over the key columns alone; the rows
-    meet it in a join on key and ``seq``, so the copies of one key are spread over tasks.
+    Copies of a key are reduced before the shuffle, and every row is shuffled at most once.
+    The other columns travel whole, so select those that are needed first.
     """
-    first = df.groupBy(*keys).agg(F.min(seq).alias("_first"))
-    first = first.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], "_first")
-    match = F.col(seq) == F.col("_first")
-    for i, k in enumerate(keys):
-        match = match & F.col(k).eqNullSafe(F.col(f"_key{i}"))
-    return df.join(first, match, "left_semi")
+    rest = [c for c in df.columns if c not in keys and c != seq]
+    # the least ``seq`` is an aggregate of its own, which Spark drops where nobody asks for it
+    one = df.groupBy(*keys).agg(F.min_by(F.struct(F.lit(1).alias("_any"), *rest), seq).alias("_row"), F.min(seq).alias(seq))
+    return one.select(*[F.col(c) if c in keys or c == seq else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
 def _folded(incoming: DataFrame, keys, fixed, refresh, seq) -> DataFrame:

@@ -176,6 +176,18 @@ def test_keep_first_treats_missing_keys_as_one(spark):
     assert {(r["url"], r["v"]) for r in upsert.keep_first(rows, ["url"], "seq").collect()} == {("a", "x"), (None, "p")}
 
 
+def test_keep_first_of_rows_that_came_twice(spark):
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 3, "z")], "url string, seq int, v string")
+    out = upsert.keep_first(rows.unionByName(rows), ["url"], "seq")
+    assert sorted(map(tuple, out.collect())) == [("a", 1, "x"), ("b", 3, "z")]
+
+
+def test_keep_first_shuffles_each_row_once(spark):
+    rows = spark.range(1000).select((F.col("id") % 500).alias("url"), F.struct("id").alias("seq"), F.lit("v").alias("v"))
+    plan = upsert.keep_first(rows, ["url"], "seq").drop("seq")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1 and "partial_min(" not in plan
+
+
 def test_hot_key_reduces_before_the_shuffle(spark):
     rows = spark.range(1000).select(F.lit("u").alias("url"), F.col("id").alias("seq"), F.lit("v").alias("v"))
     plan = upsert.keep_first(rows, ["url"], "seq")._jdf.queryExecution().executedPlan().toString()
