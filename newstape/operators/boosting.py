@@ -4,8 +4,9 @@ Features are binned once at quantiles, one byte each; missing values (NULL, NaN,
 infinite) have a bin of their own, and every split learns which side they go to.  Rows
 lie in blocks, a written table.  A round grows one tree per class, level by level: one
 pass over the blocks sums the gradients and hessians by node, feature and bin for all
-classes, and the driver, which sees only these sums, picks the splits.  Of two siblings
-the lighter one is summed, the other is what remains of their parent.  The sums are whole
+classes; a task, whose input is these sums and so of fixed size, picks the splits, and the
+driver sees only the splits.  Of two siblings the lighter one is summed, the other is what
+remains of their parent.  The sums are whole
 numbers, so they do not depend on the order of blocks or on retries.  Margins are written
 with the blocks every few rounds; between, tasks add the newest trees.
 """
@@ -240,11 +241,14 @@ def _margin(table: str, block: int, margin: np.ndarray, x: np.ndarray, newest: T
     return held
 
 
-def level_sums(blocks, table: str, newest: Trees | None, growing: Trees, wanted: np.ndarray, chosen: np.ndarray, turn: int, s: Settings):
-    """Sums over all rows by (class, wanted node, chosen feature, bin), in whole numbers, and the held-out loss.
+def level_splits(blocks, table: str, newest: Trees | None, growing: Trees, wanted: np.ndarray, chosen: np.ndarray, turn: int, s: Settings, parents):
+    """A persisted row with the sums of a level over all rows, for the level below, and what was picked from them.
 
-    ``wanted``: for each class and node of the level, its place in the result, or -1;
-    ``chosen``: the features of each class.
+    The sums are by (class, node, chosen feature, bin), in whole numbers.  Picked are, of each
+    class, the root's gradient and hessian and, of each node that is split, its place in
+    the level, gain, feature, cut, whether missing values go left, and both of either
+    child; and the held-out loss.  ``wanted``: for each class and node of the level, its place among
+    the sums, or -1; ``chosen``: the features of each class; ``parents``: the row of the level above.
     """
     classes, nodes = wanted.shape
     first, places = nodes - 1, int(wanted.max()) + 1
@@ -274,15 +278,48 @@ def level_sums(blocks, table: str, newest: Trees | None, growing: Trees, wanted:
                 out[c, :, k] = np.bincount(slot, np.repeat(w, features), out.shape[1])
         return out, loss
 
-    def add(a, row):
-        b = of_block(row)
-        return b if a is None else (a[0] + b[0], a[1] + b[1])
+    def of_blocks(rows) -> Iterator[tuple]:
+        sums = loss = None
+        for row in rows:
+            one = of_block(row)
+            sums, loss = one if sums is None else (sums + one[0], loss + one[1])
+        if sums is not None:
+            yield 0, (sums, loss, None)
 
     def join(a, b):
-        return b if a is None else a if b is None else (a[0] + b[0], a[1] + b[1])
-
-    sums, loss = blocks.treeAggregate(None, add, join)
-    return sums.reshape(classes, places, features, width, 2), loss
+        both = lambda x, y: y if x is None else x if y is None else x + y
+        return tuple(both(x, y) for x, y in zip(a, b))
+
+    def finished(found) -> tuple[np.ndarray, np.ndarray]:
+        """The sums of all nodes whose parent was split: of two siblings one was summed."""
+        summed, loss, above = found[1]
+        summed = summed.reshape(classes, places, features, width, 2)
+        sums = np.zeros((classes, nodes, features, width, 2), np.int64)
+        for c in range(classes):
+            for k in np.flatnonzero(wanted[c] >= 0).tolist():
+                sums[c, k] = summed[c, wanted[c, k]]
+                if above is not None:
+                    sums[c, k ^ 1] = above[c, k >> 1] - sums[c, k]
+        return sums, loss
+
+    def picked(whole) -> tuple[list, np.ndarray]:
+        out = []
+        for sums in whole[0]:
+            exact = sums / UNIT
+            gain, feature, cut, missing_left = best_splits(exact, s)
+            splits = []
+            for k in np.flatnonzero(gain > 1e-6).tolist():
+                mine = exact[k, feature[k]]
+                left = mine[: cut[k] + 1].sum(0) + missing_left[k] * mine[-1]
+                splits.append((k, float(gain[k]), int(feature[k]), int(cut[k]), bool(missing_left[k]), left, mine.sum(0) - left))
+            out.append((exact[0, 0].sum(0), splits))
+        return out, whole[1]
+
+    rows = blocks.mapPartitions(of_blocks)
+    if parents is not None:
+        rows = rows.union(parents.map(lambda whole: (0, (None, None, whole[0]))))
+    whole = rows.reduceByKey(join, 1).map(finished).persist(StorageLevel.MEMORY_AND_DISK)
+    return whole, whole.map(picked).collect()[0]
 
 
 def grow(rows: DataFrame, features: Sequence[str], label: str, classes: int, s: Settings) -> tuple[Trees, list[np.ndarray]]:
@@ -315,37 +352,29 @@ def grow(rows: DataFrame, features: Sequence[str], label: str, classes: int, s:
         wanted = np.zeros((classes, 1), np.int64)
         parents = None  # sums of the level above
         for level in range(s.depth):
-            summed, loss = level_sums(blocks, path, newest, growing, wanted, chosen, turn, s)
+            sums, (found, loss) = level_splits(blocks, path, newest, growing, wanted, chosen, turn, s, parents)
+            if parents is not None:
+                parents.unpersist()
+            parents = sums
             if not level and s.validation_share and loss[1]:
                 now = loss[0] / loss[1]
                 if best_loss is None or now < best_loss - s.validation_tolerance:
                     best_loss, kept = now, turn
             nodes = 1 << level
-            sums = np.zeros((classes, nodes, *summed.shape[2:]), np.int64)
             below = np.full((classes, 2 * nodes), -1)
-            for c in range(classes):
-                for k in np.flatnonzero(wanted[c] >= 0).tolist():
-                    sums[c, k] = summed[c, wanted[c, k]]
-                    if level:
-                        sums[c, k ^ 1] = parents[c, k >> 1] - sums[c, k]
-                exact = sums[c] / UNIT
+            for c, (root, splits) in enumerate(found):
                 if not level:
-                    growing.value[c, 0] = _leaf(exact[0, 0].sum(0), s)
-                gain, feature, cut, missing_left = best_splits(exact, s)
-                number = 0
-                for k in np.flatnonzero(gain > 1e-6).tolist():
-                    at, f = nodes - 1 + k, int(feature[k])
-                    growing.feature[c, at], growing.cut[c, at] = chosen[c, f], cut[k]
-                    growing.missing_left[c, at], growing.gain[c, at] = missing_left[k], gain[k]
-                    mine = exact[k, f]
-                    left = mine[: cut[k] + 1].sum(0) + missing_left[k] * mine[-1]
-                    right = mine.sum(0) - left
+                    growing.value[c, 0] = _leaf(root, s)
+                for number, (k, gain, feature, cut, missing_left, left, right) in enumerate(splits):
+                    at = nodes - 1 + k
+                    growing.feature[c, at], growing.cut[c, at] = chosen[c, feature], cut
+                    growing.missing_left[c, at], growing.gain[c, at] = missing_left, gain
                     growing.value[c, 2 * at + 1], growing.value[c, 2 * at + 2] = _leaf(left, s), _leaf(right, s)
                     below[c, 2 * k + (right[1] < left[1])] = number  # the lighter child
-                    number += 1
-            wanted, parents = below, sums
+            wanted = below
             if (below < 0).all():
                 break
+        parents.unpersist()
         if best_loss is not None and turn - kept > PATIENCE:
             break
         rounds.append(growing)

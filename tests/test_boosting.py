@@ -111,3 +111,24 @@ def test_importances_and_no_rows(spark, fitted):
     assert model.importances.sum() == pytest.approx(1.0) and (model.importances >= 0).all()
     with pytest.raises(DataPreparationError):
         booster.fit(rows.where(F.lit(False)))
+
+
+def _to_driver(spark) -> int:
+    """Bytes of the results of all stages so far."""
+    jvm, sc = spark._jvm, spark.sparkContext
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return sum(stages.apply(i).resultSize() for i in range(stages.size()))
+
+
+def test_driver_sees_splits_and_no_histograms(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 20))
+    rows = spark.createDataFrame(
+        [(*map(float, r), int(r[0] + r[1] * r[2] > 0)) for r in x], ", ".join(f"f{k} double" for k in range(20)) + ", y int"
+    )
+    workers_import(spark)
+    s = B.Settings(trees=2, depth=4)
+    before = _to_driver(spark)
+    trees, _ = B.grow(rows, [f"f{k}" for k in range(20)], "y", 2, s)
+    # a level's histograms alone would be 2 classes * 16 features * 65 bins * 16 bytes a node
+    assert (trees.feature >= 0).sum() > 20 and _to_driver(spark) - before < 300_000
