@@ -75,25 +75,28 @@ class Automaton:
         return out
 
 
-def tag(articles: DataFrame, phrases: DataFrame, key: str, text: str = "title", limit: int = AUTOMATON_BYTES) -> DataFrame:
+def tag(articles: DataFrame, phrases: DataFrame, key: str, text: str = "title", limit: int = AUTOMATON_BYTES, unique: bool = False) -> DataFrame:
     """(key, ticker) pairs, each once, where a phrase of the ticker occurs in the text as whole words.
 
     The size of ``phrases`` (ticker, phrase) is looked up first.  Up to ``limit`` bytes an
     automaton of them is broadcast and each text is read once where it lies.  Beyond, a bit
     table of fixed size is broadcast, texts give those runs of words that the table does not
     rule out, and these, most of them real phrases, join the phrases.  Either way no text
-    leaves its task.  Phrases without a word match nothing.
+    leaves its task.  Phrases without a word match nothing.  ``unique`` says that no two
+    articles have the same key, so that the automaton's pairs are not compared again.
     """
     spark = articles.sparkSession
     workers_import(spark)
     known = phrases.select(F.trim(words_of(F.col("phrase"))).alias("phrase"), "ticker").where("phrase <> ''").distinct()
-    texts = articles.select(key, F.trim(words_of(F.col(text))).alias("_words")).where("_words <> ''")
-    size = known.agg(F.sum(F.octet_length("phrase"))).first()[0] or 0
-    if size <= limit:
-        return _by_automaton(texts, known, key).distinct()
+    # written once, as phrases may be cut from texts; blank texts are not looked for, which would cut texts twice
     path = fresh_path(spark, "phrases")
     known.write.parquet(path)
     known = spark.read.schema(known.schema).parquet(path)
+    texts = articles.select(key, F.coalesce(F.trim(words_of(F.col(text))), F.lit("")).alias("_words"))
+    size = known.agg(F.sum(F.octet_length("phrase"))).first()[0] or 0
+    if size <= limit:
+        pairs = _by_automaton(texts, known, key)
+        return pairs if unique else pairs.distinct()
     return _by_table(texts, known, key).join(known, "phrase").select(key, "ticker").distinct()
 
 

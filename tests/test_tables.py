@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import one
-from newstape.operators import lookups, records, reports, upsert
+from newstape.operators import lookups, records, reports, tagging, upsert
 from newstape.plans import loading
 from newstape.schemas import ARTICLE, PRICE, SENTIMENT_RESULT
 from newstape.sources import sinks
@@ -258,3 +258,21 @@ def test_requested_tickers_without_rows(spark):
     scored = {r["ticker"]: r for r in reports.sentiment_summary(rows, asked).collect()}
     assert scored["NONE"]["mean_score"] is None and scored["AAPL"]["mean_score"] == 1.0
     assert sinks.range_tag(dt.date(2026, 1, 1), dt.date(2026, 1, 2)) == "2026-01-01_2026-01-02"
+
+
+def test_pairs_of_unique_articles_are_not_shuffled(spark):
+    """What the automaton finds in articles of different keys needs no second look."""
+    articles = spark.createDataFrame([(1, "Blue ring, blue ring"), (2, None), (3, "hot blue ring")], "k long, title string")
+    phrases = spark.createDataFrame([("A", "blue ring"), ("A", "hot"), ("B", "ring")], "ticker string, phrase string")
+    found = tagging.tag(articles, phrases, "k", unique=True)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.collect())) == [(1, "A"), (1, "B"), (3, "A"), (3, "B")]
+
+
+def test_texts_are_cut_into_words_once(spark):
+    articles = spark.createDataFrame([(1, "blue ring"), (2, "  "), (3, None)], "k long, title string")
+    phrases = spark.createDataFrame([("A", "ring"), ("B", " - ")], "ticker string, phrase string")
+    for limit in (1 << 20, 0):
+        found = tagging.tag(articles, phrases, "k", limit=limit)
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+        assert [tuple(r) for r in found.collect()] == [(1, "A")]
