@@ -183,3 +183,22 @@ def test_a_learnt_scorer(spark, tmp_path):
     assert keep(again) == keep(out)
     with pytest.raises(DataPreparationError):
         learned.train_scorer(rows.where("known = 'great'"), "title", "known")
+
+
+def test_labels_of_a_learned_scorer_are_computed_once(spark):
+    """The learner goes over its rows more than once, what they are made of does not run again."""
+    from pyspark.sql import functions as F
+    from newstape.operators import learned
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def label(text):
+        seen.add(1)
+        return "positive" if "up" in text else "negative"
+
+    rows = spark.createDataFrame([(f"{'up' if k % 2 else 'down'} word{k}",) for k in range(40)], "title string").repartition(2)
+    made = rows.withColumn("known", F.udf(label, "string")("title"))
+    scorer = learned.train_scorer(made, "title", "known", iterations=3)
+    assert seen.value <= 80  # the label stands in the filter and in the row
+    out = scorer.attach(rows, "title", "out").select("title", "out.label").collect()
+    assert all((r.label == "positive") == r.title.startswith("up") for r in out)
