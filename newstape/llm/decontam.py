@@ -509,6 +509,8 @@ def contaminated(
     hits = identified(docs, id_col, text_col).mapInArrow(
         _hits(shapes, *shared), "_id long, _h long, key long, at long, window array<long>"
     )
+    # written first: where the items are few enough to be broadcast, a task would keep two Python workers busy
+    hits = stage(hits, "hits")
     met = hits.join(keyed, "key").select("_id", "_h", "item_id", "at", "window", "words")
     found = mapped(met, _verified(similarity), "_id long, _h long, item_id long, at long, edits long, n_words long")
     best = found.groupBy("_id", "_h", "item_id").agg(F.min(F.struct("edits", "at", "n_words")).alias("best"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from newstape.llm.common import id_back, identified, longs, mapped, rows, stage, texts
+from newstape.llm.common import id_back, identified, longs, mapped, rows, stage, texts, unstage
 from newstape.llm.components import components, roots
 
 SEED = 42
@@ -177,7 +177,10 @@ def near_duplicates(
     """
     prints = stage(fingerprints(docs, width, id_col, text_col), "prints")
     nodes = prints.groupBy("fp").agg(F.min(id_back()).alias("low"))
-    found = components(links(prints)).select(F.col("node").alias("fp"), "root")
+    # written first: a task that found links and shrank them in one go would keep two Python workers busy
+    linked = stage(links(prints), "linked")
+    found = components(linked).select(F.col("node").alias("fp"), "root")
+    unstage(linked)
     rooted = nodes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     named = stage(rooted.join(lows, "root").select("fp", "root", "component_id"), "named")
