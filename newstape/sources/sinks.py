@@ -16,7 +16,8 @@ def range_tag(start: dt.date, end: dt.date) -> str:
 def write_partitioned(df: DataFrame, path: str, by: str, fmt: str = "parquet") -> str:
     writer = df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        # readers tell by the names of the files
+        writer = writer.option("header", True).option("escape", '"').option("compression", "gzip")
     writer.save(path)
     return path
 

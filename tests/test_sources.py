@@ -4,6 +4,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from newstape.errors import LoadError
 from newstape.operators import records, tagging
@@ -205,6 +206,15 @@ def test_csv_sinks_keep_line_breaks_and_numeric_tickers(spark, tmp_path):
     assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
 
 
+def test_csv_sinks_are_compressed(spark, tmp_path):
+    rows = spark.range(2000).select(F.lit("0700").alias("ticker"), F.concat(F.lit("http://news.example/"), "id").alias("url"))
+    path = sinks.write_enriched(rows, str(tmp_path), "t", "csv")
+    files_ = [f for f in (tmp_path / "news_sentiment_t").rglob("part-*")]
+    assert files_ and all(f.name.endswith(".csv.gz") for f in files_)
+    assert sum(f.stat().st_size for f in files_) < 2000 * 10
+    assert sinks.read_written(spark, path, rows.schema, "csv").exceptAll(rows).isEmpty()
+
+
 def test_parquet_is_conformed_too(spark, tmp_path):
     path = str(tmp_path / "p")
     spark.createDataFrame([("A", dt.datetime(2026, 1, 1), float("nan"), 3)], "ticker string, trading_date timestamp, close_price double, volume int").write.parquet(path)
