@@ -20,10 +20,13 @@ from newstape.session import fresh_path, remove
 #: hash partitions of a table whose keys have no natural order
 PARTITIONS = 16
 PART = T.StructField("_part", T.StringType())
+#: tables and landed batches are written smaller than with Spark's default
+CODEC = "zstd"
 
 
 def by_hash(keys: Sequence[str], partitions: int = PARTITIONS) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(partitions)).cast("string")
+    """With the hash that Spark shuffles by, so a task of a shuffle by the keys meets few partitions."""
+    return F.pmod(F.hash(*keys), F.lit(partitions)).cast("string")
 
 
 def by_month(day: str) -> Column:
@@ -34,53 +37,83 @@ class KeyedTable:
     """A table unique by ``keys``.
 
     ``part`` gives the partition of a new row.  A stored row stays where it is, so ``part``
-    may look at more than the key: then a merge first looks up, in the key columns alone,
-    where the keys of its batch lie (``part_of_key=False``).
+    may look at more than the key: then a merge first looks up where the keys of its batch
+    lie (``part_of_key=False``), by their hashes and only in partitions that the batch does
+    not touch anyway; a hash met by chance rewrites a partition as it was.
+
+    ``rebalance=False`` leaves out the shuffle by partition before the files are written.
+    It suits :func:`by_hash` of the keys, where what a merge joined by key lies well already.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], part: Column, part_of_key: bool = True):
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], part: Column,
+        part_of_key: bool = True, rebalance: bool = True,
+    ):
         self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, list(keys)
-        self.part, self.part_of_key = F.coalesce(part, F.lit("none")), part_of_key
+        self.part, self.part_of_key, self.rebalance = F.coalesce(part, F.lit("none")), part_of_key, rebalance
 
-    def _rows(self, schema: T.StructType) -> DataFrame:
+    def _stored(self, schema: T.StructType) -> DataFrame | None:
+        """What is stored, with ``_part``; None before the first merge."""
         schema = T.StructType([f for f in schema.fields if f.name != PART.name] + [PART])
         try:
             return self.spark.read.schema(schema).parquet(self.path)
         except AnalysisException as problem:
             if problem.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)  # nothing has been merged yet
+            return None
+
+    def _nothing(self) -> DataFrame:
+        """No rows, in a form that Spark knows to be empty when it plans."""
+        fields = [f for f in self.schema.fields if f.name != PART.name] + [PART]
+        return self.spark.range(0).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
     def read(self) -> DataFrame:
         """The current rows."""
-        return self._rows(self.schema).select(*self.schema.names)
+        stored = self._stored(self.schema)
+        return (self._nothing() if stored is None else stored).select(*self.schema.names)
+
+    def _touched(self, batch: DataFrame) -> list[str]:
+        """The partitions a batch touches, at most as many as the table has."""
+        parts = [r[0] for r in batch.select(PART.name).distinct().collect()]
+        if self.part_of_key:
+            return parts
+        others = self._stored(self.schema).where(~F.col(PART.name).isin(parts))
+        if others.isEmpty():
+            return parts
+        sought = batch.select(F.xxhash64(*self.keys).alias("_key")).distinct()
+        met = others.select(F.xxhash64(*self.keys).alias("_key"), PART.name).join(sought, "_key", "left_semi")
+        return parts + [r[0] for r in met.select(PART.name).distinct().collect()]
+
+    def _write(self, merged: DataFrame) -> None:
+        laid = merged.hint("rebalance", PART.name) if self.rebalance else merged
+        (
+            laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
+            .partitionBy(PART.name).parquet(self.path)
+        )
 
     def merge(self, batch: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame], landed: bool = False) -> DataFrame:
         """Merge a batch and return every row of the touched partitions, with all columns of ``combine``.
 
-        The batch is written first, so whatever it takes to compute it happens once;
-        ``landed`` says that it is a table already.  ``combine`` gets the stored rows of the
-        touched partitions and the batch, both with a column ``_part``, and returns at least
-        the stored columns; the others are kept in the files, where readers do not look.
+        The batch is written first where the table has rows, so whatever it takes to compute it
+        happens once; ``landed`` says that it is a table already.  ``combine`` gets the stored
+        rows of the touched partitions and the batch, both with a column ``_part``, reads the
+        batch once and returns at least the stored columns; the others are kept in the files,
+        where readers do not look.
         """
+        stored = self._stored(self.schema)
+        if stored is None:
+            merged = combine(self._nothing(), batch.withColumn(PART.name, self.part))
+            self._write(merged)
+            return self._stored(merged.schema).drop(PART.name)
         path = None
         if not landed:
             path = fresh_path(self.spark, "incoming")
-            batch.write.parquet(path)
+            batch.write.option("compression", CODEC).parquet(path)
             batch = self.spark.read.schema(batch.schema).parquet(path)
         batch = batch.withColumn(PART.name, self.part)
-        touched = batch.select(PART.name).distinct()
-        if not self.part_of_key:
-            keys = batch.select(*self.keys).distinct()
-            stored = self._rows(self.schema).select(*self.keys, PART.name)
-            touched = touched.union(stored.join(keys, self.keys, "left_semi").select(PART.name)).distinct()
-        # at most as many as the table has partitions
-        parts = [r[0] for r in touched.collect()]
-        merged = combine(self._rows(self.schema).where(F.col(PART.name).isin(parts)), batch)
-        (
-            merged.hint("rebalance", PART.name).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(PART.name).parquet(self.path)
-        )
+        parts = self._touched(batch)
+        merged = combine(stored.where(F.col(PART.name).isin(parts)), batch)
+        self._write(merged)
         if path:
             remove(self.spark, path)
-        return self._rows(merged.schema).where(F.col(PART.name).isin(parts)).drop(PART.name)
+        return self._stored(merged.schema).where(F.col(PART.name).isin(parts)).drop(PART.name)

@@ -135,6 +135,41 @@ def test_a_stored_row_stays_in_its_month(spark, tmp_path):
     assert {p for p in before if "2026-03" in p} <= files_of(tmp_path / "keyed")
 
 
+def test_tasks_of_a_shuffle_by_key_meet_few_hash_partitions(spark):
+    dealt = spark.range(5000).select(F.col("id").cast("string").alias("k")).repartition(16, "k")
+    met = dealt.groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct(by_hash(["k"], 8)).alias("parts"))
+    assert {r["parts"] for r in met.collect()} == {1}
+
+
+def test_a_new_table_is_written_without_landing_its_batch(spark, tmp_path, monkeypatch):
+    from newstape.sources import keyed as module
+
+    landed = []
+    fresh = module.fresh_path
+    monkeypatch.setattr(module, "fresh_path", lambda session, name: landed.append(name) or fresh(session, name))
+    table = KeyedTable(spark, str(tmp_path / "keyed"), spark.createDataFrame([], "k string, n int").schema, ["k"],
+                       by_hash(["k"], 8), rebalance=False)
+    assert put(table, [(f"k{i}", i) for i in range(50)]).where("_action = 'insert'").count() == 50 and not landed
+    assert {p.rsplit(".", 2)[1] for p in files_of(tmp_path / "keyed")} == {"zstd"}
+    put(table, [("k7", 700), ("k99", 99)])
+    assert landed == ["incoming"]
+    assert {r["k"]: r["n"] for r in table.read().collect()} == {**{f"k{i}": i for i in range(50)}, "k7": 700, "k99": 99}
+
+
+def test_keys_are_looked_up_only_in_months_the_batch_does_not_touch(spark, tmp_path):
+    schema = spark.createDataFrame([], "k string, day date, n int").schema
+    table = KeyedTable(spark, str(tmp_path / "keyed"), schema, ["k"], by_month("day"), part_of_key=False)
+    frame = lambda *rows: spark.createDataFrame(list(rows), schema)
+    merge = lambda *rows: table.merge(frame(*rows), lambda old, new: upsert.upsert(old, new, ["k"], ["n"]))
+    merge(("a", dt.date(2026, 1, 1), 1), ("b", dt.date(2026, 2, 1), 2), ("c", dt.date(2026, 3, 1), 3))
+    both = frame(("a", dt.date(2026, 2, 1), 5), ("d", dt.date(2026, 3, 1), 4)).withColumn("_part", by_month("day"))
+    assert sorted(table._touched(both)) == ["2026-01", "2026-02", "2026-03"]
+    assert sorted(table._touched(both.where("k = 'd'"))) == ["2026-03"]
+    assert merge(("a", dt.date(2026, 2, 1), 5)).where("_action = 'update'").count() == 1
+    assert {tuple(r) for r in table.read().collect()} == {
+        ("a", dt.date(2026, 1, 1), 5), ("b", dt.date(2026, 2, 1), 2), ("c", dt.date(2026, 3, 1), 3)}
+
+
 def test_the_scorer_sees_each_text_once(spark, tmp_path):
     from newstape.operators import sentiment
 
