@@ -32,8 +32,11 @@ def keep_first(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     return one.select(*[F.col(c) if c in keys or c == seq else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def _folded(incoming: DataFrame, keys, fixed, refresh, seq) -> DataFrame:
+def _folded(incoming: DataFrame, keys, fixed, refresh, seq, unique) -> DataFrame:
     """One incoming row per key: the first row's fixed columns, the last row's refreshed ones."""
+    if unique:
+        first, last = (F.struct(F.lit(1).alias("_any"), *values) for values in (fixed, refresh))
+        return incoming.select(*keys, first.alias("_first"), last.alias("_last"), F.lit(1).cast("long").alias("_copies"))
     order = F.col(seq) if seq else F.lit(0)
     return incoming.groupBy(*keys).agg(
         F.min_by(F.struct(F.lit(1).alias("_any"), *fixed), order).alias("_first"),
@@ -50,6 +53,8 @@ def upsert(
     seq: str | None = None,
     known: DataFrame | None = None,
     carry: Sequence[str] = (),
+    latest: Sequence[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
     """The merged table plus ``_action`` (insert, update, keep) and ``_copies`` (incoming rows of the key).
 
@@ -62,11 +67,14 @@ def upsert(
     :class:`~newstape.sources.keyed.KeyedTable`, which hands over only the partitions
     that the batch touches.  ``known`` (some of the key columns, unique) leaves out
     batch keys that are not in it, after the copies of a key have been reduced to one
-    row.  ``carry`` adds ``_first_<column>``: what the key's first incoming row holds there.
+    row.  ``carry`` adds ``_first_<column>``: what the key's first incoming row holds there;
+    ``latest`` adds ``_last_<column>``: what its last one does.  ``unique`` says that the
+    batch is known to have one row per key, so nothing is folded or checked.
     """
     columns = existing.columns
     fixed = [c for c in columns if c not in keys and c not in refresh]
-    batch = _folded(incoming, keys, [*fixed, *[F.col(c).alias(f"_carry_{c}") for c in carry]], refresh, seq)
+    carried, latest_ones = ([F.col(c).alias(f"_carry_{c}") for c in names] for names in (carry, latest))
+    batch = _folded(incoming, keys, [*fixed, *carried], [*refresh, *latest_ones], seq, unique)
     if known is not None:
         batch = batch.join(known, known.columns, "left_semi")
     stored = existing.withColumn("_stored", F.lit(True))
@@ -82,12 +90,13 @@ def upsert(
         return F.when(is_stored, F.col(name)).otherwise(F.col(f"_first.{name}")).alias(name)
 
     action = F.when(~is_incoming, "keep").when(is_stored, "update").otherwise("insert")
-    if seq is None:
+    if seq is None and not unique:
         repeated = F.raise_error(F.lit(f"the batch repeats a key of {list(keys)}: name the column that orders its rows"))
         action = F.when(F.col("_copies") > 1, repeated).otherwise(action)
     return joined.select(
         *[value(c) for c in columns], action.alias("_action"), F.coalesce("_copies", F.lit(0)).alias("_copies"),
         *[F.col(f"_first._carry_{c}").alias(f"_first_{c}") for c in carry],
+        *[F.col(f"_last._carry_{c}").alias(f"_last_{c}") for c in latest],
     )
 
 

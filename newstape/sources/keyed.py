@@ -43,14 +43,18 @@ class KeyedTable:
 
     ``rebalance=False`` leaves out the shuffle by partition before the files are written.
     It suits :func:`by_hash` of the keys, where what a merge joined by key lies well already.
+
+    ``derived`` holds columns of the schema that follow from others.  They are computed as
+    files are written: merges neither read nor shuffle them, and batches need not have them.
     """
 
     def __init__(
         self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], part: Column,
-        part_of_key: bool = True, rebalance: bool = True,
+        part_of_key: bool = True, rebalance: bool = True, derived: dict[str, Column] | None = None,
     ):
         self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, list(keys)
         self.part, self.part_of_key, self.rebalance = F.coalesce(part, F.lit("none")), part_of_key, rebalance
+        self.derived = derived or {}
 
     def _stored(self, schema: T.StructType) -> DataFrame | None:
         """What is stored, with ``_part``; None before the first merge."""
@@ -84,27 +88,30 @@ class KeyedTable:
         met = others.select(F.xxhash64(*self.keys).alias("_key"), PART.name).join(sought, "_key", "left_semi")
         return parts + [r[0] for r in met.select(PART.name).distinct().collect()]
 
-    def _write(self, merged: DataFrame) -> None:
-        laid = merged.hint("rebalance", PART.name) if self.rebalance else merged
+    def _write(self, merged: DataFrame, rebalance: bool) -> T.StructType:
+        laid = merged.hint("rebalance", PART.name) if rebalance else merged
+        whole = laid.withColumns(self.derived) if self.derived else laid
         (
-            laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
+            whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
             .partitionBy(PART.name).parquet(self.path)
         )
+        return whole.schema
 
-    def merge(self, batch: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame], landed: bool = False) -> DataFrame:
+    def merge(self, batch: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame], landed: bool = False, laid: bool = False) -> DataFrame:
         """Merge a batch and return every row of the touched partitions, with all columns of ``combine``.
 
         The batch is written first where the table has rows, so whatever it takes to compute it
         happens once; ``landed`` says that it is a table already.  ``combine`` gets the stored
         rows of the touched partitions and the batch, both with a column ``_part``, reads the
         batch once and returns at least the stored columns; the others are kept in the files,
-        where readers do not look.
+        where readers do not look.  ``laid`` says that the batch lies by partition already, so
+        that a new table can be written as it lies.
         """
         stored = self._stored(self.schema)
         if stored is None:
-            merged = combine(self._nothing(), batch.withColumn(PART.name, self.part))
-            self._write(merged)
-            return self._stored(merged.schema).drop(PART.name)
+            nothing = self._nothing().drop(*self.derived)
+            schema = self._write(combine(nothing, batch.withColumn(PART.name, self.part)), self.rebalance and not laid)
+            return self._stored(schema).drop(PART.name)
         path = None
         if not landed:
             path = fresh_path(self.spark, "incoming")
@@ -112,8 +119,7 @@ class KeyedTable:
             batch = self.spark.read.schema(batch.schema).parquet(path)
         batch = batch.withColumn(PART.name, self.part)
         parts = self._touched(batch)
-        merged = combine(stored.where(F.col(PART.name).isin(parts)), batch)
-        self._write(merged)
+        schema = self._write(combine(stored.where(F.col(PART.name).isin(parts)).drop(*self.derived), batch), self.rebalance)
         if path:
             remove(self.spark, path)
-        return self._stored(merged.schema).where(F.col(PART.name).isin(parts)).drop(PART.name)
+        return self._stored(schema).where(F.col(PART.name).isin(parts)).drop(PART.name)

@@ -170,6 +170,52 @@ def test_keys_are_looked_up_only_in_months_the_batch_does_not_touch(spark, tmp_p
         ("a", dt.date(2026, 1, 1), 5), ("b", dt.date(2026, 2, 1), 2), ("c", dt.date(2026, 3, 1), 3)}
 
 
+def test_derived_columns_are_computed_as_files_are_written(spark, tmp_path):
+    schema = spark.createDataFrame([], "k string, n int, twice int").schema
+    table = KeyedTable(spark, str(tmp_path / "keyed"), schema, ["k"], by_hash(["k"], 2), derived={"twice": F.col("n") * 2})
+    seen = []
+
+    def merge(old, new):
+        seen.append("twice" in old.columns)
+        return upsert.upsert(old, new, ["k"], ["n"])
+
+    for rows in ([("a", 1), ("b", 2)], [("a", 5)]):
+        table.merge(spark.createDataFrame(rows, "k string, n int"), merge)
+    assert seen == [False, False] and {tuple(r) for r in table.read().collect()} == {("a", 5, 10), ("b", 2, 4)}
+
+
+def test_a_unique_batch_is_not_folded_and_the_last_row_is_told(spark):
+    old = spark.createDataFrame([("a", "x", 1)], "k string, s string, n int")
+    new = spark.createDataFrame([("a", "y", 2, "p", 1), ("a", "z", 3, "q", 2), ("b", "w", 4, "r", 3)], "k string, s string, n int, t string, seq int")
+    out = upsert.upsert(old, new, ["k"], ["n"], "seq", carry=["t"], latest=["t", "s"])
+    assert {tuple(r) for r in out.collect()} == {
+        ("a", "x", 3, "update", 2, "p", "q", "z"), ("b", "w", 4, "insert", 1, "r", "r", "w")}
+    one_each = upsert.upsert(old, new.where("t <> 'p'"), ["k"], ["n"], carry=["t"], unique=True)
+    assert {tuple(r) for r in one_each.collect()} == {("a", "x", 3, "update", 1, "q"), ("b", "w", 4, "insert", 1, "r")}
+    assert "Aggregate" not in one_each._jdf.queryExecution().executedPlan().toString()
+
+
+def test_results_follow_the_articles_of_a_second_load(spark, tmp_path):
+    loading.load_articles(spark, batch(spark, article(1, "u1"), article(2, "u2", ticker="TSLA")), str(tmp_path), "a")
+    rows = batch(spark, article(3, "u1", ticker="MSFT", label="negative"), article(4, "u1", ticker="AMZN", label="neutral"), article(5, "u3"))
+    for model, inserted in (("b", {"MSFT": 1, "AAPL": 1}), ("a", {"AAPL": 1})):
+        out = loading.load_articles(spark, rows, str(tmp_path), model)
+        summary = {r["ticker"]: r["sentiment_inserted"] for r in out.summary.where("is_total = 0").collect()}
+        assert {k: v for k, v in summary.items() if v} == inserted
+    ids = {r["article_id"]: r["url"] for r in out.articles.collect()}
+    assert {(ids[r["article_id"]], r["model_name"], r["sentiment_label"]) for r in out.sentiments.collect()} == {
+        ("u1", "a", "neutral"), ("u2", "a", "positive"), ("u3", "a", "positive"), ("u1", "b", "neutral"), ("u3", "b", "positive")}
+    assert {r["url"]: r["ticker"] for r in out.articles.collect()} == {"u1": "AAPL", "u2": "TSLA", "u3": "AAPL"}
+
+
+def test_a_load_reduces_the_copies_of_a_url_once(spark, tmp_path, monkeypatch):
+    folds = []
+    fold = upsert._folded
+    monkeypatch.setattr(upsert, "_folded", lambda rows, keys, fixed, refresh, seq, unique: folds.append(unique) or fold(rows, keys, fixed, refresh, seq, unique))
+    loading.load_articles(spark, batch(spark, article(1, "u"), article(2, "u")), str(tmp_path), "m")
+    assert folds == [False, True]
+
+
 def test_the_scorer_sees_each_text_once(spark, tmp_path):
     from newstape.operators import sentiment
 
