@@ -100,6 +100,37 @@ def upsert(
     )
 
 
+def upsert_within(
+    existing: DataFrame, incoming: DataFrame, keys: Sequence[str], refresh: Sequence[str], lies: Sequence[str], carry: Sequence[str] = ()
+) -> DataFrame:
+    """:func:`upsert` of a batch with one row per key, where rows of a key are equal in the columns ``lies`` too.
+
+    Both are shuffled once, by ``lies``, and so the result lies; there is no join.
+    """
+    columns = [c for c in existing.columns if c not in keys and c not in lies]
+    extra = [f"_carry_{c}" for c in carry]
+    new = incoming.select(*lies, *keys, *columns, *[F.col(c).alias(x) for c, x in zip(carry, extra)], F.lit(True).alias("_fresh"))
+    old = existing.select(*lies, *keys, *columns, F.lit(False).alias("_fresh"))
+    rows = old.unionByName(new, allowMissingColumns=True).repartition(*lies)
+    one = rows.groupBy(*lies, *keys).agg(
+        F.first(F.when(~F.col("_fresh"), F.struct(F.lit(1).alias("_any"), *columns)), ignorenulls=True).alias("_stored"),
+        F.first(F.when(F.col("_fresh"), F.struct(F.lit(1).alias("_any"), *columns, *extra)), ignorenulls=True).alias("_new"),
+    )
+    is_stored, is_incoming = F.col("_stored").isNotNull(), F.col("_new").isNotNull()
+
+    def value(name: str) -> Column:
+        if name in columns:
+            first, other = ("_new", "_stored") if name in refresh else ("_stored", "_new")
+            return F.when(F.col(first).isNotNull(), F.col(f"{first}.{name}")).otherwise(F.col(f"{other}.{name}")).alias(name)
+        return F.col(name)
+
+    action = F.when(~is_incoming, "keep").when(is_stored, "update").otherwise("insert")
+    return one.select(
+        *[value(c) for c in existing.columns], action.alias("_action"), is_incoming.cast("long").alias("_copies"),
+        *[F.col(f"_new.{x}").alias(f"_first_{c}") for c, x in zip(carry, extra)],
+    )
+
+
 def upsert_articles(existing: DataFrame, incoming: DataFrame, seq: str | None = None, **options) -> DataFrame:
     """Merge articles by url; rows without a url are left out (see :func:`accounting`)."""
     return upsert(existing, incoming.where(F.col("url") != ""), ["url"], ARTICLE_REFRESH, seq, **options)

@@ -22,6 +22,8 @@ PARTITIONS = 16
 PART = T.StructField("_part", T.StringType())
 #: tables and landed batches are written smaller than with Spark's default
 CODEC = "zstd"
+#: about how many rows of a partition a merge inside partitions puts into one file
+TOGETHER = 1_000_000
 
 
 def by_hash(keys: Sequence[str], partitions: int = PARTITIONS) -> Column:
@@ -88,6 +90,14 @@ class KeyedTable:
         met = others.select(F.xxhash64(*self.keys).alias("_key"), PART.name).join(sought, "_key", "left_semi")
         return parts + [r[0] for r in met.select(PART.name).distinct().collect()]
 
+    def _slot(self, stored: DataFrame, batch: DataFrame) -> Column:
+        """Deals the keys of each partition into slots of about :data:`TOGETHER` rows."""
+        sizes = stored.select(PART.name).unionAll(batch.select(PART.name)).groupBy(PART.name).count().collect()
+        if not sizes:
+            return F.lit(0).cast("long")
+        slots = F.create_map(*[F.lit(x) for part, n in sizes for x in (part, -(-n // TOGETHER))])
+        return F.pmod(F.xxhash64(*self.keys), F.element_at(slots, F.col(PART.name)))
+
     def _write(self, merged: DataFrame, rebalance: bool) -> T.StructType:
         laid = merged.hint("rebalance", PART.name) if rebalance else merged
         whole = laid.withColumns(self.derived) if self.derived else laid
@@ -97,7 +107,10 @@ class KeyedTable:
         )
         return whole.schema
 
-    def merge(self, batch: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame], landed: bool = False, laid: bool = False) -> DataFrame:
+    def merge(
+        self, batch: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame], landed: bool = False, laid: bool = False,
+        within: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    ) -> DataFrame:
         """Merge a batch and return every row of the touched partitions, with all columns of ``combine``.
 
         The batch is written first where the table has rows, so whatever it takes to compute it
@@ -105,7 +118,10 @@ class KeyedTable:
         rows of the touched partitions and the batch, both with a column ``_part``, reads the
         batch once and returns at least the stored columns; the others are kept in the files,
         where readers do not look.  ``laid`` says that the batch lies by partition already, so
-        that a new table can be written as it lies.
+        that a new table can be written as it lies.  ``within`` takes the place of ``combine``
+        where the table has rows and the key decides the partition: both its frames have a
+        column ``_slot`` as well, and what it returns lies by (``_part``, ``_slot``) and is
+        written as it lies.
         """
         stored = self._stored(self.schema)
         if stored is None:
@@ -119,7 +135,12 @@ class KeyedTable:
             batch = self.spark.read.schema(batch.schema).parquet(path)
         batch = batch.withColumn(PART.name, self.part)
         parts = self._touched(batch)
-        schema = self._write(combine(stored.where(F.col(PART.name).isin(parts)).drop(*self.derived), batch), self.rebalance)
+        old = stored.where(F.col(PART.name).isin(parts)).drop(*self.derived)
+        if within and self.part_of_key:
+            slot = self._slot(old, batch)
+            schema = self._write(within(old.withColumn("_slot", slot), batch.withColumn("_slot", slot)).drop("_slot"), False)
+        else:
+            schema = self._write(combine(old, batch), self.rebalance)
         if path:
             remove(self.spark, path)
         return self._stored(schema).where(F.col(PART.name).isin(parts)).drop(PART.name)

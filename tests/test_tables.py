@@ -216,6 +216,64 @@ def test_a_load_reduces_the_copies_of_a_url_once(spark, tmp_path, monkeypatch):
     assert folds == [False, True]
 
 
+def test_rows_laid_by_partition_are_merged_with_one_shuffle(spark):
+    old = spark.createDataFrame([("p", "a", "x", 1), ("p", "b", "y", 2), ("q", "c", None, 3)], "_part string, k string, s string, n int")
+    new = spark.createDataFrame([("p", "a", "z", 5, "t"), ("q", "d", None, 6, "u"), ("q", "c", "w", None, "v")],
+                                "_part string, k string, s string, n int, t string")
+    out = upsert.upsert_within(old, new, ["k"], ["n"], ("_part",), carry=["t"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    want = upsert.upsert(old, new, ["k"], ["n"], carry=["t"], unique=True).select(*out.columns)
+    assert {tuple(r) for r in out.collect()} == {tuple(r) for r in want.collect()} == {
+        ("p", "a", "x", 5, "update", 1, "t"), ("p", "b", "y", 2, "keep", 0, None),
+        ("q", "c", None, None, "update", 1, "v"), ("q", "d", None, 6, "insert", 1, "u")}
+
+
+def test_results_are_merged_inside_their_months(spark, tmp_path, monkeypatch):
+    from newstape.sources import keyed as module
+
+    monkeypatch.setattr(module, "TOGETHER", 3)
+    shuffled = []
+    within = upsert.upsert_within
+    monkeypatch.setattr(upsert, "upsert_within", lambda *a, **b: shuffled.append(within(*a, **b)) or shuffled[-1])
+    day = lambda i: f"2026-0{1 + i % 3}-05"
+    rows = lambda *ids: batch(spark, *[article(i, f"u{i}") for i in ids]).withColumn(
+        "published_at", F.element_at(F.array(*[F.lit(day(i)).cast("timestamp") for i in range(3)]), (F.col("seq") % 3 + 1).cast("int")))
+    loading.load_articles(spark, rows(*range(30)), str(tmp_path), "m")
+    assert not shuffled
+    again = rows(*range(20, 50)).withColumn("sentiment_label", F.lit("negative"))
+    out = loading.load_articles(spark, again, str(tmp_path), "m")
+    assert len(shuffled) == 1
+    labels = {r["article_id"]: r["sentiment_label"] for r in out.sentiments.collect()}
+    urls = {r["url"]: labels[r["article_id"]] for r in out.articles.collect()}
+    assert urls == {f"u{i}": "positive" if i < 20 else "negative" for i in range(50)} and out.sentiments.count() == 50
+    total = one(out.summary.where("is_total = 1"))
+    assert (total["sentiment_inserted"], total["sentiment_updated"]) == (20, 10)
+    months = {p.name for p in (tmp_path / "sentiments").iterdir() if p.is_dir()}
+    assert months == {p.name for p in (tmp_path / "articles").iterdir() if p.is_dir()} and len(months) == 3
+
+
+def test_a_load_drops_the_shuffle_files_of_each_step(spark, tmp_path, monkeypatch):
+    """When a step is done, what it shuffled is not kept for the steps after it."""
+    steps = []
+    monkeypatch.setattr(loading, "tidy", lambda session: steps.append(session))
+    loading.load_articles(spark, batch(spark, article(1, "u")), str(tmp_path), "m")
+    assert steps == [spark] * 3
+
+
+def test_small_reads_bound_what_a_task_reads(spark, tmp_path):
+    from newstape.session import small_reads
+
+    spark.range(200_000).select(F.sha2(F.col("id").cast("string"), 256).alias("x")).coalesce(1).write.option("parquet.block.size", 1 << 20).parquet(str(tmp_path / "t"))
+    key = "spark.sql.files.maxPartitionBytes"
+    before, tasks = spark.conf.get(key), lambda: spark.read.parquet(str(tmp_path / "t")).rdd.getNumPartitions()
+    with small_reads(spark, 1 << 20):
+        assert tasks() > 8
+        with small_reads(spark, 1 << 30):
+            assert spark.conf.get(key) == str(1 << 20)
+    assert spark.conf.get(key) == before
+
+
 def test_the_scorer_sees_each_text_once(spark, tmp_path):
     from newstape.operators import sentiment
 
