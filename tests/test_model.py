@@ -202,3 +202,35 @@ def test_labels_of_a_learned_scorer_are_computed_once(spark):
     assert seen.value <= 80  # the label stands in the filter and in the row
     out = scorer.attach(rows, "title", "out").select("title", "out.label").collect()
     assert all((r.label == "positive") == r.title.startswith("up") for r in out)
+
+
+def test_a_label_is_computed_once_a_row(spark):
+    """No filter asks for the scorer of the labels again: its two counts of words stand in the plan once each."""
+    from newstape.operators import learned, sentiment
+
+    rows = spark.createDataFrame([("a strong rise",), ("weak",), (None,)], "title string")
+    scored = sentiment.with_sentiment(rows, sentiment.word_scorer()).withColumnRenamed("sentiment_label", "known")
+    ready = learned._labelled(scored, "title", "known")
+    plan = ready._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") + plan.count("regexp_count") == 2
+    assert sorted(r["_label"] for r in ready.collect()) == [0.0, 1.0, 2.0]
+
+
+def test_a_scorer_is_learnt_in_small_pieces(spark, monkeypatch):
+    """Pieces and blocks that the learner keeps are of bounded size, and the session's settings come back."""
+    from newstape.operators import learned
+
+    seen, keys = [], ("spark.sql.files.maxPartitionBytes", "spark.sql.parquet.columnarReaderBatchSize")
+    before = [spark.conf.get(k) for k in keys]
+
+    class Learner(learned.LogisticRegression):
+        def fit(self, rows):
+            seen.append([int(spark.conf.get(k)) for k in keys] + [self.getMaxBlockSizeInMB()])
+            return super().fit(rows)
+
+    monkeypatch.setattr(learned, "LogisticRegression", Learner)
+    rows = spark.createDataFrame([(w, k) for w, k in (("up", "positive"), ("down", "negative"), ("shares", "neutral"))] * 5, "title string, known string")
+    learned.train_scorer(rows, "title", "known", iterations=2)
+    (pieces, batch, block), = seen
+    assert pieces <= 16 << 20 and batch <= 512 and block <= 1
+    assert [spark.conf.get(k) for k in keys] == before
